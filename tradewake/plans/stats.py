@@ -19,28 +19,26 @@ from tradewake.schemas import KEYWORD_STATS, PRODUCT_STATS, VISITOR_STATS
 WINDOW = "10 seconds"
 
 
-def _timed(rows: DataFrame, delay: str) -> DataFrame:
+def timed(rows: DataFrame, delay: str) -> DataFrame:
     return rows.withColumn("_rowtime", rowtime_millis("ts")).withWatermark("_rowtime", delay)
 
 
-def union_all(inputs: Sequence[DataFrame], delay: str) -> DataFrame:
+def union_all(inputs: Sequence[DataFrame]) -> DataFrame:
     """Measure rows united by name, duplicates kept.
 
-    Each input has its own watermark, so that a slow one (bounces come late by nature) holds
-    the common watermark back instead of losing its rows.
+    Each input brings its own watermark, so that a slow one (bounces come late by nature)
+    holds the common watermark back instead of losing its rows.
     """
-    timed = [_timed(df, delay) for df in inputs]
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), timed)
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), inputs)
 
 
 def visitor_stats(page: DataFrame, unique_visits: DataFrame, bounces: DataFrame,
                   window: str = WINDOW, as_of_ms: int | None = None,
                   delay: str = "2 seconds") -> DataFrame:
     """Visits, pages, sessions, bounces and time spent per window, version, channel, area, flag."""
-    rows = union_all(
-        [M.page_and_session_rows(page), M.unique_visit_rows(unique_visits), M.jump_rows(bounces)],
-        delay,
-    )
+    inputs = (M.page_and_session_rows(page), M.unique_visit_rows(unique_visits),
+              M.jump_rows(bounces))
+    rows = union_all([timed(df, delay) for df in inputs])
     sums = [F.sum(m).alias(m) for m in M.VISITOR_MEASURES]
     totals = rows.groupBy(F.window("_rowtime", window), *M.VISITOR_DIMS).agg(*sums)
     return totals.select(
@@ -49,25 +47,26 @@ def visitor_stats(page: DataFrame, unique_visits: DataFrame, bounces: DataFrame,
     ).select(*VISITOR_STATS.fieldNames())
 
 
-def count_ids_once(rows: DataFrame, count: str, window: str, delay: str) -> DataFrame:
-    """Measure rows in which ``count`` is 1 once per window, SKU and ``_id``.
+def count_ids_once(rows: DataFrame, count: str, window: str) -> DataFrame:
+    """Timed measure rows in which ``count`` is 1 once per window, SKU and ``_id``.
 
     In batch the rows of one id are summed into one. In a stream they pass on as they are and
     a deduplicated copy carries the count, since streams have no distinct aggregates.
     """
+    with_window = rows.withColumn("_w", F.window("_rowtime", window))
+    one = F.lit(1).cast("bigint")
     if not rows.isStreaming:
-        sums = [F.sum(c).alias(c) for c in rows.columns if c not in ("sku_id", "_id", "ts")]
-        grouped = rows.groupBy(
-            F.window(rowtime_millis("ts"), window).alias("_w"), "sku_id", "_id").agg(*sums)
+        fixed = ("sku_id", "_id", "ts", "_rowtime")
+        sums = [F.sum(c).alias(c) for c in rows.columns if c not in fixed]
+        grouped = with_window.groupBy("_w", "sku_id", "_id").agg(*sums)
         return grouped.withColumns({
-            "ts": F.unix_millis("_w.start"),
-            count: F.when(F.col("_id").isNotNull(), 1).otherwise(0).cast("bigint"),
+            "_rowtime": F.col("_w.start"),
+            count: F.when(F.col("_id").isNotNull(), one).otherwise(0),
         }).drop("_w", "_id")
-    # The window belongs to the key; its length is added to how long state has to be kept.
-    ids = _timed(rows.select("sku_id", "_id", "ts").filter(F.col("_id").isNotNull()), window)
-    once = ids.withColumn("_w", F.window("_rowtime", window)["start"])
-    once = once.dropDuplicatesWithinWatermark(["_w", "sku_id", "_id"])
-    counted = once.select("sku_id", "ts", F.lit(1).cast("bigint").alias(count))
+    # The window is the event time of this branch: its state goes when the window closes.
+    ids = with_window.filter(F.col("_id").isNotNull()).select("_w", "sku_id", "_id")
+    once = ids.dropDuplicates(["_w", "sku_id", "_id"])
+    counted = once.select("sku_id", one.alias(count), F.window_time("_w").alias("_rowtime"))
     return rows.drop("_id").unionByName(counted, allowMissingColumns=True)
 
 
@@ -76,17 +75,20 @@ def product_rows(page: DataFrame | None = None, favor: DataFrame | None = None,
                  payment_wide: DataFrame | None = None, refund: DataFrame | None = None,
                  comment: DataFrame | None = None, window: str = WINDOW,
                  delay: str = "2 seconds") -> list[DataFrame]:
-    """Measure rows of every input that is given."""
+    """Timed measure rows of every input that is given; rows whose SKU is no number are left out."""
+    def measured(source, rows):
+        return timed(rows(source), delay).filter(F.col("sku_id").isNotNull())
+
     found = []
     for source, rows in ((page, M.click_and_display_rows), (favor, M.favor_rows),
                          (cart, M.cart_rows), (comment, M.comment_rows)):
         if source is not None:
-            found.append(rows(source))
+            found.append(measured(source, rows))
     for source, rows, count in ((order_wide, M.order_rows, "order_ct"),
                                 (payment_wide, M.payment_rows, "paid_order_ct"),
                                 (refund, M.refund_rows, "refund_order_ct")):
         if source is not None:
-            found.append(count_ids_once(rows(source), count, window, delay))
+            found.append(count_ids_once(measured(source, rows), count, window))
     if not found:
         raise ValueError("product statistics need at least one input")
     return found
@@ -102,10 +104,8 @@ def product_stats(page: DataFrame | None = None, favor: DataFrame | None = None,
 
     Measures no input delivers are zero. Rows whose SKU is no number are left out.
     """
-    rows = union_all(
-        product_rows(page, favor, cart, order_wide, payment_wide, refund, comment, window, delay),
-        delay,
-    ).filter(F.col("sku_id").isNotNull())
+    rows = union_all(product_rows(
+        page, favor, cart, order_wide, payment_wide, refund, comment, window, delay))
     given = set(rows.columns)
     totals = rows.groupBy(F.window("_rowtime", window), "sku_id").agg(
         *[F.sum(m).alias(m) for m in (*M.PRODUCT_COUNTS, *M.PRODUCT_AMOUNTS) if m in given]
