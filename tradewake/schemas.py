@@ -7,94 +7,92 @@ from pyspark.sql import types as T
 
 MONEY = "decimal(18,2)"
 
-_PAGE = "struct<page_id:string,last_page_id:string,item:string,during_time:bigint>"
-_COMMON = "struct<mid:string,is_new:string,vc:string,ch:string,ar:string>"
-_DISPLAY = "array<struct<item_type:string,item:string>>"
+_TEXT = T.StringType()
+_LONG = T.LongType()
+_INT = T.IntegerType()
+_MONEY = T.DecimalType(18, 2)
+_TOTAL = T.DecimalType(28, 2)
+_TEXT_MAP = T.MapType(_TEXT, _TEXT)
 
 
-def _schema(ddl: str) -> T.StructType:
-    return T.StructType.fromDDL(ddl)
+def _schema(**fields: T.DataType) -> T.StructType:
+    return T.StructType([T.StructField(name, kind) for name, kind in fields.items()])
 
 
-RAW_LOG = _schema(
-    f"common {_COMMON}, start map<string,string>, page {_PAGE}, display {_DISPLAY}, ts bigint"
-)
-PAGE_LOG = _schema(f"common {_COMMON}, page {_PAGE}, display {_DISPLAY}, ts bigint")
-PAGE_VIEW_SQL = _schema("common map<string,string>, page map<string,string>, ts bigint")
-CDC = _schema("`table` string, type string, data map<string,string>, ts bigint")
+_COMMON = _schema(mid=_TEXT, is_new=_TEXT, vc=_TEXT, ch=_TEXT, ar=_TEXT)
+_PAGE = _schema(page_id=_TEXT, last_page_id=_TEXT, item=_TEXT, during_time=_LONG)
+_DISPLAY = T.ArrayType(_schema(item_type=_TEXT, item=_TEXT))
+
+RAW_LOG = _schema(common=_COMMON, start=_TEXT_MAP, page=_PAGE, display=_DISPLAY, ts=_LONG)
+PAGE_LOG = _schema(common=_COMMON, page=_PAGE, display=_DISPLAY, ts=_LONG)
+PAGE_VIEW_SQL = _schema(common=_TEXT_MAP, page=_TEXT_MAP, ts=_LONG)
+CDC = _schema(table=_TEXT, type=_TEXT, data=_TEXT_MAP, ts=_LONG)
 TABLE_PROCESS = _schema(
-    "source_table string, operate_type string, sink_type string, sink_table string, "
-    "sink_columns string, sink_pk string, sink_extend string"
+    source_table=_TEXT, operate_type=_TEXT, sink_type=_TEXT, sink_table=_TEXT,
+    sink_columns=_TEXT, sink_pk=_TEXT, sink_extend=_TEXT,
 )
 ORDER_INFO = _schema(
-    "id bigint, province_id bigint, order_status string, user_id bigint, "
-    f"total_amount {MONEY}, activity_reduce_amount {MONEY}, coupon_reduce_amount {MONEY}, "
-    f"original_total_amount {MONEY}, feight_fee {MONEY}, expire_time string, create_time string, "
-    "operate_time string, create_date string, create_hour string"
+    id=_LONG, province_id=_LONG, order_status=_TEXT, user_id=_LONG, total_amount=_MONEY,
+    activity_reduce_amount=_MONEY, coupon_reduce_amount=_MONEY, original_total_amount=_MONEY,
+    feight_fee=_MONEY, expire_time=_TEXT, create_time=_TEXT, operate_time=_TEXT,
+    create_date=_TEXT, create_hour=_TEXT,
 )
 ORDER_DETAIL = _schema(
-    f"id bigint, order_id bigint, sku_id bigint, order_price {MONEY}, sku_num bigint, "
-    f"sku_name string, create_time string, split_total_amount {MONEY}, "
-    f"split_activity_amount {MONEY}, split_coupon_amount {MONEY}"
+    id=_LONG, order_id=_LONG, sku_id=_LONG, order_price=_MONEY, sku_num=_LONG, sku_name=_TEXT,
+    create_time=_TEXT, split_total_amount=_MONEY, split_activity_amount=_MONEY,
+    split_coupon_amount=_MONEY,
 )
 PAYMENT_INFO = _schema(
-    f"id bigint, order_id bigint, user_id bigint, total_amount {MONEY}, subject string, "
-    "payment_type string, create_time string, callback_time string"
+    id=_LONG, order_id=_LONG, user_id=_LONG, total_amount=_MONEY, subject=_TEXT,
+    payment_type=_TEXT, create_time=_TEXT, callback_time=_TEXT,
 )
 ORDER_WIDE = _schema(
-    f"detail_id bigint, order_id bigint, sku_id bigint, order_price {MONEY}, sku_num bigint, "
-    "sku_name string, province_id bigint, order_status string, user_id bigint, "
-    f"total_amount {MONEY}, activity_reduce_amount {MONEY}, coupon_reduce_amount {MONEY}, "
-    f"original_total_amount {MONEY}, feight_fee {MONEY}, split_feight_fee {MONEY}, "
-    f"split_activity_amount {MONEY}, split_coupon_amount {MONEY}, split_total_amount {MONEY}, "
-    "expire_time string, create_time string, operate_time string, create_date string, "
-    "create_hour string, province_name string, province_area_code string, "
-    "province_iso_code string, province_3166_2_code string, user_age int, user_gender string, "
-    "spu_id bigint, tm_id bigint, category3_id bigint, spu_name string, tm_name string, "
-    "category3_name string"
+    detail_id=_LONG, order_id=_LONG, sku_id=_LONG, order_price=_MONEY, sku_num=_LONG,
+    sku_name=_TEXT, province_id=_LONG, order_status=_TEXT, user_id=_LONG, total_amount=_MONEY,
+    activity_reduce_amount=_MONEY, coupon_reduce_amount=_MONEY, original_total_amount=_MONEY,
+    feight_fee=_MONEY, split_feight_fee=_MONEY, split_activity_amount=_MONEY,
+    split_coupon_amount=_MONEY, split_total_amount=_MONEY, expire_time=_TEXT, create_time=_TEXT,
+    operate_time=_TEXT, create_date=_TEXT, create_hour=_TEXT, province_name=_TEXT,
+    province_area_code=_TEXT, province_iso_code=_TEXT, province_3166_2_code=_TEXT,
+    user_age=_INT, user_gender=_TEXT, spu_id=_LONG, tm_id=_LONG, category3_id=_LONG,
+    spu_name=_TEXT, tm_name=_TEXT, category3_name=_TEXT,
 )
 PAYMENT_WIDE = _schema(
-    "payment_id bigint, subject string, payment_type string, payment_create_time string, "
-    "callback_time string, detail_id bigint, order_id bigint, sku_id bigint, "
-    f"order_price {MONEY}, sku_num bigint, sku_name string, province_id bigint, "
-    f"order_status string, user_id bigint, total_amount {MONEY}, "
-    f"activity_reduce_amount {MONEY}, coupon_reduce_amount {MONEY}, "
-    f"original_total_amount {MONEY}, feight_fee {MONEY}, split_feight_fee {MONEY}, "
-    f"split_activity_amount {MONEY}, split_coupon_amount {MONEY}, split_total_amount {MONEY}, "
-    "order_create_time string, province_name string, province_area_code string, "
-    "province_iso_code string, province_3166_2_code string, user_age int, user_gender string, "
-    "spu_id bigint, tm_id bigint, category3_id bigint, spu_name string, tm_name string, "
-    "category3_name string"
+    payment_id=_LONG, subject=_TEXT, payment_type=_TEXT, payment_create_time=_TEXT,
+    callback_time=_TEXT, detail_id=_LONG, order_id=_LONG, sku_id=_LONG, order_price=_MONEY,
+    sku_num=_LONG, sku_name=_TEXT, province_id=_LONG, order_status=_TEXT, user_id=_LONG,
+    total_amount=_MONEY, activity_reduce_amount=_MONEY, coupon_reduce_amount=_MONEY,
+    original_total_amount=_MONEY, feight_fee=_MONEY, split_feight_fee=_MONEY,
+    split_activity_amount=_MONEY, split_coupon_amount=_MONEY, split_total_amount=_MONEY,
+    order_create_time=_TEXT, province_name=_TEXT, province_area_code=_TEXT,
+    province_iso_code=_TEXT, province_3166_2_code=_TEXT, user_age=_INT, user_gender=_TEXT,
+    spu_id=_LONG, tm_id=_LONG, category3_id=_LONG, spu_name=_TEXT, tm_name=_TEXT,
+    category3_name=_TEXT,
 )
 # The next four are inferred: the topics are named by the product job, their fields are not.
-FAVOR_INFO = _schema("id bigint, user_id bigint, sku_id bigint, create_time string")
-CART_INFO = _schema("id bigint, user_id bigint, sku_id bigint, sku_num bigint, create_time string")
+FAVOR_INFO = _schema(id=_LONG, user_id=_LONG, sku_id=_LONG, create_time=_TEXT)
+CART_INFO = _schema(id=_LONG, user_id=_LONG, sku_id=_LONG, sku_num=_LONG, create_time=_TEXT)
 REFUND_INFO = _schema(
-    "id bigint, order_id bigint, sku_id bigint, refund_type string, "
-    f"refund_amount {MONEY}, create_time string"
-)
-COMMENT_INFO = _schema(
-    "id bigint, user_id bigint, sku_id bigint, appraise string, create_time string"
+    id=_LONG, order_id=_LONG, sku_id=_LONG, refund_type=_TEXT, refund_amount=_MONEY,
+    create_time=_TEXT,
 )
+COMMENT_INFO = _schema(id=_LONG, user_id=_LONG, sku_id=_LONG, appraise=_TEXT, create_time=_TEXT)
 VISITOR_STATS = _schema(
-    "stt string, edt string, vc string, ch string, ar string, is_new string, uv_ct bigint, "
-    "pv_ct bigint, sv_ct bigint, uj_ct bigint, dur_sum bigint, ts bigint"
+    stt=_TEXT, edt=_TEXT, vc=_TEXT, ch=_TEXT, ar=_TEXT, is_new=_TEXT, uv_ct=_LONG, pv_ct=_LONG,
+    sv_ct=_LONG, uj_ct=_LONG, dur_sum=_LONG, ts=_LONG,
 )
 PRODUCT_STATS = _schema(
-    "stt string, edt string, sku_id bigint, sku_name string, "
-    f"sku_price {MONEY}, spu_id bigint, spu_name string, tm_id bigint, tm_name string, "
-    "category3_id bigint, category3_name string, display_ct bigint, click_ct bigint, "
-    "favor_ct bigint, cart_ct bigint, order_sku_num bigint, order_amount decimal(28,2), "
-    "order_ct bigint, payment_amount decimal(28,2), paid_order_ct bigint, "
-    "refund_order_ct bigint, refund_amount decimal(28,2), comment_ct bigint, "
-    "good_comment_ct bigint, ts bigint"
+    stt=_TEXT, edt=_TEXT, sku_id=_LONG, sku_name=_TEXT, sku_price=_MONEY, spu_id=_LONG,
+    spu_name=_TEXT, tm_id=_LONG, tm_name=_TEXT, category3_id=_LONG, category3_name=_TEXT,
+    display_ct=_LONG, click_ct=_LONG, favor_ct=_LONG, cart_ct=_LONG, order_sku_num=_LONG,
+    order_amount=_TOTAL, order_ct=_LONG, payment_amount=_TOTAL, paid_order_ct=_LONG,
+    refund_order_ct=_LONG, refund_amount=_TOTAL, comment_ct=_LONG, good_comment_ct=_LONG,
+    ts=_LONG,
 )
 PRODUCT_STATS_SQL = _schema(
-    "spu_name string, click_ct bigint, cart_ct bigint, order_ct bigint, stt string, edt string"
-)
-KEYWORD_STATS = _schema(
-    "keyword string, ct bigint, source string, stt string, edt string, ts bigint"
+    spu_name=_TEXT, click_ct=_LONG, cart_ct=_LONG, order_ct=_LONG, stt=_TEXT, edt=_TEXT,
 )
+KEYWORD_STATS = _schema(keyword=_TEXT, ct=_LONG, source=_TEXT, stt=_TEXT, edt=_TEXT, ts=_LONG)
 
 TRANSIENT = {"transient": True}
 

@@ -47,13 +47,13 @@ class DimStore:
             fs.delete(path, True)
         return version
 
-    def create(self, table: str, sink_columns: str, order_schema: str = "ts bigint") -> bool:
+    def create(self, table: str, sink_columns: str, order: Sequence[str] = ("ts",)) -> bool:
         """An empty table of text columns, unless the table exists."""
         if self.versions(table):
             return False
         schema = dim_schema(sink_columns)
-        for order in type(schema).fromDDL(order_schema):
-            schema = schema.add(order)
+        for column in order:
+            schema = schema.add(column, "bigint")
         self.write(table, self.spark.createDataFrame([], schema))
         return True
 
