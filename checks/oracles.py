@@ -275,3 +275,53 @@ FROM customer""",
     "snake_to_camel": """
 SELECT o_orderkey AS "orderKey", o_custkey AS "userId", o_orderstatus AS "orderStatus" FROM orders""",
 }
+
+# Streams: the same rows without those still open when the input ends.
+ORACLES |= {
+    "stream_bounces": f"""
+WITH {PL}, {BOUNCED} SELECT {FLAT} FROM bounced
+WHERE (ts // {BOUNCE_MS} + 2) * {BOUNCE_MS} <= (SELECT max(ts) FROM pl)""",
+    "stream_unique_visits": f"""
+WITH {PL} SELECT DISTINCT mid, strftime(t, '%Y%m%d') AS day FROM pl""",
+    "stream_repair_is_new": f"""
+WITH {PL}, ok AS (SELECT * FROM pl WHERE k < 98) SELECT mid, page_id, ts,
+  CASE WHEN is_new = '1' AND CAST(t AS DATE) <> min(CASE WHEN is_new = '1' THEN CAST(t AS DATE) END)
+    OVER (PARTITION BY mid) THEN '0' ELSE is_new END AS is_new
+FROM ok""",
+    "stream_visitor_stats": f"""
+WITH {PL}, {BOUNCED}, {VISITED}, {VISITOR_ROWS},
+closed AS (SELECT least(
+  (SELECT max(ts) FROM visited),
+  (SELECT max(ts) FROM bounced
+   WHERE (ts // {BOUNCE_MS} + 2) * {BOUNCE_MS} <= (SELECT max(ts) FROM pl))) - 2000 AS ms)
+SELECT * EXCLUDE (uv_ct) FROM (
+  {visitor_totals("WHERE epoch_us(w + INTERVAL 1 HOUR) // 1000 <= (SELECT ms FROM closed)")})""",
+    "stream_search_keywords": f"""
+WITH {PL} SELECT * FROM ({page_words(3600, True)})
+WHERE CAST(edt AS TIMESTAMP) <= (
+  SELECT max(date_trunc('second', t)) FROM pl WHERE page_id = 'good_list') - INTERVAL 2 SECOND""",
+    "stream_order_wide": f"""
+WITH {WIDE} SELECT CAST(l_linenumber AS BIGINT) AS detail_id, o_orderkey AS order_id,
+  l_partkey AS sku_id, {money('l_extendedprice')} AS order_price,
+  strftime(o_orderdate, {TXT}) AS create_time FROM wide""",
+    "stream_payment_wide": f"""
+WITH {PL}, {PAID} SELECT pid AS payment_id, did AS detail_id, user_id AS order_id FROM paid""",
+    "stream_product_stats": f"""
+WITH {PL}, {SHOWN}, {PRODUCT_ROWS}
+SELECT strftime(w, {TXT}) AS stt, strftime(w + INTERVAL 1 DAY, {TXT}) AS edt, sku AS sku_id,
+  order_ct, order_sku_num, order_amount, refund_order_ct, refund_amount
+FROM daily
+WHERE order_ct > 0 AND w + INTERVAL 1 DAY <= least(
+  (SELECT max(tm) FROM li), (SELECT max(tm) FROM li WHERE l_returnflag = 'R')) - INTERVAL 2 SECOND""",
+    "job_user_log": f"""
+WITH {PL}, {SHOWN}
+SELECT 'dwd_start_log' AS topic, count(*) AS records FROM pl WHERE event_type = 'signup' AND k < 98
+UNION ALL SELECT 'dwd_page_log', count(*) FROM pl WHERE event_type <> 'signup' AND k < 98
+UNION ALL SELECT 'dwd_display_log', count(*) FROM shown JOIN pl USING (event_id) WHERE k < 98
+UNION ALL SELECT 'dwd_quarantine', count(*) FROM pl WHERE k >= 98""",
+    "job_business_facts": """
+SELECT '{"id":"' || o_orderkey || '","user_id":"' || o_custkey || '"}' AS value FROM orders""",
+    "job_business_dims": """
+SELECT CAST(c_custkey AS VARCHAR) AS id, c_name AS name, CAST(0 AS BIGINT) AS ts FROM customer
+UNION ALL SELECT CAST(n_nationkey AS VARCHAR), n_name, 0 FROM nation""",
+}

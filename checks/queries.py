@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checks import mapping as m
+from tradewake import constants as C
 from tradewake.functions import times
 from tradewake.functions.codes import code_label
 from tradewake.functions.registry import register_functions
@@ -16,14 +17,12 @@ from tradewake.operators import measures
 from tradewake.operators.enrich import Dimension, enrich
 from tradewake.operators.lateral import explode_words
 from tradewake.plans import cdc, logs, stats, visits, wide
-from tradewake.session import shared_dir
+from tradewake.session import SETTINGS, shared_dir
 from tradewake.sources.dims import DimStore
 from tradewake.sources.topics import FileTopics
 from tradewake.streaming import jobs
-from tradewake.streaming.run import PROVIDER, drain, finish
+from tradewake.streaming.run import PROVIDER, drain, drain_to_folder, finish
 from tradewake.streaming.visitors import repair_is_new_stream
-from tradewake.session import SETTINGS
-from tradewake import constants as C
 
 BOUNCE_S = 4 * 3600
 LOOKBACK_S = 6 * 3600
@@ -348,3 +347,123 @@ def snake_to_camel(spark, sf):
     return camel_columns(m.table(spark, sf, "orders").select(
         F.col("o_orderkey").alias("order_key"), F.col("o_custkey").alias("user_id"),
         F.col("o_orderstatus").alias("order_status")))
+
+
+# Streams. Each runs over all files present and returns what it has written; rows whose window
+# or deadline the watermark has not passed stay in state, and the SQL leaves them out too.
+
+
+@query
+def stream_bounces(spark, sf):
+    p = m.page_log(m.stream(spark, sf, "events"))
+    return drain(spark, flat(visits.bounces(p, BOUNCE_S, ORDER)), "bounces")
+
+
+@query
+def stream_unique_visits(spark, sf):
+    p = m.page_log(m.stream(spark, sf, "events"))
+    first = visits.unique_visits(p, entry_only=False, order=ORDER)
+    return drain(spark, first.select("common.mid", times.day_key("ts").alias("day")), "visits")
+
+
+@query
+def stream_repair_is_new(spark, sf):
+    raw = m.raw_log(m.stream(spark, sf, "events")).select("value")
+    repaired = logs.valid_logs(repair_is_new_stream(raw))
+    return drain(spark, repaired.select(
+        "common.mid", "common.is_new", "page.page_id", "ts"), "repair")
+
+
+@query
+def stream_visitor_stats(spark, sf):
+    """Unique visits and bounces are streams of their own; the statistics read what they wrote."""
+    p = m.page_log(m.stream(spark, sf, "events"))
+    columns = ["event_id", "common", "page", "ts"]
+    uv = _staged(spark, visits.unique_visits(p.select(*columns), order=ORDER), "uv")
+    uj = _staged(spark, visits.bounces(p.select(*columns), BOUNCE_S, ORDER), "uj")
+    counted = stats.visitor_stats(p, uv, uj, window="1 hour", as_of_ms=AS_OF_MS)
+    # Which page of a day arrives first is not fixed, so neither are the dimensions of uv_ct.
+    return drain(spark, counted.drop("uv_ct"), "visitor_stats")
+
+
+def _staged(spark, df, name):
+    """What the stream wrote, read as the next stream."""
+    return spark.readStream.schema(df.schema).parquet(drain_to_folder(spark, df, name))
+
+
+@query
+def stream_search_keywords(spark, sf):
+    p = m.page_log(m.stream(spark, sf, "events"))
+    return drain(spark, stats.search_keywords(p, "1 hour", AS_OF_MS), "keywords")
+
+
+@query
+def stream_order_wide(spark, sf):
+    joined = wide.order_wide(
+        m.order_info(m.stream(spark, sf, "orders")),
+        m.order_detail(m.stream(spark, sf, "lineitem")), -MONTH_MS, MONTH_MS)
+    return drain(spark, doubles(joined.select(
+        "detail_id", "order_id", "sku_id", "order_price", "create_time")), "order_wide")
+
+
+@query
+def stream_payment_wide(spark, sf):
+    events = m.stream(spark, sf, "events")
+    paid = wide.payment_wide(m.payment_info(events), m.clicked_orders(events), LOOKBACK_S)
+    return drain(spark, paid.select("payment_id", "detail_id", "order_id"), "payment_wide")
+
+
+@query
+def stream_product_stats(spark, sf):
+    lineitem = m.stream(spark, sf, "lineitem")
+    counted = stats.product_stats(order_wide=m.line_orders(lineitem),
+                                  refund=m.line_refunds(lineitem),
+                                  window="1 day", as_of_ms=AS_OF_MS)
+    return drain(spark, doubles(counted.select(
+        "stt", "edt", "sku_id", "order_ct", "order_sku_num", "order_amount",
+        "refund_order_ct", "refund_amount")), "product_stats")
+
+
+# Jobs, over topics of text files
+
+
+def _topics(spark, **written: DataFrame) -> FileTopics:
+    """File topics in a fresh shared folder, filled with the given rows."""
+    topics = FileTopics(shared_dir(spark, "topics"))
+    for topic, rows in written.items():
+        topics.write_batch(rows, topic)
+    return topics
+
+
+@query
+def job_user_log(spark, sf):
+    """Records per topic the log job wrote to."""
+    spark.conf.set(PROVIDER, SETTINGS[PROVIDER])
+    raw = m.raw_log(m.table(spark, sf, "events")).select("value")
+    topics = _topics(spark, **{C.TOPIC_RAW_LOG: raw})
+    finish(jobs.user_log_job(spark, topics, shared_dir(spark, "checkpoint"), once=True))
+    written = spark.read.option("basePath", topics.root).text(
+        [topics.path(t) for t in (C.TOPIC_START_LOG, C.TOPIC_PAGE_LOG, C.TOPIC_DISPLAY_LOG,
+                                  C.TOPIC_QUARANTINE)])
+    return written.groupBy("topic").agg(F.count("*").alias("records"))
+
+
+def _business(spark, sf):
+    topics = _topics(spark, **{C.TOPIC_CDC: m.change_records(spark, sf)})
+    dims = DimStore(spark, shared_dir(spark, "dims"))
+    finish(jobs.business_job(spark, topics, shared_dir(spark, "checkpoint"),
+                             lambda: m.routing(spark), dims, once=True))
+    return topics, dims
+
+
+@query
+def job_business_facts(spark, sf):
+    topics, _ = _business(spark, sf)
+    return topics.read(spark, C.TOPIC_ORDER_INFO)
+
+
+@query
+def job_business_dims(spark, sf):
+    _, dims = _business(spark, sf)
+    users = dims.read("dim_user_info").select("id", F.col("data")["name"].alias("name"), "ts")
+    return users.unionByName(dims.read("dim_base_province"))

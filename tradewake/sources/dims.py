@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from tradewake.plans.cdc import dim_schema, upsert_dim
 
@@ -53,7 +54,7 @@ class DimStore:
             return False
         schema = dim_schema(sink_columns)
         for column in order:
-            schema = schema.add(column, "bigint")
+            schema = schema.add(column, T.LongType())
         self.write(table, self.spark.createDataFrame([], schema))
         return True
 

@@ -31,8 +31,8 @@ def finish(query: StreamingQuery, seconds: int = 600) -> None:
         raise TimeoutError(f"stream did not end within {seconds} s")
 
 
-def drain(spark: SparkSession, df: DataFrame, name: str, seconds: int = 600) -> DataFrame:
-    """Run a stream over all present input and return what it appended.
+def drain_to_folder(spark: SparkSession, df: DataFrame, name: str, seconds: int = 600) -> str:
+    """Run a stream over all present input; the parquet folder of what it appended.
 
     Results and checkpoint are written below the cluster's shared checkpoint folder.
     """
@@ -44,4 +44,10 @@ def drain(spark: SparkSession, df: DataFrame, name: str, seconds: int = 600) ->
         .trigger(availableNow=True).start(f"{base}/rows")
     )
     finish(query, seconds)
-    return spark.read.schema(df.schema).parquet(f"{base}/rows")
+    return f"{base}/rows"
+
+
+def drain(spark: SparkSession, df: DataFrame, name: str, seconds: int = 600) -> DataFrame:
+    """As :func:`drain_to_folder`, read back."""
+    folder = drain_to_folder(spark, df, name, seconds)
+    return spark.read.schema(df.schema).parquet(folder)
