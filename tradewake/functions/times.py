@@ -20,17 +20,17 @@ def day_key(ms: Column | str) -> Column:
 
 def day_millis(text: Column | str) -> Column:
     """Date prefix of a text time to epoch milliseconds of that midnight; null when unreadable."""
-    prefix = F.substring(_col(text), 1, 10)
-    return F.unix_millis(F.try_to_timestamp(prefix, F.lit("yyyy-MM-dd")))
+    date = F.substring(_col(text), 1, 10).try_cast("date")
+    return F.unix_millis(date.cast("timestamp"))
 
 
 def text_millis(text: Column | str, zone: str = BUSINESS_ZONE) -> Column:
     """``yyyy-MM-dd HH:mm:ss`` read in ``zone`` to epoch milliseconds; null when unreadable.
 
-    The offset is part of the parsed text, so the session zone plays no role.
+    The offset is part of the cast text, so the session zone plays no role. The cast is many
+    times faster than a parse by pattern.
     """
-    zoned = F.concat(_col(text), F.lit(f" {zone}"))
-    return F.unix_millis(F.try_to_timestamp(zoned, F.lit(f"{TEXT_FORMAT} XXX")))
+    return F.unix_millis(F.concat(_col(text), F.lit(zone)).try_cast("timestamp"))
 
 
 def age_years(birthday: Column | str, as_of: Column | None = None) -> Column:

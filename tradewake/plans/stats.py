@@ -47,26 +47,20 @@ def visitor_stats(page: DataFrame, unique_visits: DataFrame, bounces: DataFrame,
     ).select(*VISITOR_STATS.fieldNames())
 
 
-def count_ids_once(rows: DataFrame, count: str, window: str) -> DataFrame:
-    """Timed measure rows in which ``count`` is 1 once per window, SKU and ``_id``.
+def count_ids_once(rows: DataFrame, count: str) -> DataFrame:
+    """Windowed measure rows in which ``count`` is the distinct ``_id`` per window and SKU.
 
-    In batch the rows of one id are summed into one. In a stream they pass on as they are and
-    a deduplicated copy carries the count, since streams have no distinct aggregates.
+    In batch a distinct aggregate, which Spark plans with a first shuffle that includes the
+    id, so a hot SKU is spread. In a stream rows pass on as they are and a deduplicated copy
+    carries the count, since streams have no distinct aggregates; state goes when the window
+    closes.
     """
-    with_window = rows.withColumn("_w", F.window("_rowtime", window))
-    one = F.lit(1).cast("bigint")
     if not rows.isStreaming:
-        fixed = ("sku_id", "_id", "ts", "_rowtime")
-        sums = [F.sum(c).alias(c) for c in rows.columns if c not in fixed]
-        grouped = with_window.groupBy("_w", "sku_id", "_id").agg(*sums)
-        return grouped.withColumns({
-            "_rowtime": F.col("_w.start"),
-            count: F.when(F.col("_id").isNotNull(), one).otherwise(0),
-        }).drop("_w", "_id")
-    # The window is the event time of this branch: its state goes when the window closes.
-    ids = with_window.filter(F.col("_id").isNotNull()).select("_w", "sku_id", "_id")
+        sums = [F.sum(c).alias(c) for c in rows.columns if c not in ("_w", "sku_id", "_id")]
+        return rows.groupBy("_w", "sku_id").agg(*sums, F.count_distinct("_id").alias(count))
+    ids = rows.filter(F.col("_id").isNotNull()).select("_w", "sku_id", "_id")
     once = ids.dropDuplicates(["_w", "sku_id", "_id"])
-    counted = once.select("sku_id", one.alias(count), F.window_time("_w").alias("_rowtime"))
+    counted = once.select("_w", "sku_id", F.lit(1).cast("bigint").alias(count))
     return rows.drop("_id").unionByName(counted, allowMissingColumns=True)
 
 
@@ -75,9 +69,10 @@ def product_rows(page: DataFrame | None = None, favor: DataFrame | None = None,
                  payment_wide: DataFrame | None = None, refund: DataFrame | None = None,
                  comment: DataFrame | None = None, window: str = WINDOW,
                  delay: str = "2 seconds") -> list[DataFrame]:
-    """Timed measure rows of every input that is given; rows whose SKU is no number are left out."""
+    """Measure rows with their window ``_w``; rows whose SKU is no number are left out."""
     def measured(source, rows):
-        return timed(rows(source), delay).filter(F.col("sku_id").isNotNull())
+        known = timed(rows(source), delay).filter(F.col("sku_id").isNotNull())
+        return known.withColumn("_w", F.window("_rowtime", window)).drop("_rowtime", "ts")
 
     found = []
     for source, rows in ((page, M.click_and_display_rows), (favor, M.favor_rows),
@@ -88,7 +83,7 @@ def product_rows(page: DataFrame | None = None, favor: DataFrame | None = None,
                                 (payment_wide, M.payment_rows, "paid_order_ct"),
                                 (refund, M.refund_rows, "refund_order_ct")):
         if source is not None:
-            found.append(count_ids_once(measured(source, rows), count, window))
+            found.append(count_ids_once(measured(source, rows), count))
     if not found:
         raise ValueError("product statistics need at least one input")
     return found
@@ -107,9 +102,9 @@ def product_stats(page: DataFrame | None = None, favor: DataFrame | None = None,
     rows = union_all(product_rows(
         page, favor, cart, order_wide, payment_wide, refund, comment, window, delay))
     given = set(rows.columns)
-    totals = rows.groupBy(F.window("_rowtime", window), "sku_id").agg(
+    totals = rows.groupBy("_w", "sku_id").agg(
         *[F.sum(m).alias(m) for m in (*M.PRODUCT_COUNTS, *M.PRODUCT_AMOUNTS) if m in given]
-    ).select(*window_bounds(), "*").drop("window")
+    ).select(*window_bounds("_w"), "*").drop("_w")
     named = enrich_all(totals, dims)
     have = set(named.columns)
 
