@@ -34,8 +34,8 @@ def time_text(c: str) -> Column:
 
 def page_log(events: DataFrame, *extra: Column) -> DataFrame:
     """Events as page logs; ``event_id`` stays as the tie-break between equal times."""
-    k = F.get_json_object("props", "$.k").cast("int")
-    kind = F.col("event_type")
+    events = events.withColumn("k", F.get_json_object("props", "$.k").cast("int"))
+    k, kind = F.col("k"), F.col("event_type")
     page_id = (F.when(kind == "view", "good_list").when(kind == "click", "good_detail")
                .when(kind == "purchase", "payment").when(kind == "signup", "home").otherwise(""))
     item = F.when(kind == "view", F.concat(F.lit("View Item-"), k.cast("string")))
@@ -66,17 +66,16 @@ def page_log(events: DataFrame, *extra: Column) -> DataFrame:
 
 def raw_log(events: DataFrame) -> DataFrame:
     """Events as raw log text: sign-ups are start logs, some texts are cut or lack a device."""
-    k = F.get_json_object("props", "$.k").cast("int")
     kind = F.col("event_type")
     start = (F.when(kind == "signup", F.create_map(F.lit("entry"), F.lit("icon")))
              .when(kind == "error", F.create_map().cast("map<string,string>")))
-    logs = page_log(events, start.alias("start"), k.alias("_k"))
+    logs = page_log(events, start.alias("start"), F.col("k"))
     whole = F.to_json(F.struct("common", "start", "page", "display", "ts"))
     no_device = F.to_json(F.struct("page", "ts"))
     return logs.select(
         "event_id",
-        F.when(F.col("_k") == 99, F.substring(whole, 1, 30))
-        .when(F.col("_k") == 98, no_device).otherwise(whole).alias("value"),
+        F.when(F.col("k") == 99, F.substring(whole, 1, 30))
+        .when(F.col("k") == 98, no_device).otherwise(whole).alias("value"),
     )
 
 

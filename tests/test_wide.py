@@ -127,3 +127,12 @@ def test_chained_lookups(spark):
     out = enrich_all(facts, wide.product_dimensions(skus, spus))
     assert sorted((r.sku_id, r.spu_id, r.spu_name) for r in out.collect()) == [
         (5, 50, "phone"), (6, None, None)]
+
+
+def test_salted_lookup_gives_the_same_rows(spark):
+    facts = spark.createDataFrame([(1, i) for i in range(50)] + [(2, 0)], "id bigint, n int")
+    dim = spark.createDataFrame([("1", "one")], "ID string, NAME string")
+    out = enrich(facts, Dimension(dim, {"id": "ID"}, {"name": "NAME"}, salts=4))
+    assert out.columns == ["id", "n", "name"]
+    assert sorted((r.id, r.n, r.name) for r in out.collect()) == (
+        [(1, i, "one") for i in range(50)] + [(2, 0, None)])

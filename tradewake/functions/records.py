@@ -14,12 +14,16 @@ def parse_rows(raw: DataFrame, schema: T.StructType, value: str = "value",
     """Parse the JSON text of ``value``; fields unknown to ``schema`` are ignored.
 
     Text that is not JSON, or holds a value of the wrong type, is returned in ``_corrupt``.
+    Null text gives no row.
+
+    The row is unpacked by a generator on purpose: filters on its fields then stay above it.
+    Pushed below a projection they would parse the text once more for every field they test.
     """
     with_corrupt = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
     row = F.from_json(
         F.col(value), with_corrupt, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
     )
-    return raw.select(*keep, row.alias("_r")).select(*keep, "_r.*")
+    return raw.select(*keep, F.inline(F.array(row)))
 
 
 def to_values(df: DataFrame, *keep: str) -> DataFrame:

@@ -13,26 +13,23 @@ from tradewake.constants import SINK_DIM, SINK_FACT
 from tradewake.functions.records import CORRUPT, parse_rows
 from tradewake.functions.text import in_comma_list, is_blank
 from tradewake.operators.keyed import first_per_key
+from tradewake.operators.sides import broadcast_if_small
 from tradewake.schemas import CDC
 
-MIN_PAYLOAD = 3
-
-
 @dataclass(frozen=True)
 class CdcSplit:
     facts: DataFrame
     dims: DataFrame
 
 
-def has_payload(value: Column) -> Column:
-    """``data`` is present and its text is longer than an empty object."""
-    return F.coalesce(F.length(F.get_json_object(value, "$.data")), F.lit(0)) > MIN_PAYLOAD
-
-
 def parse_cdc(raw: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
-    """Change records with a payload; other rows are dropped before parsing."""
-    rows = parse_rows(raw.filter(has_payload(F.col("value"))), CDC, keep=keep)
-    return rows.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
+    """Change records whose ``data`` is an object with fields; other rows are dropped.
+
+    An object without fields is the only one whose text is at most three characters long, so
+    this is the length test on the text, made on the parsed row.
+    """
+    rows = parse_rows(raw, CDC, keep=keep)
+    return rows.filter(F.col(CORRUPT).isNull() & (F.cardinality("data") > 0)).drop(CORRUPT)
 
 
 def normal_type(kind: Column) -> Column:
@@ -44,7 +41,8 @@ def apply_config(cdc: DataFrame, config: DataFrame) -> DataFrame:
     """Change records joined with their routing entry, the payload cut to the listed columns.
 
     Records without an entry are dropped. The routing table has one row per source table and
-    operation, so Spark broadcasts it by its size; no hint forces that.
+    operation. It is broadcast after its rows are counted: a shuffle would send all records of
+    a busy table to one task.
     """
     records = cdc.withColumn("type", normal_type(F.col("type")))
     entries = config.select(
@@ -52,7 +50,7 @@ def apply_config(cdc: DataFrame, config: DataFrame) -> DataFrame:
         F.coalesce("sink_pk", F.lit("id")).alias("sink_pk"),
     )
     routed = records.join(
-        entries,
+        broadcast_if_small(entries),
         (F.col("table") == F.col("source_table")) & (F.col("type") == F.col("operate_type")),
     ).drop("source_table", "operate_type")
     listed = F.map_filter("data", lambda k, _: in_comma_list(k, F.col("sink_columns")))
