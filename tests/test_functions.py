@@ -5,6 +5,7 @@ from tradewake.functions import times
 from tradewake.functions.codes import code_label, code_table
 from tradewake.functions.text import camel_columns, camel_name, in_comma_list, is_blank, joined_key, words
 from tradewake.schemas import TRANSIENT, drop_transient
+from tradewake.session import sizing
 from tradewake.sources import jdbc
 from tradewake.sources.topics import KafkaTopics
 
@@ -79,3 +80,9 @@ def test_connection_options():
     read = jdbc.read_options("jdbc:x", "d", {"user": "u"}, ("id", 0, 9, 3))
     assert read["dbtable"] == "d" and read["numPartitions"] == "3" and read["user"] == "u"
     assert jdbc.write_options("jdbc:x", "d", batch_rows=5)["batchsize"] == "5"
+
+
+def test_sizing():
+    assert sizing(0, 100)["spark.sql.shuffle.partitions"] == "200"
+    assert sizing(10 << 40, 8000)["spark.sql.shuffle.partitions"] == "40960"
+    assert sizing(100 << 40, 8000)["spark.sql.shuffle.partitions"] == "50000"

@@ -277,3 +277,24 @@ def test_order_layers_end_to_end(spark, topics, tmp_path):
                                     once=True, as_of_ms=0))
     assert sorted((r.keyword, r.ct, r.source, r.stt) for r in got) == [
         ("red", 1, "ORDER", "2021-06-18 03:00:00"), ("shoe", 1, "ORDER", "2021-06-18 03:00:00")]
+
+
+def test_cached_dimension_follows_new_versions(spark, tmp_path):
+    dims = DimStore(spark, str(tmp_path))
+    assert dims.cached("d") is None
+    rows = spark.createDataFrame([("1", 1)], "id string, ts bigint")
+    dims.upsert("d", rows, ["id"])
+    first = dims.cached("d")
+    assert first.is_cached and dims.cached("d") is first
+    dims.upsert("d", spark.createDataFrame([("2", 2)], rows.schema), ["id"])
+    assert dims.cached("d").count() == 2
+    assert not first.is_cached or dims.cached("d") is not first
+    dims.invalidate("d")
+    assert dims.cached("d").count() == 2
+
+
+def test_stream_to_topic(spark, topics):
+    put(spark, topics, "in", ["a"], ["b"])
+    writer = topics.write_stream(topics.read_stream(spark, "in"), "out", shared_dir(spark, "t"))
+    finish(writer.trigger(availableNow=True).start())
+    assert sorted(r.value for r in topics.read(spark, "out").collect()) == ["a", "b"]

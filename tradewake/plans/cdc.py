@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -58,20 +58,37 @@ def apply_config(cdc: DataFrame, config: DataFrame) -> DataFrame:
     return routed.withColumn("data", kept)
 
 
-def route_cdc(cdc: DataFrame, config: DataFrame) -> CdcSplit:
-    """Facts (for topics) and dimension rows (for tables); other sink types are not routed."""
-    routed = apply_config(cdc, config)
+def split_routed(routed: DataFrame) -> CdcSplit:
     return CdcSplit(
         facts=routed.filter(F.col("sink_type") == SINK_FACT),
         dims=routed.filter(F.col("sink_type") == SINK_DIM),
     )
 
 
+def route_cdc(cdc: DataFrame, config: DataFrame) -> CdcSplit:
+    """Facts (for topics) and dimension rows (for tables); other sink types are not routed."""
+    return split_routed(apply_config(cdc, config))
+
+
 def fact_messages(facts: DataFrame) -> DataFrame:
     """``topic`` and JSON ``value`` of every fact, as multi-topic sinks take them (A4)."""
     return facts.select(F.col("sink_table").alias("topic"), F.to_json("data").alias("value"))
 
 
+def dim_tables(config: DataFrame) -> list[Row]:
+    """The dimension tables the routing table names: table, columns, key, and whether inserts go
+    there, in which case the table is created ahead of its first row.
+
+    Collected, since each becomes a write of its own; bounded by the routing table.
+    """
+    entries = config.filter(F.col("sink_type") == SINK_DIM)
+    return entries.groupBy("sink_table").agg(
+        F.max("sink_columns").alias("sink_columns"),
+        F.coalesce(F.max("sink_pk"), F.lit("id")).alias("pk"),
+        F.max(F.col("operate_type") == "insert").alias("on_insert"),
+    ).collect()
+
+
 def dim_schema(sink_columns: str) -> T.StructType:
     """A dimension table declared by the routing table: every column is text."""
     return T.StructType([T.StructField(c, T.StringType()) for c in sink_columns.split(",")])

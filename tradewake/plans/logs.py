@@ -44,22 +44,19 @@ def repair_is_new(logs: DataFrame, order: str = "ts") -> DataFrame:
     Rows flagged ``0`` neither set nor meet a first day. ``order`` is the column that says
     which flagged row of a device came first.
 
-    The first day is a per-device minimum, so it aggregates before the shuffle and joins back;
-    adaptive execution splits the log rows of a hot device in that join.
+    The first day is a per-device minimum, so it aggregates before the shuffle and joins back.
+    Only flagged rows take part in the join; the others, which are most of a log, are not
+    shuffled. Adaptive execution splits the rows of a hot device in that join.
     """
-    flagged = F.col("common.is_new") == "1"
+    flagged = F.coalesce(F.col("common.is_new") == "1", F.lit(False))
     day = day_key("ts").cast("int")
-    first = (
-        logs.filter(flagged)
-        .groupBy(F.col("common.mid").alias("_mid"))
-        .agg(F.min_by(day, F.col(order)).alias("_first_day"))
-    )
-    joined = logs.join(first, (F.col("common.mid") == F.col("_mid")) & flagged, "left")
-    stale = flagged & (F.col("_first_day") != day)
-    repaired = F.when(stale, F.lit("0")).otherwise(F.col("common.is_new"))
-    return joined.withColumn("common", set_field("common", "is_new", repaired)).drop(
-        "_mid", "_first_day"
-    )
+    new = logs.filter(flagged)
+    first = new.groupBy(F.col("common.mid").alias("_mid")).agg(
+        F.min_by(day, F.col(order)).alias("_first_day"))
+    joined = new.join(first, F.col("common.mid") == F.col("_mid"), "left")
+    repaired = F.when(F.col("_first_day") != day, F.lit("0")).otherwise(F.lit("1"))
+    changed = joined.withColumn("common", set_field("common", "is_new", repaired))
+    return changed.select(*logs.columns).unionByName(logs.filter(~flagged))
 
 
 def is_start() -> Column:

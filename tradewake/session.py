@@ -34,6 +34,21 @@ def build_session(app: str = "tradewake", master: str | None = None, **extra: st
     return builder.getOrCreate()
 
 
+def sizing(shuffle_bytes: int, cores: int) -> dict[str, str]:
+    """Settings for a batch job that shuffles about ``shuffle_bytes`` on ``cores``.
+
+    Starts with a partition per 256 MB, at least two per core and at most 50,000; adaptive
+    execution merges the small ones. Streams fix their number with the first checkpoint, so
+    set ``spark.sql.shuffle.partitions`` for the load to come.
+    """
+    parts = min(50_000, max(2 * cores, -(-shuffle_bytes // (256 << 20))))
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.files.maxPartitionBytes": "256MB",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256MB",
+    }
+
+
 def shared_dir(spark: SparkSession, purpose: str) -> str:
     """A new folder below the cluster's shared checkpoint folder.
 

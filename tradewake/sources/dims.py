@@ -19,6 +19,7 @@ class DimStore:
         self.spark = spark
         self.root = root.rstrip("/")
         self.keep = keep
+        self._cached: dict[str, tuple[int, DataFrame]] = {}
 
     def _path(self, table: str, version: int | None = None) -> str:
         folder = f"{self.root}/{table}"
@@ -39,6 +40,26 @@ class DimStore:
         found = self.versions(table)
         return self.spark.read.parquet(self._path(table, found[-1])) if found else None
 
+    def cached(self, table: str) -> DataFrame | None:
+        """The newest version, kept in executor memory until a newer one exists.
+
+        Asking costs one folder listing, so a stream can ask in every micro-batch.
+        """
+        found = self.versions(table)
+        if not found:
+            return None
+        version, rows = self._cached.get(table, (-1, None))
+        if version != found[-1]:
+            self.invalidate(table)
+            rows = self.spark.read.parquet(self._path(table, found[-1])).persist()
+            self._cached[table] = (found[-1], rows)
+        return rows
+
+    def invalidate(self, table: str) -> None:
+        _, rows = self._cached.pop(table, (-1, None))
+        if rows is not None:
+            rows.unpersist()
+
     def write(self, table: str, rows: DataFrame) -> int:
         found = self.versions(table)
         version = found[-1] + 1 if found else 0

@@ -9,15 +9,14 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tradewake import constants as C
 from tradewake import schemas as S
 from tradewake.functions.records import parse_rows, to_values
-from tradewake.functions.registry import register_functions
 from tradewake.operators.enrich import Dimension, enrich_all
-from tradewake.plans.cdc import dim_rows, fact_messages, parse_cdc, route_cdc
+from tradewake.plans.cdc import (apply_config, dim_rows, dim_tables, fact_messages, parse_cdc,
+                                 split_routed)
 from tradewake.plans.logs import quarantined_logs, split_logs, valid_logs
 from tradewake.plans.stats import product_keywords, product_stats, search_keywords, visitor_stats
 from tradewake.plans.visits import bounces, unique_visits
@@ -72,24 +71,25 @@ def business_job(spark: SparkSession, topics: Topics, checkpoint: str,
 
     def write(batch: DataFrame, batch_id: int) -> None:
         config = load_config().persist()
-        batch = batch.persist()
+        # Parsed and routed once; facts and every dimension table read the same rows.
+        routed = None
         try:
             if config.isEmpty():
                 raise ValueError("the routing table is empty")
-            split = route_cdc(parse_cdc(batch), config)
+            routed = apply_config(parse_cdc(batch), config).persist()
+            split = split_routed(routed)
             topics.write_batch(fact_messages(split.facts), batch_id=batch_id)
-            # One entry per dimension table: control data, bounded by the number of tables.
-            entries = config.filter(F.col("sink_type") == C.SINK_DIM).select(
-                "sink_table", "sink_columns", "sink_pk").dropDuplicates(["sink_table"])
-            for e in entries.collect():
-                pk = e.sink_pk or "id"
-                if e.sink_columns:
-                    dims.create(e.sink_table, e.sink_columns)
-                changes = dim_rows(split.dims, e.sink_table, e.sink_columns, pk)
-                if not changes.isEmpty():
-                    dims.upsert(e.sink_table, changes, [pk])
+            # Control data: one row per dimension table, bounded by the routing table.
+            changed = {r.sink_table for r in split.dims.select("sink_table").distinct().collect()}
+            for table in dim_tables(config):
+                if table.sink_columns and table.on_insert:
+                    dims.create(table.sink_table, table.sink_columns)
+                if table.sink_table in changed:
+                    rows = dim_rows(split.dims, table.sink_table, table.sink_columns, table.pk)
+                    dims.upsert(table.sink_table, rows, [table.pk])
         finally:
-            batch.unpersist()
+            if routed is not None:
+                routed.unpersist()
             config.unpersist()
 
     return start_batches(raw, checkpoint, write, once, every)
@@ -174,7 +174,6 @@ def search_keyword_job(spark: SparkSession, topics: Topics, checkpoint: str, sin
 
 def product_keyword_job(spark: SparkSession, topics: Topics, checkpoint: str, sink: Sink,
                         once: bool = False, **options) -> StreamingQuery:
-    register_functions(spark)
     stats = _rows(spark, topics, C.TOPIC_PRODUCT_STATS, S.PRODUCT_STATS_SQL, "product_keywords")
     return start_batches(product_keywords(stats, **options), checkpoint,
                          lambda rows, _: sink(rows), once)

@@ -23,6 +23,15 @@ def start_batches(df: DataFrame, checkpoint: str, handle: Callable[[DataFrame, i
     return writer.start()
 
 
+def show_stream(df: DataFrame, prefix: str, checkpoint: str) -> StreamingQuery:
+    """Print the rows of every micro-batch under a prefix, to look at a stream."""
+    def show(rows: DataFrame, batch_id: int) -> None:
+        print(f"{prefix} {batch_id}")
+        rows.show(truncate=False)
+
+    return start_batches(df, checkpoint, show)
+
+
 def finish(query: StreamingQuery, seconds: int = 600) -> None:
     """Wait for a query that ends by itself; stop it and fail when it does not."""
     done = query.awaitTermination(seconds)
