@@ -17,11 +17,11 @@ from tradewake.operators import measures
 from tradewake.operators.enrich import Dimension, enrich
 from tradewake.operators.lateral import explode_words
 from tradewake.plans import cdc, logs, stats, visits, wide
-from tradewake.session import SETTINGS, shared_dir
+from tradewake.session import shared_dir
 from tradewake.sources.dims import DimStore
 from tradewake.sources.topics import FileTopics
 from tradewake.streaming import jobs
-from tradewake.streaming.run import PROVIDER, drain, drain_to_folder, finish
+from tradewake.streaming.run import drain, drain_to_folder, finish, stream_settings
 from tradewake.streaming.visitors import repair_is_new_stream
 
 BOUNCE_S = 4 * 3600
@@ -438,10 +438,11 @@ def _topics(spark, **written: DataFrame) -> FileTopics:
 @query
 def job_user_log(spark, sf):
     """Records per topic the log job wrote to."""
-    spark.conf.set(PROVIDER, SETTINGS[PROVIDER])
     raw = m.raw_log(m.table(spark, sf, "events")).select("value")
     topics = _topics(spark, **{C.TOPIC_RAW_LOG: raw})
-    finish(jobs.user_log_job(spark, topics, shared_dir(spark, "checkpoint"), once=True))
+    with stream_settings(spark):
+        started = jobs.user_log_job(spark, topics, shared_dir(spark, "checkpoint"), once=True)
+    finish(started)
     written = spark.read.option("basePath", topics.root).text(
         [topics.path(t) for t in (C.TOPIC_START_LOG, C.TOPIC_PAGE_LOG, C.TOPIC_DISPLAY_LOG,
                                   C.TOPIC_QUARANTINE)])

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
@@ -10,6 +11,23 @@ from pyspark.sql.streaming import StreamingQuery
 from tradewake.session import SETTINGS, shared_dir
 
 PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+PARTITIONS = "spark.sql.shuffle.partitions"
+
+
+@contextmanager
+def stream_settings(spark: SparkSession, partitions: int | None = None) -> Iterator[None]:
+    """Settings a stream takes over when it starts: RocksDB state, in as many partitions as the
+    cluster has cores unless told otherwise. Afterwards the session is as it was."""
+    cores = spark.sparkContext.defaultParallelism
+    wanted = {PROVIDER: SETTINGS[PROVIDER], PARTITIONS: str(partitions or cores)}
+    before = {key: spark.conf.get(key) for key in wanted}
+    try:
+        for key, value in wanted.items():
+            spark.conf.set(key, value)
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
 
 
 def start_batches(df: DataFrame, checkpoint: str, handle: Callable[[DataFrame, int], None],
@@ -45,13 +63,13 @@ def drain_to_folder(spark: SparkSession, df: DataFrame, name: str, seconds: int
 
     Results and checkpoint are written below the cluster's shared checkpoint folder.
     """
-    spark.conf.set(PROVIDER, SETTINGS[PROVIDER])
     base = shared_dir(spark, name)
-    query = (
-        df.writeStream.format("parquet").outputMode("append")
-        .option("checkpointLocation", f"{base}/checkpoint")
-        .trigger(availableNow=True).start(f"{base}/rows")
-    )
+    with stream_settings(spark):
+        query = (
+            df.writeStream.format("parquet").outputMode("append")
+            .option("checkpointLocation", f"{base}/checkpoint")
+            .trigger(availableNow=True).start(f"{base}/rows")
+        )
     finish(query, seconds)
     return f"{base}/rows"
 

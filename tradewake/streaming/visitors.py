@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -15,30 +13,32 @@ from tradewake.plans.logs import usable
 from tradewake.schemas import RAW_LOG
 
 
-class FirstDay(StatefulProcessor):
+def first_day_processor() -> StatefulProcessor:
     """Keeps the first day a device was flagged new, and clears the flag on other days.
 
     Rows pass through in Arrow batches and are never collected per device. Inside one batch
     they count in time order, across batches in arrival order.
     """
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.day = handle.getValueState("first_day", "day int")
+    # Defined here so that it is sent to the workers by value and needs no installed package.
+    class FirstDay(StatefulProcessor):
+        def init(self, handle: StatefulProcessorHandle) -> None:
+            self.day = handle.getValueState("first_day", "day int")
+
+        def handleInputRows(self, key, rows, timerValues):
+            first = self.day.get()[0] if self.day.exists() else None
+            for batch in rows:
+                batch = batch.sort_values("ts", kind="stable")
+                if first is None and len(batch):
+                    first = int(batch["day"].iloc[0])
+                    self.day.update((first,))
+                flag = (batch["day"] == first).map({True: "1", False: "0"})
+                yield pd.DataFrame({"is_new": flag, "value": batch["value"]})
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues):
-        first = self.day.get()[0] if self.day.exists() else None
-        for batch in rows:
-            batch = batch.sort_values("ts", kind="stable")
-            if first is None and len(batch):
-                first = int(batch["day"].iloc[0])
-                self.day.update((first,))
-            yield pd.DataFrame({
-                "is_new": (batch["day"] == first).map({True: "1", False: "0"}),
-                "value": batch["value"],
-            })
+        def close(self) -> None:
+            pass
 
-    def close(self) -> None:
-        pass
+    return FirstDay()
 
 
 def repair_is_new_stream(raw: DataFrame) -> DataFrame:
@@ -48,7 +48,7 @@ def repair_is_new_stream(raw: DataFrame) -> DataFrame:
     """
     logs = parse_rows(raw, RAW_LOG, keep=("value",))
     flagged = usable() & F.coalesce(F.col("common.is_new") == "1", F.lit(False))
-    columns = [c for c in logs.columns]
+    columns = logs.columns
 
     through = (
         logs.filter(flagged)
@@ -56,7 +56,7 @@ def repair_is_new_stream(raw: DataFrame) -> DataFrame:
                 "value")
         .groupBy("mid")
         .transformWithStateInPandas(
-            FirstDay(), outputStructType="is_new string, value string",
+            first_day_processor(), outputStructType="is_new string, value string",
             outputMode="append", timeMode="None")
     )
     repaired = parse_rows(through, RAW_LOG, keep=("is_new", "value")).withColumn(
