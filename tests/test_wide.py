@@ -136,3 +136,12 @@ def test_salted_lookup_gives_the_same_rows(spark):
     assert out.columns == ["id", "n", "name"]
     assert sorted((r.id, r.n, r.name) for r in out.collect()) == (
         [(1, i, "one") for i in range(50)] + [(2, 0, None)])
+
+
+def test_interval_join_of_one_hot_key_compares_neighbours_only(spark):
+    """All rows share a key: all pairs would be 3.6 billion, matching ones are 11 per row."""
+    def rows():
+        return spark.range(60_000).select(
+            F.lit(1).alias("k"), F.timestamp_millis(F.col("id") * 1000).alias("t"))
+    out = interval_join(rows(), rows(), "k", "k", "t", "t", -5000, 5000)
+    assert out.count() == 60_000 * 11 - 2 * (5 + 4 + 3 + 2 + 1)
