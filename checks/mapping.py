@@ -206,7 +206,7 @@ def categories(nation: DataFrame) -> DataFrame:
 
 
 def _envelope(df: DataFrame, name: str, kind: str, ts: Column, /, **data: str) -> DataFrame:
-    body = [F.col(c).cast("string").alias(n) for n, c in data.items()]
+    body = [F.col(c).alias(n) for n, c in data.items()]
     payload = F.struct(*body) if body else F.create_map().cast("map<string,string>")
     return df.select(F.to_json(F.struct(
         F.lit(name).alias("table"), F.lit(kind).alias("type"), payload.alias("data"),

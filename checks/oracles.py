@@ -171,7 +171,7 @@ FROM pl WHERE page_id = 'good_detail'
 UNION ALL SELECT CAST(x AS BIGINT), 0, 1, ts FROM shown WHERE item_type = 'sku_id'""",
     "route_cdc_facts": """
 SELECT 'dwd_order_info' AS topic,
-  '{"id":"' || o_orderkey || '","user_id":"' || o_custkey || '"}' AS value FROM orders""",
+  '{"id":' || o_orderkey || ',"user_id":' || o_custkey || '}' AS value FROM orders""",
     "route_cdc_dims": """
 SELECT 'dim_user_info' AS sink_table, 'id' AS sink_pk, 'insert' AS type,
   CAST(c_custkey AS VARCHAR) AS id, c_name AS name, c_mktsegment AS segment,
@@ -320,7 +320,7 @@ UNION ALL SELECT 'dwd_page_log', count(*) FROM pl WHERE event_type <> 'signup' A
 UNION ALL SELECT 'dwd_display_log', count(*) FROM shown JOIN pl USING (event_id) WHERE k < 98
 UNION ALL SELECT 'dwd_quarantine', count(*) FROM pl WHERE k >= 98""",
     "job_business_facts": """
-SELECT '{"id":"' || o_orderkey || '","user_id":"' || o_custkey || '"}' AS value FROM orders""",
+SELECT '{"id":' || o_orderkey || ',"user_id":' || o_custkey || '}' AS value FROM orders""",
     "job_business_dims": """
 SELECT CAST(c_custkey AS VARCHAR) AS id, c_name AS name, CAST(0 AS BIGINT) AS ts FROM customer
 UNION ALL SELECT CAST(n_nationkey AS VARCHAR), n_name, 0 FROM nation""",

@@ -156,9 +156,9 @@ def route_cdc_facts(spark, sf):
 @query
 def route_cdc_dims(spark, sf):
     return _routed(spark, sf).dims.select(
-        "sink_table", "sink_pk", "type", F.col("data")["id"].alias("id"),
-        F.col("data")["name"].alias("name"), F.col("data")["segment"].alias("segment"),
-        F.col("data")["region_id"].alias("region_id"))
+        "sink_table", "sink_pk", "type", F.col("data")["id"].cast("string").alias("id"),
+        F.col("data")["name"].cast("string").alias("name"), F.col("data")["segment"].cast("string").alias("segment"),
+        F.col("data")["region_id"].cast("string").alias("region_id"))
 
 
 @query

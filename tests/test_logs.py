@@ -62,6 +62,11 @@ def test_malformed_logs_are_set_aside(spark):
     assert bad == [0, 1, 2, 3, 4]
 
 
+def test_numbers_may_be_quoted(spark):
+    values = [json.dumps({"common": {"mid": "a"}, "ts": "12"})]
+    assert [r.ts for r in logs.valid_logs(parsed(spark, values)).collect()] == [12]
+
+
 def test_rows_survive_text(spark):
     value = log_text("a", 5, "1", page={"page_id": "p", "during_time": 3},
                      display=[{"item_type": "sku_id", "item": "9"}])

@@ -189,7 +189,7 @@ def test_business_job_reloads_its_config(spark, topics, tmp_path):
         [change("order_info", "insert", {"id": 1}), change("user_info", "bootstrap-insert", user, 1)],
         [change("user_info", "insert", {**user, "GENDER": "M"}, 2)])
     run()
-    assert [r.value for r in topics.read(spark, C.TOPIC_ORDER_INFO).collect()] == ['{"id":"1"}']
+    assert [r.value for r in topics.read(spark, C.TOPIC_ORDER_INFO).collect()] == ['{"id":1}']
     assert [tuple(r) for r in dims.read("dim_user_info").collect()] == [("1", "M", 2)]
     config[0] = CONFIG[1:]
     put(spark, topics, C.TOPIC_CDC, [change("order_info", "insert", {"id": 2})], first=7)

@@ -13,17 +13,22 @@ def parse_rows(raw: DataFrame, schema: T.StructType, value: str = "value",
                keep: tuple[str, ...] = ()) -> DataFrame:
     """Parse the JSON text of ``value``; fields unknown to ``schema`` are ignored.
 
-    Text that is not JSON, or holds a value of the wrong type, is returned in ``_corrupt``.
-    Null text gives no row.
+    Text that is not JSON, or holds a value of the wrong shape, is returned in ``_corrupt``.
+    Numbers at the top level may be quoted; text that is no number gives null.
 
     The row is unpacked by a generator on purpose: filters on its fields then stay above it.
     Pushed below a projection they would parse the text once more for every field they test.
     """
-    with_corrupt = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
+    text = T.StringType()
+    as_read = [T.StructField(f.name, text if isinstance(f.dataType, T.NumericType) else f.dataType)
+               for f in schema]
+    with_corrupt = T.StructType([*as_read, T.StructField(CORRUPT, text)])
     row = F.from_json(
         F.col(value), with_corrupt, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
     )
-    return raw.select(*keep, F.inline(F.array(row)))
+    typed = [F.col(f.name).try_cast(f.dataType).alias(f.name)
+             if isinstance(f.dataType, T.NumericType) else F.col(f.name) for f in schema]
+    return raw.select(*keep, F.inline(F.array(row))).select(*keep, *typed, CORRUPT)
 
 
 def to_values(df: DataFrame, *keep: str) -> DataFrame:

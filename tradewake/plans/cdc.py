@@ -102,9 +102,10 @@ def dim_rows(dims: DataFrame, sink_table: str, sink_columns: str | None, pk: str
     """
     rows = dims.filter(F.col("sink_table") == sink_table)
     if sink_columns:
-        columns = [F.col("data")[c].alias(c) for c in sink_columns.split(",")]
+        columns = [F.col("data")[c].cast("string").alias(c) for c in sink_columns.split(",")]
     else:
-        columns = [F.col("data")[pk].alias(pk), F.col("data")]
+        as_text = F.transform_values("data", lambda _, v: v.cast("string"))
+        columns = [F.col("data")[pk].cast("string").alias(pk), as_text.alias("data")]
     return rows.select(*columns, *order)
 
 

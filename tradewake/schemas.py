@@ -26,7 +26,8 @@ _DISPLAY = T.ArrayType(_schema(item_type=_TEXT, item=_TEXT))
 RAW_LOG = _schema(common=_COMMON, start=_TEXT_MAP, page=_PAGE, display=_DISPLAY, ts=_LONG)
 PAGE_LOG = _schema(common=_COMMON, page=_PAGE, display=_DISPLAY, ts=_LONG)
 PAGE_VIEW_SQL = _schema(common=_TEXT_MAP, page=_TEXT_MAP, ts=_LONG)
-CDC = _schema(table=_TEXT, type=_TEXT, data=_TEXT_MAP, ts=_LONG)
+# The payload differs per table; variants keep the JSON types of its values.
+CDC = _schema(table=_TEXT, type=_TEXT, data=T.MapType(_TEXT, T.VariantType()), ts=_LONG)
 TABLE_PROCESS = _schema(
     source_table=_TEXT, operate_type=_TEXT, sink_type=_TEXT, sink_table=_TEXT,
     sink_columns=_TEXT, sink_pk=_TEXT, sink_extend=_TEXT,
