@@ -272,6 +272,9 @@ SELECT o_orderkey, CASE o_orderstatus WHEN 'O' THEN 'unpaid' WHEN 'P' THEN 'paid
 SELECT CAST(c_custkey AS VARCHAR) AS ID, CAST(floor(date_diff('day',
   DATE '1950-01-01' + CAST(c_custkey % 20000 AS INTEGER), DATE '2024-01-01') / 365) AS INTEGER) AS age
 FROM customer""",
+    "text_functions": """
+SELECT o_orderkey, 'order_info:' || o_orderstatus AS key, o_orderstatus IN ('O', ' F', 'P') AS listed,
+  o_orderstatus = 'O' AS blank FROM orders""",
     "snake_to_camel": """
 SELECT o_orderkey AS "orderKey", o_custkey AS "userId", o_orderstatus AS "orderStatus" FROM orders""",
 }

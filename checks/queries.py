@@ -12,7 +12,7 @@ from tradewake import constants as C
 from tradewake.functions import times
 from tradewake.functions.codes import code_label
 from tradewake.functions.registry import register_functions
-from tradewake.functions.text import camel_columns
+from tradewake.functions.text import camel_columns, in_comma_list, is_blank, joined_key
 from tradewake.operators import measures
 from tradewake.operators.enrich import Dimension, enrich
 from tradewake.operators.lateral import explode_words
@@ -342,6 +342,15 @@ def user_age(spark, sf):
         "ID", times.age_years("BIRTHDAY", as_of).alias("age"))
 
 
+@query
+def text_functions(spark, sf):
+    status = F.col("o_orderstatus")
+    return m.table(spark, sf, "orders").select(
+        "o_orderkey", joined_key(F.lit("order_info"), status).alias("key"),
+        in_comma_list(status, F.lit("O, F,P")).alias("listed"),
+        is_blank(F.nullif(status, F.lit("O"))).alias("blank"))
+
+
 @query
 def snake_to_camel(spark, sf):
     return camel_columns(m.table(spark, sf, "orders").select(

@@ -41,6 +41,12 @@ def start_batches(df: DataFrame, checkpoint: str, handle: Callable[[DataFrame, i
     return writer.start()
 
 
+def late_rows(query: StreamingQuery) -> int:
+    """Rows the recent micro-batches dropped for being behind the watermark."""
+    return sum(op.numRowsDroppedByWatermark for p in query.recentProgress
+               for op in p.stateOperators)
+
+
 def show_stream(df: DataFrame, prefix: str, checkpoint: str) -> StreamingQuery:
     """Print the rows of every micro-batch under a prefix, to look at a stream."""
     def show(rows: DataFrame, batch_id: int) -> None:
