@@ -18,8 +18,9 @@ def timed(spark, rows):
     return df.withColumn("t", F.timestamp_millis("ms"))
 
 
-def joined(spark, left, right, low, high):
-    out = interval_join(timed(spark, left), timed(spark, right), "k", "k", "t", "t", low, high)
+def joined(spark, left, right, low, high, salts=1):
+    out = interval_join(timed(spark, left), timed(spark, right), "k", "k", "t", "t", low, high,
+                        salts)
     return sorted((r[0], r[1]) for r in out.select("l.ms", "r.ms").collect())
 
 
@@ -35,6 +36,7 @@ def test_interval_join_against_brute_force(spark):
         want = sorted((a, b) for k, a in left for j, b in right
                       if k == j and a + low <= b <= a + high)
         assert joined(spark, left, right, low, high) == want
+        assert joined(spark, left, right, low, high, salts=3) == want
 
 
 def test_interval_join_rejects_an_empty_interval(spark):

@@ -49,14 +49,18 @@ def bounces(page: DataFrame, within_s: int = 10, order: Sequence[str] = ("ts",),
         page.withColumn("_rowtime", rowtime_millis("ts"))
         .withWatermark("_rowtime", delay)
         .withColumn("_w", F.window("_rowtime", size, step))
-        .withColumn("_own", first_slot)
-        .withColumn("_mid", F.col("common.mid"))
+        .select(
+            F.col("common.mid").alias("_mid"), "_w",
+            # Only what can become a result travels with its columns.
+            F.when(first_slot & entry_page(), F.struct(*page.columns)).alias("_row"),
+            F.when(first_slot, sort_key).alias("_order"),
+            F.when(first_slot, F.col("ts")).alias("_last"),
+            F.when(~first_slot, F.col("ts")).alias("_next"),
+        )
     )
     last = windowed.groupBy("_mid", "_w").agg(
-        F.max_by(F.when(entry_page(), F.struct(*page.columns)),
-                 F.when(F.col("_own"), sort_key)).alias("_row"),
-        F.max(F.when(F.col("_own"), F.col("ts"))).alias("_last"),
-        F.min(F.when(~F.col("_own"), F.col("ts"))).alias("_next"),
+        F.max_by("_row", "_order").alias("_row"), F.max("_last").alias("_last"),
+        F.min("_next").alias("_next"),
     )
     alone = F.col("_next").isNull() | (F.col("_next") - F.col("_last") >= within_s * 1000)
     return last.filter(F.col("_row").isNotNull() & alone).select("_row.*")
