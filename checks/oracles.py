@@ -169,6 +169,13 @@ WITH {PL}, {SHOWN}
 SELECT CAST(k AS BIGINT) AS sku_id, CAST(1 AS BIGINT) AS click_ct, CAST(0 AS BIGINT) AS display_ct, ts
 FROM pl WHERE page_id = 'good_detail'
 UNION ALL SELECT CAST(x AS BIGINT), 0, 1, ts FROM shown WHERE item_type = 'sku_id'""",
+    "product_page_rows": f"""
+WITH {PL}, {SHOWN}
+SELECT CAST(k AS BIGINT) AS sku_id, CAST(1 AS BIGINT) AS click_ct, CAST(0 AS BIGINT) AS display_ct, ts
+FROM pl WHERE page_id = 'good_detail'
+UNION ALL SELECT CAST(x AS BIGINT), 0, 1, ts FROM shown WHERE item_type = 'sku_id'""",
+    "unreadable_products": f"""
+WITH {PL} SELECT item, ts FROM pl WHERE try_cast(item AS BIGINT) IS NULL""",
     "route_cdc_facts": """
 SELECT 'dwd_order_info' AS topic,
   '{"id":' || o_orderkey || ',"user_id":' || o_custkey || '}' AS value FROM orders""",

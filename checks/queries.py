@@ -141,6 +141,19 @@ def product_clicks_displays(spark, sf):
                        F.coalesce("display_ct", F.lit(0)).alias("display_ct"), "ts")
 
 
+@query
+def product_page_rows(spark, sf):
+    return measures.click_and_display_rows(page(spark, sf))
+
+
+@query
+def unreadable_products(spark, sf):
+    """Searches taken as products: none of their items is a SKU."""
+    p = page(spark, sf)
+    as_detail = F.col("page").withField("page_id", F.lit("good_detail"))
+    return measures.unreadable_products(p.withColumn("page", as_detail)).select("item", "ts")
+
+
 # Change records
 
 

@@ -36,6 +36,7 @@ def test_product_clicks_and_displays(spark):
         "7", "8", "None"]
     both = measures.click_and_display_rows(page)
     assert both.agg(F.sum("click_ct"), F.sum("display_ct")).collect()[0][:] == (2, 3)
+    assert sorted(r.item for r in measures.unreadable_products(page).collect()) == ["seven", "x"]
 
 
 def rows(spark, schema, *values):

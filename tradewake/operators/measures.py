@@ -78,8 +78,8 @@ def display_rows(page: DataFrame) -> DataFrame:
     )
 
 
-def click_and_display_rows(page: DataFrame) -> DataFrame:
-    """Clicks and displays in one pass over the page log, which is by far the largest input."""
+def _product_items(page: DataFrame) -> DataFrame:
+    """Clicked and displayed items in one pass over the page log, by far the largest input."""
     one, zero = F.lit(1).cast("bigint"), F.lit(0).cast("bigint")
     click = F.when(
         F.col("page.page_id") == PAGE_DETAIL,
@@ -93,9 +93,18 @@ def click_and_display_rows(page: DataFrame) -> DataFrame:
     )
     none = F.array().cast("array<struct<item:string,click_ct:bigint,display_ct:bigint>>")
     rows = F.explode(F.concat(F.coalesce(click, none), F.coalesce(shown, none)))
-    return page.select(rows.alias("_m"), "ts").select(
-        F.col("_m.item").try_cast("bigint").alias("sku_id"), "_m.click_ct", "_m.display_ct", "ts"
-    )
+    return page.select(rows.alias("_m"), "ts").select("_m.*", "ts")
+
+
+def click_and_display_rows(page: DataFrame) -> DataFrame:
+    """Clicks and displays as product rows; an item that is no number gives a null SKU."""
+    sku = F.col("item").try_cast("bigint").alias("sku_id")
+    return _product_items(page).select(sku, "click_ct", "display_ct", "ts")
+
+
+def unreadable_products(page: DataFrame) -> DataFrame:
+    """Clicked or displayed items that name no SKU, for the quarantine."""
+    return _product_items(page).filter(F.col("item").try_cast("bigint").isNull())
 
 
 def favor_rows(favor: DataFrame) -> DataFrame:

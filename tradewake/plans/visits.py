@@ -27,7 +27,8 @@ def unique_visits(page: DataFrame, entry_only: bool = True, order: Sequence[str]
         return first_per_key(rows, ["_mid", "_day"], order).select(*page.columns)
     rows = rows.withColumn("_rowtime", rowtime_millis("ts")).withWatermark("_rowtime", delay)
     if salts > 1:
-        rows = rows.withColumn("_salt", F.pmod(F.xxhash64(*dict.fromkeys(("ts", *order))), F.lit(salts)))
+        part = F.pmod(F.xxhash64(*dict.fromkeys(("ts", *order))), F.lit(salts))
+        rows = rows.withColumn("_salt", part)
         rows = rows.dropDuplicatesWithinWatermark(["_mid", "_day", "_salt"])
     return rows.dropDuplicatesWithinWatermark(["_mid", "_day"]).select(*page.columns)
 
