@@ -9,6 +9,7 @@ from tradewake.constants import APPRAISE_GOOD, DISPLAY_SKU, PAGE_DETAIL
 from tradewake.functions.text import is_blank
 from tradewake.functions.times import text_millis
 from tradewake.operators.lateral import explode_display
+from tradewake.operators.once import compute_once
 
 VISITOR_DIMS = ("vc", "ch", "ar", "is_new")
 VISITOR_MEASURES = ("uv_ct", "pv_ct", "sv_ct", "uj_ct", "dur_sum")
@@ -107,40 +108,40 @@ def unreadable_products(page: DataFrame) -> DataFrame:
     return _product_items(page).filter(F.col("item").try_cast("bigint").isNull())
 
 
+def _at(df: DataFrame, text: Column | str = "create_time") -> DataFrame:
+    """``df`` with the time of a business text as ``ts``."""
+    return compute_once(df, "ts", text_millis(text))
+
+
 def favor_rows(favor: DataFrame) -> DataFrame:
-    return favor.select("sku_id", F.lit(1).cast("bigint").alias("favor_ct"),
-                        text_millis("create_time").alias("ts"))
+    return _at(favor).select("sku_id", F.lit(1).cast("bigint").alias("favor_ct"), "ts")
 
 
 def cart_rows(cart: DataFrame) -> DataFrame:
-    return cart.select("sku_id", F.lit(1).cast("bigint").alias("cart_ct"),
-                       text_millis("create_time").alias("ts"))
+    return _at(cart).select("sku_id", F.lit(1).cast("bigint").alias("cart_ct"), "ts")
 
 
 def comment_rows(comment: DataFrame) -> DataFrame:
     good = F.when(F.col("appraise") == APPRAISE_GOOD, 1).otherwise(0)
-    return comment.select("sku_id", F.lit(1).cast("bigint").alias("comment_ct"),
-                          good.cast("bigint").alias("good_comment_ct"),
-                          text_millis("create_time").alias("ts"))
+    return _at(comment).select("sku_id", F.lit(1).cast("bigint").alias("comment_ct"),
+                               good.cast("bigint").alias("good_comment_ct"), "ts")
 
 
 def order_rows(order_wide: DataFrame) -> DataFrame:
     """Ordered items; ``_id`` is what ``order_ct`` counts once."""
-    return order_wide.select(
+    return _at(order_wide).select(
         "sku_id", F.col("sku_num").alias("order_sku_num"),
-        F.col("split_total_amount").alias("order_amount"),
-        F.col("order_id").alias("_id"), text_millis("create_time").alias("ts"),
+        F.col("split_total_amount").alias("order_amount"), F.col("order_id").alias("_id"), "ts",
     )
 
 
 def payment_rows(payment_wide: DataFrame) -> DataFrame:
     paid_at = F.coalesce("payment_create_time", "callback_time")
-    return payment_wide.select(
+    return _at(payment_wide, paid_at).select(
         "sku_id", F.col("split_total_amount").alias("payment_amount"),
-        F.col("order_id").alias("_id"), text_millis(paid_at).alias("ts"),
+        F.col("order_id").alias("_id"), "ts",
     )
 
 
 def refund_rows(refund: DataFrame) -> DataFrame:
-    return refund.select("sku_id", "refund_amount", F.col("order_id").alias("_id"),
-                         text_millis("create_time").alias("ts"))
+    return _at(refund).select("sku_id", "refund_amount", F.col("order_id").alias("_id"), "ts")
