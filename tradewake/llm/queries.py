@@ -2,22 +2,39 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from .minhash_forest import near_duplicates
+from .packing import pack_documents
+from .wavelet import round_trip
+
+TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op6_wavelet_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents as token ids in wavelet-matrix shards, read back from the files."""
+    return round_trip(table(spark, sf_dir, "documents"), TOKENIZER)
+
+
 def op7_minhash_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate classes of all documents, 4-word shingles, similarity 0.8."""
     return near_duplicates(table(spark, sf_dir, "documents"), words=4, percent=80)
 
 
+def op10_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed into sequences of at most 4096 tokens."""
+    return pack_documents(table(spark, sf_dir, "documents"), TOKENIZER)
+
+
 QUERIES = {
+    "op6_wavelet_tokens": op6_wavelet_tokens,
     "op7_minhash_forest": op7_minhash_forest,
+    "op10_vector_packing": op10_vector_packing,
 }
 
 ORACLES: dict[str, str] = {}
