@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from .line_dedup import dedup_lines
 from .minhash_forest import near_duplicates
 from .packing import pack_documents
 from .wavelet import round_trip
@@ -16,6 +18,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the later copies of repeated runs of lines."""
+    return dedup_lines(table(spark, sf_dir, "documents")).select(
+        "doc_id", "text", F.col("__deleted").cast("long").alias("n_deleted"))
+
+
 def op6_wavelet_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents as token ids in wavelet-matrix shards, read back from the files."""
     return round_trip(table(spark, sf_dir, "documents"), TOKENIZER)
@@ -32,6 +40,7 @@ def op10_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_line_dedup": op1_line_dedup,
     "op6_wavelet_tokens": op6_wavelet_tokens,
     "op7_minhash_forest": op7_minhash_forest,
     "op10_vector_packing": op10_vector_packing,
