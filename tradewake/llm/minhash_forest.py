@@ -240,10 +240,11 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, trees: i
         .mapInArrow(partial(_alike, count=count, at_least=percent / 100 - screen),
                     "a long, b long"))
 
-    # Only texts of documents in candidate pairs move. First every document meets its least
-    # candidate; what that has not connected already is confirmed in a second pass.
+    # Texts of documents in candidate pairs are set apart. Their ids grow with the input, so the
+    # join is a merge at any size. First every document meets its least candidate; what that has
+    # not connected already is confirmed in a second pass.
     ends = likely.select(F.col("a").alias("doc_id")).union(likely.select("b")).distinct()
-    texts = stage.save(docs.join(ends, "doc_id", "left_semi"))
+    texts = stage.save(docs.hint("merge").join(ends, "doc_id", "left_semi"))
 
     def confirmed(some: DataFrame) -> DataFrame:
         left = some.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("x")), "a")
