@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from .line_dedup import dedup_lines
 from .minhash_forest import near_duplicates
+from .nn_descent import near_vectors
 from .packing import pack_documents
 from .wavelet import round_trip
 
@@ -24,6 +25,11 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "text", F.col("__deleted").cast("long").alias("n_deleted"))
 
 
+def op3_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate vectors of the whole table, cosine 0.9."""
+    return near_vectors(table(spark, sf_dir, "embeddings"), at_least=0.9)
+
+
 def op6_wavelet_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents as token ids in wavelet-matrix shards, read back from the files."""
     return round_trip(table(spark, sf_dir, "documents"), TOKENIZER)
@@ -41,6 +47,7 @@ def op10_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
+    "op3_nn_descent": op3_nn_descent,
     "op6_wavelet_tokens": op6_wavelet_tokens,
     "op7_minhash_forest": op7_minhash_forest,
     "op10_vector_packing": op10_vector_packing,
