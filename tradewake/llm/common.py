@@ -69,12 +69,15 @@ def _powers(n: int) -> np.ndarray:
     return _POWERS
 
 
-def word_hashes(raw: bytes) -> np.ndarray:
-    """64-bit hash of every word ``[^\\x20\\x09-\\x0D]+`` of ``raw``, in order."""
+def word_hashes(raw: bytes, between: np.ndarray = _SPACE) -> np.ndarray:
+    """64-bit hash of every word of ``raw``, in order: runs of bytes that aren't ``between``.
+
+    By default words are ``[^\\x20\\x09-\\x0D]+``.
+    """
     if not raw:
         return np.zeros(0, dtype=np.uint64)
     data = np.frombuffer(raw, dtype=np.uint8)
-    word = ~_SPACE[data]
+    word = ~between[data]
     edge = np.diff(np.concatenate(([0], word.view(np.int8), [0])))
     starts, ends = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
     if not len(starts):

@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .decontaminate import contaminated
 from .line_dedup import dedup_lines
 from .minhash_forest import near_duplicates
 from .nn_descent import near_vectors
@@ -30,6 +31,12 @@ def op3_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors(table(spark, sf_dir, "embeddings"), at_least=0.9)
 
 
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark items found in any document, with their least edit distance and place."""
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")) \
+        .select("doc_id", "item_id", "n_words", "n_edits", "start", "end")
+
+
 def op6_wavelet_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents as token ids in wavelet-matrix shards, read back from the files."""
     return round_trip(table(spark, sf_dir, "documents"), TOKENIZER)
@@ -48,6 +55,7 @@ def op10_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op3_nn_descent": op3_nn_descent,
+    "op4_decontamination": op4_decontamination,
     "op6_wavelet_tokens": op6_wavelet_tokens,
     "op7_minhash_forest": op7_minhash_forest,
     "op10_vector_packing": op10_vector_packing,
