@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import licenses
 from .decontaminate import contaminated
 from .line_dedup import dedup_lines
 from .minhash_forest import near_duplicates
@@ -47,6 +48,11 @@ def op7_minhash_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), words=4, percent=80)
 
 
+def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licences named in any document, by sentence rules."""
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
 def op10_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into sequences of at most 4096 tokens."""
     return pack_documents(table(spark, sf_dir, "documents"), TOKENIZER)
@@ -58,7 +64,8 @@ QUERIES = {
     "op4_decontamination": op4_decontamination,
     "op6_wavelet_tokens": op6_wavelet_tokens,
     "op7_minhash_forest": op7_minhash_forest,
+    "op9_license_scan": op9_license_scan,
     "op10_vector_packing": op10_vector_packing,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES = {"op9_license_scan": licenses.oracle()}
