@@ -12,6 +12,7 @@ from .line_dedup import dedup_lines
 from .minhash_forest import near_duplicates
 from .nn_descent import near_vectors
 from .packing import pack_documents
+from .toxicity import fit, score
 from .wavelet import round_trip
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -21,6 +22,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def crc_mod(n: int):
+    """crc32 of the id as text, modulo ``n``."""
+    return F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(n))
+
+
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without the later copies of repeated runs of lines."""
     return dedup_lines(table(spark, sf_dir, "documents")).select(
@@ -48,6 +54,14 @@ def op7_minhash_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), words=4, percent=80)
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document; ids whose crc32 modulo 5 is 0 are held out of training."""
+    docs = table(spark, sf_dir, "documents")
+    scored = score(docs, fit(docs, table(spark, sf_dir, "labels"), modulus=5, rest=0))
+    return scored.select("doc_id", crc_mod(5).eqNullSafe(0).alias("held_out"), "score",
+                         (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Licences named in any document, by sentence rules."""
     return licenses.scan(table(spark, sf_dir, "documents"))
@@ -64,6 +78,7 @@ QUERIES = {
     "op4_decontamination": op4_decontamination,
     "op6_wavelet_tokens": op6_wavelet_tokens,
     "op7_minhash_forest": op7_minhash_forest,
+    "op8_toxicity": op8_toxicity,
     "op9_license_scan": op9_license_scan,
     "op10_vector_packing": op10_vector_packing,
 }
