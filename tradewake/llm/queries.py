@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import licenses
+from . import language, licenses
 from .decontaminate import contaminated
 from .line_dedup import dedup_lines
 from .minhash_forest import near_duplicates
@@ -44,6 +44,14 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         .select("doc_id", "item_id", "n_words", "n_edits", "start", "end")
 
 
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document; ids whose crc32 modulo 4 is 2 are held out of training."""
+    docs = table(spark, sf_dir, "documents")
+    found = language.identify(docs, language.fit(docs, modulus=4, rest=2))
+    return found.select("doc_id", crc_mod(4).eqNullSafe(2).alias("held_out"), "lang_pred", "score",
+                        "rejected")
+
+
 def op6_wavelet_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents as token ids in wavelet-matrix shards, read back from the files."""
     return round_trip(table(spark, sf_dir, "documents"), TOKENIZER)
@@ -76,6 +84,7 @@ QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op3_nn_descent": op3_nn_descent,
     "op4_decontamination": op4_decontamination,
+    "op5_language_id": op5_language_id,
     "op6_wavelet_tokens": op6_wavelet_tokens,
     "op7_minhash_forest": op7_minhash_forest,
     "op8_toxicity": op8_toxicity,
