@@ -97,10 +97,10 @@ def shingle_set(raw: bytes, size: int) -> np.ndarray:
     if not len(words):
         return words
     if len(words) < size:
-        key = np.uint64(len(words))
-        for w in words:
-            key = mix(np.array([key * _MUL + w]))[0]
-        return np.array([key], dtype=np.uint64)
+        key = np.array([len(words)], dtype=np.uint64)
+        for k in range(len(words)):
+            key = mix(key * _MUL + words[k:k + 1])
+        return key
     n = len(words) - size + 1
     key = np.full(n, np.uint64(size))
     for k in range(size):
