@@ -14,6 +14,7 @@ from .nn_descent import near_vectors
 from .packing import pack_documents
 from .toxicity import fit, score
 from .wavelet import round_trip
+from .wrappers import extract
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
@@ -33,6 +34,11 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "text", F.col("__deleted").cast("long").alias("n_deleted"))
 
 
+def op2_wrapper_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page, by the wrapper of its host."""
+    return extract(table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
+
+
 def op3_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate vectors of the whole table, cosine 0.9."""
     return near_vectors(table(spark, sf_dir, "embeddings"), at_least=0.9)
@@ -82,6 +88,7 @@ def op10_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
+    "op2_wrapper_extraction": op2_wrapper_extraction,
     "op3_nn_descent": op3_nn_descent,
     "op4_decontamination": op4_decontamination,
     "op5_language_id": op5_language_id,
