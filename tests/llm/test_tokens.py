@@ -21,7 +21,8 @@ TEXTS = [
     None, "", " ", "It's 42 o'clock.\nNext\tline", "ÉCOLE école école", "́start ́",
     "a b c\u0085d\x1ce\x1ff", "<|endoftext|> x<|startoftext|>y", "ΟΔΟΣ Σ İI ß ẞ",
     "汉字 かな 🙂🙂 ‍﻿", "x" * 5000, "don't 'll 're'd  ''s", "\x00 \x0b\x0c\r\n",
-    "word " * 3000]
+    "word " * 3000, "naïve Größe—ÿ÷×ÆØ ªº µ", "''s'tx don't!'s ('ll) 'REd <|x 3½", "`~^_{}|a1b22",
+    "a'" * 50, "éÈß" * 40, "s\u0301 e\u0301 \u0301!", "x<|endoftext|", "\x7fa\x1bb"]
 
 
 def whole(text):
@@ -41,6 +42,16 @@ def test_same_ids_for_any_text(texts):
     assert got == [whole(t) for t in texts]
 
 
+PLAIN = "abcdeslmrtvÀéßÿ '!<|>`~0129.\n\té\x7f"
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.text(alphabet=PLAIN, max_size=80), max_size=4))
+def test_same_ids_for_plain_text(texts):
+    got = [np.frombuffer(x, dtype="<u4").tolist() for x in encoder(PATH).encode(texts)]
+    assert got == [whole(t) for t in texts]
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.integers(0, 60), max_size=1500), st.integers(0, 63))
 def test_wavelet_matrix(ids, symbol):

@@ -1,20 +1,27 @@
 """Token ids of whole texts with a public tokenizer file, word by word with a memory.
 
-A tokenizer whose pre-tokenizer never lets a token cross white space gives the same ids for a text
-as for its white-space separated chunks in a row. The chunks repeat a lot, so each worker encodes
-a chunk once and keeps the ids; the tests compare with the encoding of whole texts.
+The tokenizer's own pre-tokenizer cuts a text into words that are encoded one by one, so equal words
+have equal ids. Words repeat a lot: each worker lets the library encode a word once and keeps the
+ids. Text of plain letters, digits and punctuation is cut here as the pre-tokenizer does it; any
+other white-space separated chunk goes to the library whole. Tests compare with whole texts.
 """
 
 from __future__ import annotations
 
 import os
+import re
 from collections.abc import Iterable, Iterator
 from itertools import islice
 
 import numpy as np
 
-#: Chunks longer than this are encoded again each time; so many ids are remembered at most.
-LONG_CHUNK, MOST_CHUNKS = 64, 400_000
+#: Longer keys are encoded again each time; so many are remembered at most.
+LONG_KEY, MOST_KEYS = 64, 500_000
+
+# The word pattern of the tokenizer file, for ASCII and the Latin-1 letters.
+_WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zà-öø-ÿß]+|[0-9]|[!-/:-@\[-`{-~]+")
+_PLAIN = re.compile(r"[\t-\r -~À-ÖØ-öø-ÿ]*\Z")
+_CHUNKS = re.compile(r"[^\t-\r ]+")
 
 
 class Encoder:
@@ -24,36 +31,61 @@ class Encoder:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[bytes, bytes] = {}
-
-    def _learn(self, chunks: set[bytes]) -> None:
-        if len(self.known) + len(chunks) > MOST_CHUNKS:
-            self.known.clear()
-        new = list(chunks)
-        for at in range(0, len(new), 1024):
-            part = new[at:at + 1024]
-            for chunk, e in zip(part, self.tokenizer.encode_batch_fast(
-                    [c.decode("utf-8") for c in part], add_special_tokens=False)):
-                self.known[chunk] = np.array(e.ids, dtype="<u4").tobytes()
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        #: Ids that end a word.
+        self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+        self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+        self.known: dict[str, bytes] = {}
+
+    def _ids(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, dtype="<u4") for e in
+                self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _look_up(self, keys: list[str]) -> Iterator[tuple[str, bytes]]:
+        plain = [k for k in keys if k[:2] != "<|" and _WORDS.fullmatch(k)]
+        for at in range(0, len(plain), 2048):
+            part = plain[at:at + 2048]
+            # Many words as one text; the ids that end a word tell them apart.
+            ids = self._ids([" ".join(part)])[0]
+            cuts = (np.flatnonzero(self.ends[ids]) + 1) * 4
+            if len(cuts) == len(part) and len(ids) * 4 == cuts[-1]:
+                raw, start = ids.tobytes(), 0
+                for key, end in zip(part, cuts.tolist()):
+                    yield key, raw[start:end]
+                    start = end
+            else:
+                yield from zip(part, (i.tobytes() for i in self._ids(part)))
+        other = list(set(keys).difference(plain))
+        for at in range(0, len(other), 2048):
+            part = other[at:at + 2048]
+            yield from zip(part, (i.tobytes() for i in self._ids(part)))
+
+    @staticmethod
+    def _keys(text: str) -> list[str]:
+        if "<|" not in text and _PLAIN.match(text):
+            return _WORDS.findall(text.lower())
+        keys: list[str] = []
+        for chunk in _CHUNKS.findall(text):
+            if "<|" not in chunk and _PLAIN.match(chunk):
+                keys += _WORDS.findall(chunk.lower())
+            else:
+                keys.append(chunk)
+        return keys
 
     def encode(self, texts: list[str | None]) -> Iterator[bytes]:
-        split = [(t or "").encode("utf-8").split() for t in texts]
+        split = [self._keys(t or "") for t in texts]
         unseen = set().union(*split).difference(self.known)
-        once = {c for c in unseen if len(c) > LONG_CHUNK}
-        self._learn(unseen - once)
-        missing = {c for s in split for c in s if c not in self.known} - once
-        if missing:  # the memory was emptied meanwhile
-            self._learn(missing)
-        for chunks in split:
-            if once and not once.isdisjoint(chunks):
-                yield b"".join(self.known[c] if c not in once else self._single(c)
-                               for c in chunks)
+        if len(self.known) + len(unseen) > MOST_KEYS:
+            self.known.clear()
+            unseen = set().union(*split)
+        found = dict(self._look_up(list(unseen)))
+        long = {k: found.pop(k) for k in list(found) if len(k) > LONG_KEY}
+        self.known |= found
+        for keys in split:
+            if long and not long.keys().isdisjoint(keys):
+                yield b"".join(long[k] if k in long else self.known[k] for k in keys)
             else:
-                yield b"".join(map(self.known.__getitem__, chunks))
-
-    def _single(self, chunk: bytes) -> bytes:
-        ids = self.tokenizer.encode(chunk.decode("utf-8"), add_special_tokens=False).ids
-        return np.array(ids, dtype="<u4").tobytes()
+                yield b"".join(map(self.known.__getitem__, keys))
 
 
 _ENCODERS: dict[str, Encoder] = {}
@@ -66,7 +98,7 @@ def encoder(path: str) -> Encoder:
     return _ENCODERS[path]
 
 
-def encoded(rows: Iterable[tuple], path: str, end_id: int, at_once: int = 64
+def encoded(rows: Iterable[tuple], path: str, end_id: int, at_once: int = 256
             ) -> Iterator[tuple]:
     """``(key, text)`` rows to ``(key, ids)``: ids of the whole text and the end id, as bytes."""
     last = np.array([end_id], dtype="<u4").tobytes()
