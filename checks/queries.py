@@ -29,6 +29,7 @@ LOOKBACK_S = 6 * 3600
 MONTH_MS = 30 * 86_400_000
 AS_OF_MS = 1_700_000_000_000
 ORDER = ("ts", "event_id")
+VISITOR_COLUMNS = ["event_id", "common", "page", "ts"]  # what visitor statistics read
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -120,8 +121,9 @@ def quarantine(spark, sf):
 def visitor_rows(spark, sf):
     p = page(spark, sf)
     rows = [measures.page_view_rows(p), measures.session_rows(p),
-            measures.unique_visit_rows(visits.unique_visits(p, order=ORDER)),
-            measures.jump_rows(visits.bounces(p, BOUNCE_S, ORDER))]
+            measures.unique_visit_rows(
+                visits.unique_visits(p, order=ORDER, columns=VISITOR_COLUMNS)),
+            measures.jump_rows(visits.bounces(p, BOUNCE_S, ORDER, columns=VISITOR_COLUMNS))]
     return stats.union_all(rows)
 
 
@@ -129,7 +131,8 @@ def visitor_rows(spark, sf):
 def visitor_stats(spark, sf):
     p = page(spark, sf)
     return stats.visitor_stats(
-        p, visits.unique_visits(p, order=ORDER), visits.bounces(p, BOUNCE_S, ORDER),
+        p, visits.unique_visits(p, order=ORDER, columns=VISITOR_COLUMNS),
+        visits.bounces(p, BOUNCE_S, ORDER, columns=VISITOR_COLUMNS),
         window="1 hour", as_of_ms=AS_OF_MS)
 
 
@@ -400,9 +403,8 @@ def stream_repair_is_new(spark, sf):
 def stream_visitor_stats(spark, sf):
     """Unique visits and bounces are streams of their own; the statistics read what they wrote."""
     p = m.page_log(m.stream(spark, sf, "events"))
-    columns = ["event_id", "common", "page", "ts"]
-    uv = _staged(spark, visits.unique_visits(p.select(*columns), order=ORDER), "uv")
-    uj = _staged(spark, visits.bounces(p.select(*columns), BOUNCE_S, ORDER), "uj")
+    uv = _staged(spark, visits.unique_visits(p, order=ORDER, columns=VISITOR_COLUMNS), "uv")
+    uj = _staged(spark, visits.bounces(p, BOUNCE_S, ORDER, columns=VISITOR_COLUMNS), "uj")
     counted = stats.visitor_stats(p, uv, uj, window="1 hour", as_of_ms=AS_OF_MS)
     # Which page of a day arrives first is not fixed, so neither are the dimensions of uv_ct.
     return drain(spark, counted.drop("uv_ct"), "visitor_stats")

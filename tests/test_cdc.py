@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.helpers import texts
+from tradewake.constants import SINK_DIM
 from tradewake.plans import cdc
 from tradewake.schemas import TABLE_PROCESS
 from tradewake.sources.dims import DimStore
@@ -65,7 +66,7 @@ def test_fact_messages(spark, config):
 
 
 def test_upsert_keeps_the_newest_and_is_repeatable(spark, tmp_path):
-    store = DimStore(spark, str(tmp_path), keep=2)
+    store = DimStore(spark, str(tmp_path))
     assert store.read("d") is None
     assert store.create("d", "id,name")
     assert not store.create("d", "id,name")
@@ -83,7 +84,34 @@ def test_upsert_keeps_the_newest_and_is_repeatable(spark, tmp_path):
     store.upsert("d", changes, ["id"])
     store.upsert("d", changes, ["id"])
     assert now() == [("1", "c", 3), ("2", "new", 4)]
-    assert store.versions("d") == [1, 2, 3]
+    assert store.versions("d") == [0, 1, 2, 3]
+    # A superseded version goes once it has been one for longer than readers may take.
+    DimStore(spark, str(tmp_path), keep_seconds=-1).upsert("d", changes, ["id"])
+    assert store.versions("d") == [3, 4]
+    # A new column, and changes without a key.
+    wider = spark.createDataFrame([("3", "c", 9, "x"), (None, "n", 9, "y")],
+                                  "id string, name string, ts bigint, extra string")
+    store.upsert("d", wider, ["id"])
+    assert sorted(map(tuple, store.read("d").collect())) == [
+        ("1", "c", 3, None), ("2", "new", 4, None), ("3", "c", 9, "x")]
+
+
+def test_dimension_columns_come_from_the_insert_entry(spark):
+    def entry(operation, columns, table="dim"):
+        return ("t", operation, "hbase", table, columns, None)
+
+    def columns(*entries):
+        config = spark.createDataFrame(entries, "source_table string, operate_type string, "
+                                       "sink_type string, sink_table string, sink_columns string, "
+                                       "sink_pk string").withColumn("sink_type", F.lit(SINK_DIM))
+        return [r.sink_columns for r in cdc.dim_tables(config)]
+
+    assert columns(entry("insert", "id,name,region"), entry("update", "id,zip")) == ["id,name,region"]
+    assert columns(entry("update", "id,zip"), entry("delete", "id,area")) == ["id,area,zip"]
+    assert columns(entry("update", "id,zip"), entry("delete", None)) == [None]
+    dims = spark.createDataFrame([("dim", {"id": "1", "zip": "2"}, 5)],
+                                 "sink_table string, data map<string,string>, ts long")
+    assert cdc.dim_rows(dims, "dim", "zip").columns == ["zip", "id", "ts"]
 
 
 def test_unfinished_versions_are_not_read(spark, tmp_path):

@@ -74,7 +74,7 @@ def test_connection_options():
     topics = KafkaTopics("host:1", {"kafka.security.protocol": "SSL"})
     source = topics.source_options("t", "g")
     assert source["subscribe"] == "t" and source["startingOffsets"] == "latest"
-    assert source["kafka.group.id"] == "g" and source["kafka.security.protocol"] == "SSL"
+    assert source["groupIdPrefix"] == "g" and source["kafka.security.protocol"] == "SSL"
     assert topics.sink_options("t")["topic"] == "t" and "topic" not in topics.sink_options()
     assert topics.sink_options()["kafka.transaction.timeout.ms"] == "900000"
     read = jdbc.read_options("jdbc:x", "d", {"user": "u"}, ("id", 0, 9, 3))
@@ -85,4 +85,5 @@ def test_connection_options():
 def test_sizing():
     assert sizing(0, 100)["spark.sql.shuffle.partitions"] == "200"
     assert sizing(10 << 40, 8000)["spark.sql.shuffle.partitions"] == "40960"
-    assert sizing(100 << 40, 8000)["spark.sql.shuffle.partitions"] == "50000"
+    assert sizing(100 << 40, 8000)["spark.sql.shuffle.partitions"] == "409600"
+    assert sizing(100 << 40, 8000, most=50_000)["spark.sql.shuffle.partitions"] == "50000"

@@ -67,6 +67,13 @@ def test_numbers_may_be_quoted(spark):
     assert [r.ts for r in logs.valid_logs(parsed(spark, values)).collect()] == [12]
 
 
+def test_nested_numbers_may_be_quoted(spark):
+    values = [log_text("a", 5, page={"page_id": "p", "during_time": "123"}),
+              log_text("b", 6, page={"page_id": "p", "during_time": "no"})]
+    rows = logs.valid_logs(parsed(spark, values)).collect()
+    assert {r.common.mid: r.page.during_time for r in rows} == {"a": 123, "b": None}
+
+
 def test_rows_survive_text(spark):
     value = log_text("a", 5, "1", page={"page_id": "p", "during_time": 3},
                      display=[{"item_type": "sku_id", "item": "9"}])

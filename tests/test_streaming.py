@@ -15,7 +15,7 @@ from tradewake.session import shared_dir
 from tradewake.sources.dims import DimStore
 from tradewake.sources.topics import FileTopics, topic_table
 from tradewake.streaming import jobs
-from tradewake.streaming.run import drain, finish, late_rows, start_batches
+from tradewake.streaming.run import LateRows, drain, finish, start_batches
 
 HOUR = 3_600_000
 
@@ -66,11 +66,38 @@ def test_rows_behind_the_watermark_are_dropped_and_counted(spark, topics):
         [page_text("late", 2000)], [page_text("y", 200_000, "home")])
     seen = []
     rows = visits.bounces(pages(spark, topics))
+    late = LateRows()
+    spark.streams.addListener(late)
     query = start_batches(rows, shared_dir(spark, "late"),
                           lambda df, i: seen.extend(keys(df)), once=True)
     finish(query)
+    for _ in range(100):
+        if str(query.runId) in late.ended:
+            break
+        time.sleep(0.1)
+    spark.streams.removeListener(late)
     assert ("a", 1000) in seen and ("late", 2000) not in seen
-    assert late_rows(query) > 0
+    assert late.rows(query) == 2  # the late page stands in two windows
+
+
+@pytest.mark.parametrize("rows_a_batch", [3, 10_000])
+def test_flag_repair_does_not_depend_on_arrow_batches(spark, topics, rows_a_batch):
+    from tradewake.streaming.visitors import repair_is_new_stream
+
+    values = [log_text("a", DAY * (k % 11) + k, "1") for k in range(39, -1, -1)]
+    put(spark, topics, C.TOPIC_RAW_LOG, values)
+    seen, key = [], "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, rows_a_batch)
+    try:
+        raw = topics.read_stream(spark, C.TOPIC_RAW_LOG)
+        finish(start_batches(
+            logs.valid_logs(repair_is_new_stream(raw)), shared_dir(spark, "repair"),
+            lambda df, _: seen.extend((r.ts // DAY, r.is_new) for r in df.select(
+                "ts", "common.is_new").collect()), once=True))
+    finally:
+        spark.conf.set(key, before)
+    assert sorted(seen) == sorted((k % 11, "1" if k % 11 == 0 else "0") for k in range(40))
 
 
 @pytest.mark.parametrize("salts", [1, 4])
@@ -235,12 +262,12 @@ def test_page_log_layers_end_to_end(spark, topics):
     finish(jobs.unique_visit_job(spark, topics, ck(), once=True))
     finish(jobs.user_jump_job(spark, topics, ck(), once=True))
     got = []
-    finish(jobs.visitor_stats_job(spark, topics, ck(), lambda df: got.extend(df.collect()),
+    finish(jobs.visitor_stats_job(spark, topics, ck(), lambda df, _: got.extend(df.collect()),
                                   once=True, as_of_ms=0))
     totals = [(r.stt[-8:], r.is_new, r.uv_ct, r.pv_ct, r.sv_ct, r.uj_ct, r.dur_sum) for r in got]
     assert totals == [("00:00:00", "1", 2, 3, 2, 1, 7)]
     words = []
-    finish(jobs.search_keyword_job(spark, topics, ck(), lambda df: words.extend(df.collect()),
+    finish(jobs.search_keyword_job(spark, topics, ck(), lambda df, _: words.extend(df.collect()),
                                    once=True, as_of_ms=0))
     assert words == []  # the window of the only search is still open
 
@@ -271,7 +298,7 @@ def test_order_layers_end_to_end(spark, topics, tmp_path):
     finish(jobs.product_stats_job(spark, topics, ck(), lambda: named, inputs=("order_wide",),
                                   once=True, as_of_ms=0))
     got = []
-    finish(jobs.product_keyword_job(spark, topics, ck(), lambda df: got.extend(df.collect()),
+    finish(jobs.product_keyword_job(spark, topics, ck(), lambda df, _: got.extend(df.collect()),
                                     once=True, as_of_ms=0))
     assert sorted((r.keyword, r.ct, r.source, r.stt) for r in got) == [
         ("red", 1, "ORDER", "2021-06-18 03:00:00"), ("shoe", 1, "ORDER", "2021-06-18 03:00:00")]

@@ -82,3 +82,27 @@ def test_unique_visits_has_one_row_per_device_and_day(spark):
     for mid, ts, _ in sorted(events, key=lambda e: e[1]):
         first.setdefault((mid, ts // DAY), ts)
     assert got == sorted((mid, ts) for (mid, _), ts in first.items())
+
+
+def test_bounces_of_named_columns_compile(spark):
+    rows = page_rows(spark, [("a", 0, E), ("a", 40_000, E)]).withColumn(
+        "display", F.expr("array(named_struct('item_type', 'sku_id', 'item', '9'))"))
+    settings = {"spark.sql.codegen.fallback": "false",
+                "spark.sql.codegen.factoryMode": "CODEGEN_ONLY"}
+    before = {key: spark.conf.get(key) for key in settings}
+    try:
+        for key, value in settings.items():
+            spark.conf.set(key, value)
+        out = bounces(rows, order=ORDER, columns=["common", "page", "ts", "offset"])
+        assert found(out) == [("a", 0), ("a", 40_000)]
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+
+
+def test_a_short_delay_is_refused_in_a_stream(spark, tmp_path):
+    page = page_rows(spark, [("a", 0, E)])
+    page.write.parquet(str(tmp_path / "p"))
+    stream = spark.readStream.schema(page.schema).parquet(str(tmp_path / "p"))
+    with pytest.raises(ValueError):
+        unique_visits(stream, delay="2 hours")

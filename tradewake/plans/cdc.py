@@ -79,11 +79,19 @@ def dim_tables(config: DataFrame) -> list[Row]:
     """The dimension tables the routing table names: table, columns, key, and whether inserts go
     there, in which case the table is created ahead of its first row.
 
+    The columns are those of the insert entry, since that one makes the table; without one, all
+    columns that any entry lists. An entry without a list takes every column, so then there is
+    none.
+
     Collected, since each becomes a write of its own; bounded by the routing table.
     """
     entries = config.filter(F.col("sink_type") == SINK_DIM)
+    listed = F.array_distinct(F.flatten(F.array_sort(F.collect_set(F.split("sink_columns", ",")))))
+    insert = F.col("operate_type") == "insert"
     return entries.groupBy("sink_table").agg(
-        F.max("sink_columns").alias("sink_columns"),
+        F.when(F.max(insert), F.max(F.when(insert, F.col("sink_columns"))))
+        .when(F.max(is_blank("sink_columns")), None)
+        .otherwise(F.array_join(listed, ",")).alias("sink_columns"),
         F.coalesce(F.max("sink_pk"), F.lit("id")).alias("pk"),
         F.max(F.col("operate_type") == "insert").alias("on_insert"),
     ).collect()
@@ -102,7 +110,8 @@ def dim_rows(dims: DataFrame, sink_table: str, sink_columns: str | None, pk: str
     """
     rows = dims.filter(F.col("sink_table") == sink_table)
     if sink_columns:
-        columns = [F.col("data")[c].cast("string").alias(c) for c in sink_columns.split(",")]
+        names = dict.fromkeys([*sink_columns.split(","), pk])
+        columns = [F.col("data")[c].cast("string").alias(c) for c in names]
     else:
         as_text = F.transform_values("data", lambda _, v: v.cast("string"))
         columns = [F.col("data")[pk].cast("string").alias(pk), as_text.alias("data")]
@@ -113,7 +122,10 @@ def upsert_dim(current: DataFrame | None, changes: DataFrame, pk: Sequence[str],
                order: Sequence[str] = ("ts",)) -> DataFrame:
     """The newest row per primary key of stored and changed rows.
 
+    A column that only one side has is null in the other's rows. Changes without a key are left
+    out: they name no row.
     Applying the same changes again gives the same table, so a replayed batch is harmless.
     """
-    rows = changes if current is None else current.unionByName(changes)
+    changes = changes.dropna(subset=list(pk))
+    rows = changes if current is None else current.unionByName(changes, allowMissingColumns=True)
     return first_per_key(rows, pk, order, newest=True)

@@ -153,6 +153,6 @@ def product_keywords(stats: DataFrame, as_of_ms: int | None = None,
     """Words of product names with the clicks, carts and orders of the product."""
     split = explode_counts(explode_words(stats, "spu_name", stop_words=stop_words))
     return split.select(
-        "keyword", "ct", "source", time_text(F.to_timestamp("stt")).alias("stt"),
-        time_text(F.to_timestamp("edt")).alias("edt"), processing_millis(as_of_ms).alias("ts"),
+        "keyword", "ct", "source", time_text(F.try_to_timestamp("stt")).alias("stt"),
+        time_text(F.try_to_timestamp("edt")).alias("edt"), processing_millis(as_of_ms).alias("ts"),
     )

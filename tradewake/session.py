@@ -34,14 +34,15 @@ def build_session(app: str = "tradewake", master: str | None = None, **extra: st
     return builder.getOrCreate()
 
 
-def sizing(shuffle_bytes: int, cores: int) -> dict[str, str]:
+def sizing(shuffle_bytes: int, cores: int, most: int | None = None) -> dict[str, str]:
     """Settings for a batch job that shuffles about ``shuffle_bytes`` on ``cores``.
 
-    Starts with a partition per 256 MB, at least two per core and at most 50,000; adaptive
-    execution merges the small ones. Streams fix their number with the first checkpoint, so
+    Starts with a partition per 256 MB, at least two per core, and at most ``most`` if given;
+    adaptive execution merges the small ones. Streams fix their number with the first checkpoint, so
     set ``spark.sql.shuffle.partitions`` for the load to come.
     """
-    parts = min(50_000, max(2 * cores, -(-shuffle_bytes // (256 << 20))))
+    parts = max(2 * cores, -(-shuffle_bytes // (256 << 20)))
+    parts = min(parts, most) if most else parts
     return {
         "spark.sql.shuffle.partitions": str(parts),
         "spark.sql.files.maxPartitionBytes": "256MB",
@@ -52,9 +53,13 @@ def sizing(shuffle_bytes: int, cores: int) -> dict[str, str]:
 def shared_dir(spark: SparkSession, purpose: str) -> str:
     """A new folder below the cluster's shared checkpoint folder.
 
-    A machine-local folder is used only when the session names none, as in tests.
+    A session that names none uses a folder of this machine if it runs on this machine alone; on a
+    cluster, whose executors don't see that, it is an error.
     """
     base = spark.conf.get("spark.checkpoint.dir", "")
     if not base:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         base = tempfile.mkdtemp(prefix="tradewake-")
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"

@@ -6,6 +6,7 @@ version and write the next one, so a lost executor or driver leaves readers undi
 
 from __future__ import annotations
 
+import time
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,10 +16,12 @@ from tradewake.plans.cdc import dim_schema, upsert_dim
 
 
 class DimStore:
-    def __init__(self, spark: SparkSession, root: str, keep: int = 3):
+    def __init__(self, spark: SparkSession, root: str, keep_seconds: float = 86_400):
+        """A version is deleted once a newer one has been complete for ``keep_seconds``: longer
+        than any reader takes."""
         self.spark = spark
         self.root = root.rstrip("/")
-        self.keep = keep
+        self.keep_seconds = keep_seconds
         self._cached: dict[str, tuple[int, DataFrame]] = {}
 
     def _path(self, table: str, version: int | None = None) -> str:
@@ -64,9 +67,11 @@ class DimStore:
         found = self.versions(table)
         version = found[-1] + 1 if found else 0
         rows.write.mode("overwrite").parquet(self._path(table, version))
-        for old in found[: -self.keep]:
-            fs, path = self._hadoop(self._path(table, old))
-            fs.delete(path, True)
+        now = time.time() * 1000
+        for old, newer in zip(found, found[1:]):
+            fs, done = self._hadoop(f"{self._path(table, newer)}/_SUCCESS")
+            if now - fs.getFileStatus(done).getModificationTime() > self.keep_seconds * 1000:
+                fs.delete(self._hadoop(self._path(table, old))[1], True)
         return version
 
     def create(self, table: str, sink_columns: str, order: Sequence[str] = ("ts",)) -> bool:

@@ -31,7 +31,8 @@ class KafkaTopics:
     def source_options(self, topic: str, group: str, starting: str = "latest") -> dict[str, str]:
         return {
             "kafka.bootstrap.servers": self.servers, "subscribe": topic,
-            "kafka.group.id": group, "startingOffsets": starting, **self.options,
+            # A prefix: sources that share one group id may each read only part.
+            "groupIdPrefix": group, "startingOffsets": starting, **self.options,
         }
 
     def sink_options(self, topic: str | None = None) -> dict[str, str]:

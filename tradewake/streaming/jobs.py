@@ -9,11 +9,12 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tradewake import constants as C
 from tradewake import schemas as S
-from tradewake.functions.records import parse_rows, to_values
+from tradewake.functions.records import CORRUPT, parse_rows, to_values
 from tradewake.operators.enrich import Dimension, enrich_all
 from tradewake.plans.cdc import (apply_config, dim_rows, dim_tables, fact_messages, parse_cdc,
                                  split_routed)
@@ -26,11 +27,24 @@ from tradewake.sources.topics import Topics
 from tradewake.streaming.run import start_batches
 from tradewake.streaming.visitors import repair_is_new_stream
 
-Sink = Callable[[DataFrame], None]
+#: Takes the rows of a micro-batch and its number, so that a replayed one can be recognised.
+Sink = Callable[[DataFrame, int], None]
 
 
-def _rows(spark: SparkSession, topics: Topics, topic: str, schema, group: str) -> DataFrame:
-    return parse_rows(topics.read_stream(spark, topic, group), schema).drop("_corrupt")
+def _rows(spark: SparkSession, topics: Topics, topic: str, schema, group: str,
+          keep: Sequence[str] = ()) -> DataFrame:
+    """Rows of a topic; text that isn't a record of it is left out. ``keep`` are columns of the
+    source that stay, such as the offset, where it has them."""
+    raw = topics.read_stream(spark, topic, group)
+    rows = parse_rows(raw, schema, keep=tuple(c for c in keep if c in raw.columns))
+    return rows.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
+
+
+def _visitor_rows(spark: SparkSession, topics: Topics, group: str) -> tuple[DataFrame, list[str]]:
+    """Page logs with a device and a time, and the columns that put them in arrival order."""
+    page = _rows(spark, topics, C.TOPIC_PAGE_LOG, S.PAGE_LOG, group, keep=("offset",))
+    page = page.filter(F.col("common.mid").isNotNull() & F.col("ts").isNotNull())
+    return page, [c for c in ("ts", "offset") if c in page.columns]
 
 
 def _start_topic(df: DataFrame, topics: Topics, topic: str, checkpoint: str,
@@ -76,17 +90,21 @@ def business_job(spark: SparkSession, topics: Topics, checkpoint: str,
         try:
             if config.isEmpty():
                 raise ValueError("the routing table is empty")
-            routed = apply_config(parse_cdc(batch), config).persist()
+            # Changes of one time count in order of arrival, where the topic tells it.
+            offset = [c for c in ("offset",) if c in batch.columns]
+            order = ["ts", *offset]
+            routed = apply_config(parse_cdc(batch, keep=tuple(offset)), config).persist()
             split = split_routed(routed)
             topics.write_batch(fact_messages(split.facts), batch_id=batch_id)
             # Control data: one row per dimension table, bounded by the routing table.
             changed = {r.sink_table for r in split.dims.select("sink_table").distinct().collect()}
             for table in dim_tables(config):
                 if table.sink_columns and table.on_insert:
-                    dims.create(table.sink_table, table.sink_columns)
+                    dims.create(table.sink_table, table.sink_columns, order)
                 if table.sink_table in changed:
-                    rows = dim_rows(split.dims, table.sink_table, table.sink_columns, table.pk)
-                    dims.upsert(table.sink_table, rows, [table.pk])
+                    rows = dim_rows(split.dims, table.sink_table, table.sink_columns, table.pk,
+                                    order)
+                    dims.upsert(table.sink_table, rows, [table.pk], order)
         finally:
             if routed is not None:
                 routed.unpersist()
@@ -97,15 +115,16 @@ def business_job(spark: SparkSession, topics: Topics, checkpoint: str,
 
 def unique_visit_job(spark: SparkSession, topics: Topics, checkpoint: str,
                      entry_only: bool = True, once: bool = False) -> StreamingQuery:
-    page = _rows(spark, topics, C.TOPIC_PAGE_LOG, S.PAGE_LOG, "unique_visit")
-    return _start_topic(unique_visits(page, entry_only), topics, C.TOPIC_UNIQUE_VISIT,
-                        checkpoint, once)
+    page, order = _visitor_rows(spark, topics, "unique_visit")
+    visits = unique_visits(page, entry_only, order).select(*S.PAGE_LOG.fieldNames())
+    return _start_topic(visits, topics, C.TOPIC_UNIQUE_VISIT, checkpoint, once)
 
 
 def user_jump_job(spark: SparkSession, topics: Topics, checkpoint: str, within_s: int = 10,
                   once: bool = False) -> StreamingQuery:
-    page = _rows(spark, topics, C.TOPIC_PAGE_LOG, S.PAGE_LOG, "user_jump")
-    return _start_topic(bounces(page, within_s), topics, C.TOPIC_USER_JUMP, checkpoint, once)
+    page, order = _visitor_rows(spark, topics, "user_jump")
+    jumps = bounces(page, within_s, order).select(*S.PAGE_LOG.fieldNames())
+    return _start_topic(jumps, topics, C.TOPIC_USER_JUMP, checkpoint, once)
 
 
 def order_wide_job(spark: SparkSession, topics: Topics, checkpoint: str,
@@ -137,7 +156,7 @@ def visitor_stats_job(spark: SparkSession, topics: Topics, checkpoint: str, sink
         _rows(spark, topics, t, S.PAGE_LOG, "visitor_stats")
         for t in (C.TOPIC_PAGE_LOG, C.TOPIC_UNIQUE_VISIT, C.TOPIC_USER_JUMP))
     return start_batches(visitor_stats(page, uv, jumps, **options), checkpoint,
-                         lambda rows, _: sink(rows), once)
+                         sink, once)
 
 
 def product_stats_job(spark: SparkSession, topics: Topics, checkpoint: str,
@@ -169,11 +188,11 @@ def search_keyword_job(spark: SparkSession, topics: Topics, checkpoint: str, sin
                        once: bool = False, **options) -> StreamingQuery:
     page = _rows(spark, topics, C.TOPIC_PAGE_LOG, S.PAGE_VIEW_SQL, "keyword_stats")
     return start_batches(search_keywords(page, **options), checkpoint,
-                         lambda rows, _: sink(rows), once)
+                         sink, once)
 
 
 def product_keyword_job(spark: SparkSession, topics: Topics, checkpoint: str, sink: Sink,
                         once: bool = False, **options) -> StreamingQuery:
     stats = _rows(spark, topics, C.TOPIC_PRODUCT_STATS, S.PRODUCT_STATS_SQL, "product_keywords")
     return start_batches(product_keywords(stats, **options), checkpoint,
-                         lambda rows, _: sink(rows), once)
+                         sink, once)

@@ -6,7 +6,7 @@ from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from tradewake.session import SETTINGS, shared_dir
 
@@ -16,10 +16,12 @@ PARTITIONS = "spark.sql.shuffle.partitions"
 
 @contextmanager
 def stream_settings(spark: SparkSession, partitions: int | None = None) -> Iterator[None]:
-    """Settings a stream takes over when it starts: RocksDB state, in as many partitions as the
-    cluster has cores unless told otherwise. Afterwards the session is as it was."""
-    cores = spark.sparkContext.defaultParallelism
-    wanted = {PROVIDER: SETTINGS[PROVIDER], PARTITIONS: str(partitions or cores)}
+    """Settings a stream takes over when it starts: RocksDB state, and ``partitions`` of it if
+    given, else as many as the session shuffles with. The number is fixed by the first start.
+    Afterwards the session is as it was."""
+    wanted = {PROVIDER: SETTINGS[PROVIDER]}
+    if partitions:
+        wanted[PARTITIONS] = str(partitions)
     before = {key: spark.conf.get(key) for key in wanted}
     try:
         for key, value in wanted.items():
@@ -41,30 +43,56 @@ def start_batches(df: DataFrame, checkpoint: str, handle: Callable[[DataFrame, i
     return writer.start()
 
 
-def late_rows(query: StreamingQuery) -> int:
-    """Rows the recent micro-batches dropped for being behind the watermark."""
-    return sum(op.numRowsDroppedByWatermark for p in query.recentProgress
-               for op in p.stateOperators)
+class LateRows(StreamingQueryListener):
+    """Adds up the rows that streams dropped for being behind the watermark.
+
+    Register it with ``spark.streams.addListener`` before the start; progress reports arrive a
+    moment after their micro-batch.
+    """
+
+    def __init__(self) -> None:
+        self.dropped: dict[str, int] = {}
+        self.ended: set[str] = set()
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        run = str(event.progress.runId)
+        self.dropped[run] = self.dropped.get(run, 0) + sum(
+            op.numRowsDroppedByWatermark for op in event.progress.stateOperators)
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        self.ended.add(str(event.runId))
+
+    def rows(self, query: StreamingQuery) -> int:
+        return self.dropped.get(str(query.runId), 0)
 
 
-def show_stream(df: DataFrame, prefix: str, checkpoint: str) -> StreamingQuery:
-    """Print the rows of every micro-batch under a prefix, to look at a stream."""
+def show_stream(df: DataFrame, prefix: str, checkpoint: str,
+                rows_shown: int | None = None) -> StreamingQuery:
+    """Print the rows of every micro-batch under a prefix, to look at a stream (A11): all of them,
+    one after the other, or the first ``rows_shown``."""
     def show(rows: DataFrame, batch_id: int) -> None:
         print(f"{prefix} {batch_id}")
-        rows.show(truncate=False)
+        for row in (rows.limit(rows_shown) if rows_shown else rows).toLocalIterator():
+            print(row)
 
     return start_batches(df, checkpoint, show)
 
 
-def finish(query: StreamingQuery, seconds: int = 600) -> None:
-    """Wait for a query that ends by itself; stop it and fail when it does not."""
-    done = query.awaitTermination(seconds)
+def finish(query: StreamingQuery, seconds: int | None = None) -> None:
+    """Wait for a query that ends by itself; with a limit, stop it and fail beyond that."""
+    done = query.awaitTermination(seconds) if seconds else query.awaitTermination() is None
     query.stop()
     if not done:
         raise TimeoutError(f"stream did not end within {seconds} s")
 
 
-def drain_to_folder(spark: SparkSession, df: DataFrame, name: str, seconds: int = 600) -> str:
+def drain_to_folder(spark: SparkSession, df: DataFrame, name: str, seconds: int | None = None) -> str:
     """Run a stream over all present input; the parquet folder of what it appended.
 
     Results and checkpoint are written below the cluster's shared checkpoint folder.
@@ -80,7 +108,7 @@ def drain_to_folder(spark: SparkSession, df: DataFrame, name: str, seconds: int
     return f"{base}/rows"
 
 
-def drain(spark: SparkSession, df: DataFrame, name: str, seconds: int = 600) -> DataFrame:
+def drain(spark: SparkSession, df: DataFrame, name: str, seconds: int | None = None) -> DataFrame:
     """As :func:`drain_to_folder`, read back."""
     folder = drain_to_folder(spark, df, name, seconds)
     return spark.read.schema(df.schema).parquet(folder)

@@ -16,24 +16,48 @@ from tradewake.schemas import RAW_LOG
 def first_day_processor() -> StatefulProcessor:
     """Keeps the first day a device was flagged new, and clears the flag on other days.
 
-    Rows pass through in Arrow batches and are never collected per device. Inside one batch
-    they count in time order, across batches in arrival order.
+    The first day is that of the least time in the micro-batch a device is first seen in. Rows of
+    a known device pass through in Arrow batches. Those of a new one wait in the state store, on
+    disk and not in memory, until the micro-batch's last row of the device has been seen, so the
+    size of Arrow batches and the order within a micro-batch don't matter.
     """
 
     # Defined here so that it is sent to the workers by value and needs no installed package.
     class FirstDay(StatefulProcessor):
         def init(self, handle: StatefulProcessorHandle) -> None:
             self.day = handle.getValueState("first_day", "day int")
+            self.held = handle.getListState("held", "day int, value string")
 
         def handleInputRows(self, key, rows, timerValues):
-            first = self.day.get()[0] if self.day.exists() else None
+            def repaired(days, values, first):
+                return pd.DataFrame({
+                    "is_new": ["1" if day == first else "0" for day in days],
+                    "value": list(values)})
+
+            if self.day.exists():
+                first = self.day.get()[0]
+                for batch in rows:
+                    yield repaired(batch["day"], batch["value"], first)
+                return
+            least = None
             for batch in rows:
-                batch = batch.sort_values("ts", kind="stable")
-                if first is None and len(batch):
-                    first = int(batch["day"].iloc[0])
-                    self.day.update((first,))
-                flag = (batch["day"] == first).map({True: "1", False: "0"})
-                yield pd.DataFrame({"is_new": flag, "value": batch["value"]})
+                if len(batch):
+                    at = batch["ts"].to_numpy().argmin()
+                    found = (int(batch["ts"].iloc[at]), int(batch["day"].iloc[at]))
+                    least = found if least is None else min(least, found)
+                    self.held.appendList(list(zip(batch["day"].tolist(), batch["value"])))
+            if least is None:
+                return
+            self.day.update((least[1],))
+            part = []
+            for row in self.held.get():
+                part.append(row)
+                if len(part) >= 1000:
+                    yield repaired(*zip(*part), least[1])
+                    part = []
+            if part:
+                yield repaired(*zip(*part), least[1])
+            self.held.clear()
 
         def close(self) -> None:
             pass
