@@ -23,6 +23,7 @@ HEADLINE = [
     "visitor_stats", "route_cdc_facts", "upsert_dim", "order_wide", "order_wide_dims",
     "payment_wide", "search_keywords", "sql_keywords", "tokenize_documents", "product_stats",
     "product_keywords", "stream_bounces", "stream_order_wide", "stream_repair_is_new",
+    "stream_visitor_stats", "stream_unique_visits", "job_business_dims", "job_user_log",
 ]
 
 
