@@ -6,7 +6,8 @@ import re
 import numpy as np
 import pytest
 
-from tradewake.llm.decontaminate import Plan, best_match, clean_documents, contaminated
+from tradewake.llm.decontaminate import (Plan, Screen, best_match, clean_documents, contaminated,
+                                         pairs_of, words_of)
 
 
 def words(text):
@@ -77,6 +78,22 @@ def test_against_all_stretches(spark, limit):
         assert least_edits(words(dict(items)[r.item_id]), part) == r.n_edits
 
 
+def test_screen_loses_no_window():
+    rnd, plan = random.Random(4), Plan()
+    vocabulary = [f"v{i}" for i in range(60)]
+    for _ in range(300):
+        item = rnd.choices(vocabulary, k=rnd.randint(1, 50))
+        n = plan.edits(len(item))
+        inside = edited(rnd, item, n, vocabulary + ["x", "y"])
+        before = [f"z{i}" for i in range(rnd.randint(0, 5))]
+        doc = words_of(" ".join(before + inside + ["q"] * rnd.randint(0, 5)))
+        ws = words_of(" ".join(item))
+        screen = Screen(ws, pairs_of(ws))
+        found = screen.passing(screen.sums(doc), len(doc), np.arange(len(doc)),
+                               plan.size_class(len(item)), plan)
+        assert len(before) in found or len(inside) == 0
+
+
 def test_best_match():
     rnd = random.Random(1)
     for _ in range(200):

@@ -14,7 +14,7 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import partial
+from functools import lru_cache, partial
 
 import numpy as np
 import pyarrow as pa
@@ -64,29 +64,79 @@ def words_of(text: str | None) -> np.ndarray:
     return word_hashes((text or "").lower().encode("utf-8", "surrogatepass"), _BETWEEN)
 
 
-def embedded_keys(words: np.ndarray, starts: np.ndarray, size: int, plan: Plan) -> np.ndarray:
-    """Keys of the windows of size class ``size`` at ``starts``: walks * samples columns."""
+def pairs_of(words: np.ndarray) -> np.ndarray:
+    """Hashes of the pairs of neighbouring words."""
+    return mix(words[:-1] * np.uint64(0x9E3779B97F4A7C15) + words[1:])
+
+
+class Screen:
+    """What a window must have to be within the tolerance of some item of its size.
+
+    ``n`` edits leave all but ``n`` of an item's words and all but ``2 * n`` of its word pairs in the
+    matching stretch. So a window with too many foreign words or too few pairs of items can't match;
+    no window that can is left out. Hash tables with false hits only let more windows pass.
+    """
+
+    def __init__(self, words: np.ndarray, pairs: np.ndarray):
+        self.words, self.pairs = np.zeros(1 << 22, dtype=bool), np.zeros(1 << 24, dtype=bool)
+        self.words[words & np.uint64(len(self.words) - 1)] = True
+        self.pairs[pairs & np.uint64(len(self.pairs) - 1)] = True
+
+    def sums(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Foreign words and pairs of items before each place."""
+        foreign = ~self.words[words & np.uint64(len(self.words) - 1)]
+        known = self.pairs[pairs_of(words) & np.uint64(len(self.pairs) - 1)]
+        return (np.concatenate(([0], np.cumsum(foreign))), np.concatenate(([0], np.cumsum(known))))
+
+    @staticmethod
+    def passing(sums, n: int, starts: np.ndarray, size: int, plan: Plan) -> np.ndarray:
+        foreign, known = sums
+        least, most = plan.least(size), plan.most(size)
+        edits = plan.edits(most)
+        ends = np.minimum(starts + least, n)
+        over = foreign[ends] - foreign[starts] + (starts + least - ends)  # beyond the end is foreign
+        need = min(w - 1 - 2 * plan.edits(w) for w in range(least, most + 1))
+        last = np.minimum(starts + most + edits, n) - 1
+        pairs = known[np.maximum(last, starts)] - known[starts]
+        return starts[(over <= edits) & (pairs >= need)]
+
+
+@lru_cache(maxsize=256)
+def _walks(size: int, plan: Plan) -> tuple[int, list]:
+    """Steps of a class, and per walk the bits of the steps and which samples look at a step."""
     steps = max(plan.places, math.ceil(1.6 * plan.least(size)))
-    padded = np.concatenate([words, np.zeros(steps + 1, dtype=np.uint64)])
-    keys = np.empty((len(starts), plan.walks * plan.samples), dtype=np.uint64)
+    walks = []
     for walk in range(plan.walks):
         rng = np.random.default_rng([size, walk])
         bits = rng.integers(1, 2**63, steps, dtype=np.uint64) | np.uint64(1)
-        chosen = [np.sort(rng.choice(steps, min(plan.places, steps), replace=False))
-                  for _ in range(plan.samples)]
-        sums = [np.full(len(starts), mix(np.array(
-            [(size << 20) + walk * plan.samples + s + 1], dtype=np.uint64))[0])
-            for s in range(plan.samples)]
+        looks: list[list[int]] = [[] for _ in range(steps)]
+        for sample in range(plan.samples):
+            for place in rng.choice(steps, min(plan.places, steps), replace=False):
+                looks[place].append(sample)
+        last = max(i for i, x in enumerate(looks) if x)
+        walks.append((bits, looks[:last + 1]))
+    return steps, walks
+
+
+def embedded_keys(words: np.ndarray, starts: np.ndarray, size: int, plan: Plan) -> np.ndarray:
+    """Keys of the windows of size class ``size`` at ``starts``: walks * samples columns.
+
+    A sequence in ``words`` is followed by as many zeros as a walk of the class has steps.
+    """
+    _, walks = _walks(size, plan)
+    keys = np.empty((plan.walks * plan.samples, len(starts)), dtype=np.uint64)
+    for walk, (bits, looks) in enumerate(walks):
+        first = walk * plan.samples
+        for sample in range(plan.samples):
+            keys[first + sample] = (size << 20) + first + sample + 1
         at = starts.copy()
-        for step in range(int(max(c[-1] for c in chosen)) + 1):
-            word = padded[at]
-            for s, places in enumerate(chosen):
-                if step in places:
-                    sums[s] = mix(sums[s] + word)
+        for step, samples in enumerate(looks):
+            word = words[at]
+            for sample in samples:
+                keys[first + sample] = mix(keys[first + sample] * np.uint64(0x9E3779B97F4A7C15)
+                                           + word)
             at += ((word * bits[step]) >> np.uint64(63)).astype(np.int64)
-        for s in range(plan.samples):
-            keys[:, walk * plan.samples + s] = sums[s]
-    return keys
+    return keys.T
 
 
 _ITEMS = pa.schema([("item_id", pa.int64()), ("words", pa.binary()), ("n_words", pa.int32()),
@@ -99,7 +149,8 @@ def _items(batches: Iterator[pa.RecordBatch], plan: Plan) -> Iterator[pa.RecordB
             words = words_of(text)
             if len(words):
                 size = plan.size_class(len(words))
-                keys = embedded_keys(words, np.zeros(1, dtype=np.int64), size, plan)[0]
+                padded = np.concatenate([words, np.zeros(_walks(size, plan)[0], dtype=np.uint64)])
+                keys = embedded_keys(padded, np.zeros(1, dtype=np.int64), size, plan)[0]
                 yield item_id, words.tobytes(), len(words), size, np.unique(keys).view(
                     np.int64).tolist()
     return in_batches(_ITEMS, rows())
@@ -114,44 +165,53 @@ _WINDOW = "doc_id long, t long, start int, before int, window binary, keys array
 def _windows(batches: Iterator[pa.RecordBatch], plan: Plan, sizes: list[int], known
              ) -> Iterator[pa.RecordBatch]:
     """Windows that can match an item of their size, with their keys."""
-    table = wanted = None
+    screen = wanted = None
     if known is not None:
-        vocabulary, wanted = known.value
-        table = np.zeros(1 << 22, dtype=bool)
-        table[vocabulary & np.uint64(len(table) - 1)] = True
+        vocabulary, pairs, wanted = known.value
+        screen = Screen(vocabulary, pairs)
+
+    pad = np.zeros(max((_walks(s, plan)[0] for s in sizes), default=0) + 1, dtype=np.uint64)
 
     def rows():
-        for doc_id, t, text in rows_of(batches, "doc_id", "t", "text"):
-            words = words_of(text)
-            n = len(words)
-            if not n:
-                continue
-            foreign = None
-            if table is not None:
-                # Words of no item before each place; what lies beyond the end is foreign too.
-                odd = ~table[words & np.uint64(len(table) - 1)]
-                foreign = np.concatenate(([0], np.cumsum(odd)))
+        for batch in batches:
+            docs = batch.column("doc_id").to_pylist()
+            hashes = batch.column("t").to_pylist()
+            words = [words_of(t) for t in batch.column("text").to_pylist()]
+            sums = [screen.sums(w) if screen and len(w) else None for w in words]
+            # All texts of the batch in one array, each followed by room for a walk.
+            ends = np.cumsum([len(w) + len(pad) for w in words])
+            all_words = np.concatenate([x for w in words for x in (w, pad)] or [pad])
             for size in sizes:
-                least, edits = plan.least(size), plan.edits(plan.most(size))
-                starts = np.arange(max(0, n - least + edits + 1))
-                starts = starts[starts < n]
-                if foreign is not None:
-                    ends = np.minimum(starts + least, n)
-                    over = foreign[ends] - foreign[starts] + (starts + least - ends)
-                    starts = starts[over <= edits]
-                for at in range(0, len(starts), 4096):
-                    part = starts[at:at + 4096]
-                    keys = embedded_keys(words, part, size, plan)
-                    hit = np.ones(keys.shape, dtype=bool)
-                    if wanted is not None:
-                        place = np.minimum(np.searchsorted(wanted, keys), len(wanted) - 1)
-                        hit = wanted[place] == keys
-                    for k in np.flatnonzero(hit.any(axis=1)):
-                        start = int(part[k])
-                        lo = max(0, start - edits - 1)
-                        hi = start + plan.most(size) + edits + 1
-                        yield (doc_id, t, start, start - lo, words[lo:hi].tobytes(),
-                               np.unique(keys[k][hit[k]]).view(np.int64).tolist())
+                edits = plan.edits(plan.most(size))
+                found = []
+                for k, w in enumerate(words):
+                    n = len(w)
+                    starts = np.arange(min(n, max(0, n - plan.least(size) + edits + 1)))
+                    if screen and n:
+                        starts = screen.passing(sums[k], n, starts, size, plan)
+                    found.append(starts + (int(ends[k]) - n - len(pad)))
+                starts = np.concatenate(found) if found else np.zeros(0, dtype=np.int64)
+                for at in range(0, len(starts), 16384):
+                    yield from hits(size, edits, starts[at:at + 16384], docs, hashes, words, ends,
+                                    all_words)
+
+    def hits(size, edits, starts, docs, hashes, words, ends, all_words):
+        keys = embedded_keys(all_words, starts, size, plan)
+        hit = np.ones(keys.shape, dtype=bool)
+        if wanted is not None:
+            place = np.minimum(np.searchsorted(wanted, keys), len(wanted) - 1)
+            hit = wanted[place] == keys
+        # Hits a few words apart in one document go on as one window that covers them all.
+        some = np.flatnonzero(hit.any(axis=1))
+        doc = np.searchsorted(ends, starts[some], side="right")
+        cuts = np.flatnonzero((np.diff(doc) > 0) | (np.diff(starts[some]) > edits + 1)) + 1
+        for run in np.split(some, cuts) if len(some) else []:
+            d = int(np.searchsorted(ends, starts[run[0]], side="right"))
+            first, last = (int(starts[k]) - int(ends[d]) + len(words[d]) + len(pad)
+                           for k in (run[0], run[-1]))
+            lo, hi = max(0, first - edits - 1), last + plan.most(size) + edits + 1
+            yield (docs[d], hashes[d], first, first - lo, words[d][lo:hi].tobytes(),
+                   np.unique(keys[run][hit[run]]).view(np.int64).tolist())
     return in_batches(_WINDOWS, rows(), most=2048)
 
 
@@ -220,9 +280,11 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, plan: Plan = Plan()) ->
     known = None
     if max(total[0] or 0, total[1] or 0) <= plan.filter_words:
         held = items.select("words", "keys").collect()  # at most ``filter_words`` numbers
+        words = [np.frombuffer(r.words, dtype=np.uint64) for r in held]
+        none = [np.zeros(0, np.uint64)]
         known = spark.sparkContext.broadcast((
-            np.unique(np.concatenate([np.frombuffer(r.words, dtype=np.uint64) for r in held]
-                                     or [np.zeros(0, np.uint64)])),
+            np.unique(np.concatenate(words or none)),
+            np.unique(np.concatenate([pairs_of(w) for w in words] or none)),
             np.unique(np.array([k for r in held for k in r["keys"]], dtype=np.int64)
                       .view(np.uint64))))
     windows = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
@@ -232,7 +294,6 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, plan: Plan = Plan()) ->
     item_keys = items.select("item_id", F.explode("keys").alias("key"))
     pairs = windows.select("doc_id", "t", "start", F.explode("keys").alias("key")).join(
         item_keys, "key").select("doc_id", "t", "start", "item_id").distinct()
-    # Of the starts around one place only the windows differ by a word; all are verified.
     full = pairs.join(windows.drop("keys").dropDuplicates(["doc_id", "t", "start", "window"])
                       .withColumnsRenamed({"doc_id": "d", "t": "u", "start": "s"}),
                       F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("t") == F.col("u"))
