@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -11,6 +9,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tradewake.session import shared_dir
+
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 _MUL = np.uint64(0x9E3779B97F4A7C15)
@@ -19,15 +19,21 @@ _MUL = np.uint64(0x9E3779B97F4A7C15)
 class Stage:
     """Intermediate tables of one run, as Parquet below the cluster's shared folder.
 
-    ``spark.checkpoint.dir`` names the folder; only where it is unset, as in tests, a local
-    folder is used. A written table cuts the lineage, so a lost executor costs one step.
+    ``spark.checkpoint.dir`` names the folder; where it is unset, a session on this machine alone
+    uses a local one, and on a cluster that is an error. A written table cuts the lineage, so a lost executor
+    costs one step.
     """
 
     def __init__(self, spark: SparkSession, purpose: str):
-        base = spark.conf.get("spark.checkpoint.dir", "") or tempfile.mkdtemp(prefix="stage-")
         self.spark = spark
-        self.path = f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+        self.path = shared_dir(spark, purpose)
         self.count = 0
+        # Batches between the JVM and Python are small, whatever the length of the texts.
+        for key, most in (("maxRecordsPerBatch", 2000), ("maxBytesPerBatch", 8 << 20)):
+            key = f"spark.sql.execution.arrow.{key}"
+            now = spark.conf.get(key).rstrip("b")
+            if not now.isdigit() or int(now) > most or int(now) == 0:
+                spark.conf.set(key, most)
 
     def save(self, df: DataFrame) -> DataFrame:
         self.count += 1

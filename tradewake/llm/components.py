@@ -32,7 +32,7 @@ def components(links: DataFrame, stage: Stage) -> DataFrame:
             F.col("u"), F.least("u", "m").alias("m"))
         # Larger neighbours v of u hang on u's least neighbour.
         large = now.select(F.col("b").alias("u"), F.col("a").alias("v")).join(least, "u").select(
-            F.col("v").alias("a"), F.col("m").alias("b")).distinct()
+            F.col("v").alias("a"), F.col("m").alias("b"))
         # Smaller neighbours of a, and a itself, hang on the least of them.
         low = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(low, "a").select(

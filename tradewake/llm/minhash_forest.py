@@ -254,12 +254,16 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, trees: i
 
     first = stage.save(likely.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"))
     links = stage.save(confirmed(first))
-    known = stage.save(components(links, stage))
+    # Where two steps along confirmed links lead to one document, the pair is connected already.
+    step = links.select(F.col("b").alias("node"), F.col("a").alias("top"))
+    beyond = step.select(F.col("node").alias("top"), F.col("top").alias("next"))
+    tops = stage.save(step.join(beyond, "top", "left").select(
+        "node", F.coalesce("next", "top").alias("top")))
     rest = likely.join(first, ["a", "b"], "left_anti")
-    rest = rest.join(known.select(F.col("node").alias("a"), F.col("component").alias("ca")),
-                     "a", "left").join(
-        known.select(F.col("node").alias("b"), F.col("component").alias("cb")), "b", "left")
-    rest = rest.where("ca is null or cb is null or ca <> cb").select("a", "b")
+    for side in ("a", "b"):
+        rest = rest.join(tops.select(F.col("node").alias(side), F.col("top").alias(f"top_{side}")),
+                         side, "left")
+    rest = rest.where(F.coalesce("top_a", "a") != F.coalesce("top_b", "b")).select("a", "b")
     more = confirmed(rest)
     joined = stage.save(components(links.union(more), stage))
 
