@@ -29,7 +29,7 @@ def brute(rows, at_least=0.9):
 def test_against_all_pairs(spark):
     rng = np.random.default_rng(4)
     rows, i = [], 0
-    for size in [1] * 400 + [2] * 60 + [5] * 10 + [70]:
+    for size in [1] * 400 + [2] * 60 + [5] * 10 + [70, 130]:
         base = rng.standard_normal(32)
         for _ in range(size):
             x = base + (0.12 * rng.standard_normal(32) if size > 1 else 0)
@@ -41,7 +41,7 @@ def test_against_all_pairs(spark):
              (6006, [1.0, 2.0]), (6007, [2.0, 4.0]), (6008, [1e200, 1e200]), (6009, [1.0, 1.0])]
     df = spark.createDataFrame([(i, x, 1, "n") for i, x in rows],
                                "vec_id long, embedding array<double>, id int, unit string")
-    got = {r[0]: tuple(r[1:]) for r in near_vectors(df.repartition(4)).collect()}
+    got = {r[0]: tuple(r[1:]) for r in near_vectors(df.repartition(4), block=50).collect()}
     assert got == brute(rows)
 
 

@@ -4,9 +4,11 @@ Equal vectors are one class. The classes get a first neighbour graph from the le
 projection orders. Then every list is refined by neighbours of neighbours: at each node whose list
 changed, the vectors of its list are compared with each other, and a pair goes on if it is better
 than the worst entry of either side. A node whose list holds nothing but links is saturated; its
-list doubles, as often as it takes to hold all its links. When no new link turns up, the links of a
+list doubles, up to a width that keeps a round linear. When no new link turns up, the links of a
 sample of nodes are audited against all vectors, and below the wanted recall the graph gets new
-leaves and is refined further. Links are the graph's edges at or above the threshold.
+leaves and is refined further. Links are the graph's edges at or above the threshold, and components
+follow from them. Where a list is still saturated at full width, links are counted exactly: all
+vectors of that component are compared block by block, and only counts are put out, no pairs.
 """
 
 from __future__ import annotations
@@ -15,6 +17,7 @@ from collections.abc import Iterator
 from functools import partial
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -169,13 +172,14 @@ def _against(batches: Iterator[pa.RecordBatch], ids, units, at_least: float
                     schema=_EDGES)
 
 
-def links(vectors: DataFrame, stage: Stage, at_least: float = 0.9, k: int = 12, trees: int = 10,
-          bits: int = 24, leaf: int = 64, audit: int = 1024, recall: float = 0.99,
+def links(vectors: DataFrame, stage: Stage, at_least: float = 0.9, k: int = 12, widest: int = 48,
+          trees: int = 10, bits: int = 24, leaf: int = 64, audit: int = 1024, recall: float = 0.99,
           tries: int = 4) -> DataFrame:
-    """Undirected links ``(u, v)``, both directions, among distinct unit ``vectors(id, unit)``.
+    """Links ``(u, v)``, both directions, among distinct unit ``vectors(id, unit)``.
 
-    ``audit`` vectors at most, those with the least hash of their id, are compared with all others
-    to measure the recall of links; they are the only rows that are collected.
+    A node with at least ``widest`` links may have more than are listed. ``audit`` vectors at most,
+    those with the least hash of their id, are compared with all others to measure the recall of
+    links; they are the only rows that are collected.
     """
     graph = None
     sizes = vectors.sparkSession.createDataFrame([], "u long, size int")
@@ -183,7 +187,10 @@ def links(vectors: DataFrame, stage: Stage, at_least: float = 0.9, k: int = 12,
     truth = stage.save(vectors.mapInArrow(partial(
         _against, ids=[r.id for r in sample], units=[bytes(r.unit) for r in sample],
         at_least=at_least), _EDGE).select("u", "v"))
-    wanted = truth.count()
+    # A node that is saturated at full width is counted exactly later.
+    open_truth = truth.join(truth.groupBy("u").agg(F.count("*").alias("n"))
+                            .where(F.col("n") < widest).drop("n"), "u")
+    wanted = open_truth.count()
     for attempt in range(tries):
         coded = stage.save(vectors.mapInArrow(
             partial(_code, trees=trees, bits=bits, seed=attempt),
@@ -197,31 +204,66 @@ def links(vectors: DataFrame, stage: Stage, at_least: float = 0.9, k: int = 12,
         stage.drop(coded)
         before = -1
         while True:
-            linked = graph.where(F.col("sim") >= at_least)
-            number, full = linked.agg(
+            number, full = graph.where(F.col("sim") >= at_least).agg(
                 F.count("*"), F.sum(F.when(F.col("place") == k, 1).otherwise(0))).first()
             if full:
-                # Lists that hold only links double until the last entry is none.
+                # Lists that hold only links double, until the last entry is none.
                 sizes = stage.save(graph.join(sizes, "u", "left").groupBy("u").agg(
                     F.coalesce(F.max("size"), F.lit(k)).alias("size"), F.min("sim").alias("worst"),
                     F.count("*").alias("n")).select("u", F.when(
                         (F.col("worst") >= at_least) & (F.col("n") >= F.col("size")),
-                        F.col("size") * 2).otherwise(F.col("size")).cast("int").alias("size"))
-                    .where(F.col("size") > k))
-            if number == before:
+                        F.least(F.col("size") * 2, F.lit(widest))).otherwise(F.col("size"))
+                        .cast("int").alias("size")).where(F.col("size") > k))
+            if number <= before * 1.0005:
                 break
             before = number
-            graph, old = _refine(graph, vectors, sizes, k, stage), graph
+            graph, old = _refine(graph, vectors, sizes, k, widest, stage), graph
             stage.drop(old)
-        linked = stage.save(graph.where(F.col("sim") >= at_least).select("u", "v").union(
-            graph.where(F.col("sim") >= at_least).select("v", "u")).distinct())
-        if not wanted or linked.join(truth, ["u", "v"]).count() >= recall * wanted:
+        edges = graph.where(F.col("sim") >= at_least)
+        linked = stage.save(edges.select("u", "v").union(edges.select("v", "u")).distinct())
+        if not wanted or linked.join(open_truth, ["u", "v"]).count() >= recall * wanted:
             break
     return linked
 
 
-def _refine(graph: DataFrame, vectors: DataFrame, sizes: DataFrame, k: int, stage: Stage
-            ) -> DataFrame:
+def _count(frame: pd.DataFrame, at_least: float) -> pd.DataFrame:
+    """Linked members of each vector of a pair of blocks; a block with itself comes once."""
+    i, j = frame["i"].iloc[0], frame["j"].iloc[0]
+    left, right = frame[frame["own"] == i], frame[frame["own"] == j]
+    out = []
+    for a, x in _matrix(list(left["unit"])):
+        for b, y in _matrix(list(right["unit"])):
+            if x.shape[1] != y.shape[1]:
+                continue
+            ids, others = left["id"].to_numpy()[a], right["id"].to_numpy()[b]
+            hit = (x @ y.T >= at_least) & (ids[:, None] != others[None, :])
+            out.append((ids, hit @ right["members"].to_numpy()[b]))
+            if i != j:
+                out.append((others, hit.T @ left["members"].to_numpy()[a]))
+    ids, counts = (np.concatenate(c) for c in zip(*out)) if out else ([], [])
+    return pd.DataFrame({"id": ids, "others": counts})
+
+
+def _counted(classes: DataFrame, joined: DataFrame, found: DataFrame, widest: int, block: int,
+             at_least: float) -> DataFrame:
+    """``id, others``: exact link counts for all vectors of components with a saturated node."""
+    full = found.groupBy("u").agg(F.count("*").alias("n")).where(F.col("n") >= widest)
+    crowded = joined.join(full, F.col("node") == F.col("u")).select("component").distinct()
+    inside = joined.join(crowded, "component", "left_semi")
+    size = inside.groupBy("component").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"))
+    rows = inside.join(size, "component").join(classes, F.col("node") == F.col("id")).select(
+        "component", "blocks", "id", "unit", "members",
+        F.pmod(F.xxhash64("id"), F.col("blocks").cast("long")).cast("int").alias("own"))
+    pairs = rows.select("*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")) \
+        .select("component", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
+                "own", "id", "unit", "members")
+    return pairs.groupBy("component", "i", "j").applyInPandas(
+        partial(_count, at_least=at_least), "id long, others long").groupBy("id").agg(
+        F.sum("others").alias("others"))
+
+
+def _refine(graph: DataFrame, vectors: DataFrame, sizes: DataFrame, k: int, widest: int,
+            stage: Stage) -> DataFrame:
     """One round: lists of both directions, compared where they changed, merged into the graph."""
     worst = graph.join(sizes, "u", "left").groupBy("u").agg(
         F.min("sim").alias("low"), F.count("*").alias("n"),
@@ -231,7 +273,7 @@ def _refine(graph: DataFrame, vectors: DataFrame, sizes: DataFrame, k: int, stag
         F.col("id").alias("v"), "worst", "unit")
     ways = graph.select("u", "v", "sim", "new").union(
         graph.select("v", "u", "sim", "new"))
-    lists = _top(ways, sizes.withColumn("size", F.col("size") * 2), 2 * k)
+    lists = _top(ways, sizes.withColumn("size", F.least(F.col("size") * 2, F.lit(widest))), 2 * k)
     # ``new`` is 0 for entries of the last round, 1 for older ones.
     changed = lists.where("new = 0").select("u").distinct()
     filled = lists.join(changed, "u", "left_semi").join(entry, "v").select(
@@ -245,7 +287,8 @@ def _refine(graph: DataFrame, vectors: DataFrame, sizes: DataFrame, k: int, stag
     return stage.save(_top(order, sizes, k))
 
 
-def near_vectors(table: DataFrame, at_least: float = 0.9, **options) -> DataFrame:
+def near_vectors(table: DataFrame, at_least: float = 0.9, widest: int = 48, block: int = 1024,
+                 **options) -> DataFrame:
     """One row per vector: ``vec_id, n_links, component_id, kept``.
 
     ``table`` has ``vec_id`` and ``embedding``, an array of numbers; other columns are ignored.
@@ -263,12 +306,15 @@ def near_vectors(table: DataFrame, at_least: float = 0.9, **options) -> DataFram
     alike = units.where("unit is not null").groupBy("unit").agg(
         F.min("vec_id").alias("id"), F.count_distinct("vec_id").alias("members"))
     classes = stage.save(alike)
-    found = links(classes.select("id", "unit"), stage, at_least, **options)
+    found = links(classes.select("id", "unit"), stage, at_least, widest=widest, **options)
     joined = stage.save(components(found.select(F.col("u").alias("a"), F.col("v").alias("b")),
                                    stage))
     sizes = classes.select(F.col("id").alias("v"), "members")
     others = found.join(sizes, "v").groupBy(F.col("u").alias("id")).agg(
         F.sum("members").alias("others"))
+    exact = _counted(classes, joined, found, widest, block, at_least)
+    others = others.join(exact.withColumnRenamed("others", "exact"), "id", "left").select(
+        "id", F.coalesce("exact", "others").alias("others"))
     named = classes.join(others, "id", "left").join(
         joined, F.col("id") == F.col("node"), "left").select(
         "unit", (F.col("members") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"),
