@@ -2,6 +2,7 @@
 
 import numpy as np
 
+from tradewake.llm import nn_descent
 from tradewake.llm.nn_descent import near_vectors
 
 
@@ -49,3 +50,37 @@ def test_nothing(spark):
     assert near_vectors(spark.createDataFrame([], "vec_id long, embedding array<float>")).count() == 0
     df = spark.createDataFrame([(1, None), (2, [0.0])], "vec_id long, embedding array<float>")
     assert sorted(map(tuple, near_vectors(df).collect())) == [(1, 0, 1, True), (2, 0, 2, True)]
+
+
+def test_two_crowds_joined_by_a_few_pairs(spark):
+    rng = np.random.default_rng(5)
+
+    def at(degrees, spread):
+        a = np.radians(degrees)
+        x = np.zeros(32)
+        x[:2] = np.cos(a), np.sin(a)
+        return x + spread * rng.standard_normal(32)
+    rows = [at(0, 0.004) for _ in range(90)] + [at(36, 0.004) for _ in range(120)]
+    rows += [at(6, 0.001) for _ in range(2)] + [at(30, 0.001) for _ in range(3)]  # .913 apart
+    rows += [at(54, 0.001)] + [rng.standard_normal(32) for _ in range(60)]
+    rows = [(i, [float(c) for c in x]) for i, x in enumerate(rows)]
+    rows += [(1000 + k, rows[210][1]) for k in range(3)]
+    want = brute(rows)
+    assert want[95][1] == 0 and want[0][0] > 90 and want[210][0] == 90 + 4 + 3
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(4)
+    got = {r[0]: tuple(r[1:]) for r in near_vectors(df, block=5).collect()}
+    assert got == want
+
+
+def test_crowds_beyond_the_pivots_are_counted(spark, monkeypatch):
+    rng = np.random.default_rng(6)
+    rows = []
+    for _ in range(6):
+        base = rng.standard_normal(24)
+        rows += [base + 0.1 * rng.standard_normal(24) for _ in range(20)]
+    rows = [(i, [float(c) for c in x]) for i, x in enumerate(rows)]
+    real = nn_descent._pivots
+    monkeypatch.setattr(nn_descent, "_pivots", lambda crowd, reach: real(crowd, reach, most=2))
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    got = {r[0]: tuple(r[1:]) for r in near_vectors(df, k=4, widest=8, block=6).collect()}
+    assert got == brute(rows)

@@ -7,8 +7,10 @@ than the worst entry of either side. A node whose list holds nothing but links i
 list doubles, up to a width that keeps a round linear. When no new link turns up, the links of a
 sample of nodes are audited against all vectors, and below the wanted recall the graph gets new
 leaves and is refined further. Links are the graph's edges at or above the threshold, and components
-follow from them. Where a list is still saturated at full width, links are counted exactly: all
-vectors of that component are compared block by block, and only counts are put out, no pairs.
+follow from them. Where a list is still saturated at full width, links are counted exactly: such
+vectors are put around pivots, and those of one pivot are compared block by block with every vector
+that the angles to the pivot let reach them, whatever its component. Only counts are put out, and
+one link for each two components that turn out to be one.
 """
 
 from __future__ import annotations
@@ -31,6 +33,11 @@ _CODED = pa.schema([("id", pa.int64()), ("tree", pa.int32()), ("code", pa.int64(
                     ("unit", pa.binary())])
 _EDGES = pa.schema([("u", pa.int64()), ("v", pa.int64()), ("sim", pa.float64())])
 _EDGE = "u long, v long, sim double"
+_NUMBER = pa.schema([("u", pa.int64()), ("n", pa.int64())])
+_HOME = pa.schema([("id", pa.int64()), ("home", pa.int64()), ("angle", pa.float64())])
+_REACH = pa.schema([("cluster", pa.int64()), ("id", pa.int64())])
+#: More than the rounding of an angle, in radians.
+_SLACK = 1e-6
 
 
 def _unit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -156,41 +163,37 @@ def _local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _against(batches: Iterator[pa.RecordBatch], ids, units, at_least: float
              ) -> Iterator[pa.RecordBatch]:
-    """Links of the audited vectors, found among all rows block by block."""
+    """How many links the audited vectors have among the rows of each batch."""
     groups = _matrix(units)
     for batch in batches:
         own = np.array(batch.column("id").to_pylist())
         for at, x in _matrix(batch.column("unit").to_pylist()):
             for qa, q in groups:
-                if q.shape[1] != x.shape[1]:
-                    continue
-                i, j = np.nonzero(q @ x.T >= at_least)
-                u, v = np.array(ids)[qa][i], own[at][j]
-                ok = u != v
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(u[ok]), pa.array(v[ok]), pa.array(np.ones(ok.sum()))],
-                    schema=_EDGES)
+                if q.shape[1] == x.shape[1]:
+                    u = np.array(ids)[qa]
+                    n = ((q @ x.T >= at_least) & (u[:, None] != own[at][None, :])).sum(axis=1)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(u[n > 0]), pa.array(n[n > 0].astype(np.int64))], schema=_NUMBER)
 
 
 def links(vectors: DataFrame, stage: Stage, at_least: float = 0.9, k: int = 12, widest: int = 48,
           trees: int = 10, bits: int = 24, leaf: int = 64, audit: int = 1024, recall: float = 0.99,
-          tries: int = 4) -> DataFrame:
-    """Links ``(u, v)``, both directions, among distinct unit ``vectors(id, unit)``.
+          tries: int = 4) -> tuple[DataFrame, DataFrame]:
+    """Links ``(u, v)``, both directions, among distinct unit ``vectors(id, unit)``; and the nodes
+    ``u`` that may have more links than are listed, since nothing but links is in their list.
 
-    A node with at least ``widest`` links may have more than are listed. ``audit`` vectors at most,
-    those with the least hash of their id, are compared with all others to measure the recall of
-    links; they are the only rows that are collected.
+    ``audit`` vectors at most, those with the least hash of their id, are compared with all others
+    to measure the recall of links, of ``widest`` a node; they are the only rows that are collected.
+    If the recall stays too low, every node counts as one with more links.
     """
     graph = None
     sizes = vectors.sparkSession.createDataFrame([], "u long, size int")
     sample = vectors.orderBy(F.xxhash64("id"), "id").limit(audit).collect()
     truth = stage.save(vectors.mapInArrow(partial(
         _against, ids=[r.id for r in sample], units=[bytes(r.unit) for r in sample],
-        at_least=at_least), _EDGE).select("u", "v"))
-    # A node that is saturated at full width is counted exactly later.
-    open_truth = truth.join(truth.groupBy("u").agg(F.count("*").alias("n"))
-                            .where(F.col("n") < widest).drop("n"), "u")
-    wanted = open_truth.count()
+        at_least=at_least), "u long, n long").groupBy("u").agg(
+        F.least(F.sum("n"), F.lit(widest)).alias("n")))
+    wanted = truth.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     for attempt in range(tries):
         coded = stage.save(vectors.mapInArrow(
             partial(_code, trees=trees, bits=bits, seed=attempt),
@@ -221,45 +224,178 @@ def links(vectors: DataFrame, stage: Stage, at_least: float = 0.9, k: int = 12,
             stage.drop(old)
         edges = graph.where(F.col("sim") >= at_least)
         linked = stage.save(edges.select("u", "v").union(edges.select("v", "u")).distinct())
-        if not wanted or linked.join(open_truth, ["u", "v"]).count() >= recall * wanted:
+        had = linked.groupBy("u").agg(F.count("*").alias("found")).join(truth, "u").agg(
+            F.coalesce(F.sum(F.least("found", "n")), F.lit(0))).first()[0]
+        if had >= recall * wanted:
+            break
+    else:
+        return linked, vectors.select(F.col("id").alias("u"))
+    crowded = edges.groupBy("u").agg(F.count("*").alias("n")).join(sizes, "u", "left").where(
+        F.col("n") >= F.coalesce("size", F.lit(k))).select("u")
+    return linked, crowded.union(linked.groupBy("u").agg(F.count("*").alias("n")).where(
+        F.col("n") >= widest).select("u")).distinct()
+
+
+def _angles(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    return np.arccos(np.clip(x @ y.T, -1, 1))
+
+
+def _home(batches: Iterator[pa.RecordBatch], pivots: list[bytes], reach: float
+          ) -> Iterator[pa.RecordBatch]:
+    """The nearest pivot of each vector, if one is within ``reach``; else minus its length."""
+    groups = _matrix(pivots) if pivots else []
+    for batch in batches:
+        ids = np.array(batch.column("id").to_pylist())
+        for at, x in _matrix(batch.column("unit").to_pylist()):
+            home, angle = np.full(len(at), -x.shape[1]), np.full(len(at), np.pi)
+            for of, y in groups:
+                if y.shape[1] == x.shape[1]:
+                    far = _angles(x, y)
+                    best = far.argmin(axis=1)
+                    least = far[np.arange(len(at)), best]
+                    home[least <= reach] = of[best][least <= reach]
+                    angle[least <= reach] = least[least <= reach]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in (ids[at], home, angle)],
+                                             schema=_HOME)
+
+
+def _pivots(crowd: DataFrame, reach: float, most: int = 2048, rounds: int = 8, sample: int = 1024
+            ) -> list[bytes]:
+    """Vectors of ``crowd`` more than ``reach`` apart, until all are within ``reach`` of one or
+    ``most`` or ``rounds`` is reached; what is left then is compared with all vectors."""
+    chosen: list[bytes] = []
+    for _ in range(rounds):
+        bare = crowd.select("id", "unit").mapInArrow(
+            partial(_home, pivots=chosen, reach=reach), "id long, home long, angle double") \
+            .where("home < 0").orderBy(F.xxhash64("id"), "id").limit(sample)
+        rows = crowd.join(bare.select("id"), "id").orderBy(F.xxhash64("id"), "id") \
+            .select("unit").collect()
+        new: dict[int, list[np.ndarray]] = {}
+        for (raw,) in rows:
+            x = np.frombuffer(raw)
+            near = new.setdefault(len(x), [])
+            if len(chosen) < most and (
+                    not near or _angles(x[None, :], np.array(near)).min() > reach):
+                near.append(x)
+                chosen.append(bytes(raw))
+        if len(rows) < sample or len(chosen) >= most:
             break
-    return linked
+    return chosen
 
 
-def _count(frame: pd.DataFrame, at_least: float) -> pd.DataFrame:
-    """Linked members of each vector of a pair of blocks; a block with itself comes once."""
+def _reached(batches: Iterator[pa.RecordBatch], pivots: list[bytes], radius: dict[int, float],
+             reach: float) -> Iterator[pa.RecordBatch]:
+    """The pivots other than its own whose vectors may link with a vector."""
+    groups = _matrix(pivots) if pivots else []
+    for batch in batches:
+        ids = np.array(batch.column("id").to_pylist())
+        homes = np.array(batch.column("home").to_pylist(), dtype=np.int64)
+        for at, x in _matrix(batch.column("unit").to_pylist()):
+            rest = -x.shape[1]
+            found = [(np.full(len(at), rest), np.arange(len(at)))] if rest in radius else []
+            for of, y in groups:
+                if y.shape[1] == x.shape[1]:
+                    bound = np.array([radius.get(int(c), -np.inf) for c in of]) + reach + _SLACK
+                    i, j = np.nonzero(_angles(x, y) <= bound)
+                    found.append((of[j], i))
+            for cluster, i in found:
+                ok = cluster != homes[at][i]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(cluster[ok]), pa.array(ids[at][i][ok])], schema=_REACH)
+
+
+def _count(frame: pd.DataFrame, at_least: float, block: int) -> pd.DataFrame:
+    """Linked members of the vectors of a pair of blocks, a block with itself coming once; and one
+    link for each two components that links join."""
     i, j = frame["i"].iloc[0], frame["j"].iloc[0]
     left, right = frame[frame["own"] == i], frame[frame["own"] == j]
-    out = []
-    for a, x in _matrix(list(left["unit"])):
-        for b, y in _matrix(list(right["unit"])):
+    sides = [(f["id"].to_numpy(), f["members"].to_numpy(), f["component"].to_numpy())
+             for f in (left, right)]
+    totals = [np.zeros(len(left), np.int64), np.zeros(len(right), np.int64)]
+    parent: dict[int, int] = {}
+    joins = []
+
+    def root(c: int) -> int:
+        while parent.get(c, c) != c:
+            c = parent[c]
+        return c
+
+    def join(a: np.ndarray, b: np.ndarray) -> None:
+        for c, d in np.unique(np.stack([a, b], axis=1), axis=0).tolist():
+            x, y = root(c), root(d)
+            if x != y:
+                parent[max(x, y)] = min(x, y)
+                joins.append((c, d))
+
+    parts = [[(at[n:n + block], x[n:n + block]) for at, x in _matrix(list(f["unit"]))
+              for n in range(0, len(at), block)] for f in (left, right)]
+    for a, x in parts[0]:
+        for b, y in parts[1]:
             if x.shape[1] != y.shape[1]:
                 continue
-            ids, others = left["id"].to_numpy()[a], right["id"].to_numpy()[b]
-            hit = (x @ y.T >= at_least) & (ids[:, None] != others[None, :])
-            out.append((ids, hit @ right["members"].to_numpy()[b]))
-            if i != j:
-                out.append((others, hit.T @ left["members"].to_numpy()[a]))
-    ids, counts = (np.concatenate(c) for c in zip(*out)) if out else ([], [])
-    return pd.DataFrame({"id": ids, "others": counts})
-
-
-def _counted(classes: DataFrame, joined: DataFrame, found: DataFrame, widest: int, block: int,
+            hit = (x @ y.T >= at_least) & (sides[0][0][a][:, None] != sides[1][0][b][None, :])
+            totals[0][a] += hit @ sides[1][1][b]
+            totals[1][b] += hit.T @ sides[0][1][a]
+            c, d = (np.array([root(int(n)) for n in side[2][at]], dtype=np.int64)
+                    for side, at in zip(sides, (a, b)))
+            other = hit & (c[:, None] != d[None, :])
+            if other.any():
+                p, q = np.nonzero(other)
+                join(c[p], d[q])
+    out = [(sides[0][0], totals[0])]
+    if i != j:
+        # A crowded vector is counted where its own pivot is, against all that may link with it.
+        takes = (right["home"] | ~right["crowded"]).to_numpy()
+        out.append((sides[1][0][takes], totals[1][takes]))
+    counts = pd.DataFrame({"id": np.concatenate([o[0] for o in out]),
+                           "others": np.concatenate([o[1] for o in out])})
+    ends = pd.DataFrame(joins, columns=["a", "b"], dtype="int64")
+    return pd.concat([counts[counts["others"] > 0], ends])[["id", "others", "a", "b"]].astype("Int64")
+
+
+def _counted(classes: DataFrame, joined: DataFrame, crowded: DataFrame, stage: Stage, block: int,
              at_least: float) -> DataFrame:
-    """``id, others``: exact link counts for all vectors of components with a saturated node."""
-    full = found.groupBy("u").agg(F.count("*").alias("n")).where(F.col("n") >= widest)
-    crowded = joined.join(full, F.col("node") == F.col("u")).select("component").distinct()
-    inside = joined.join(crowded, "component", "left_semi")
-    size = inside.groupBy("component").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"))
-    rows = inside.join(size, "component").join(classes, F.col("node") == F.col("id")).select(
-        "component", "blocks", "id", "unit", "members",
-        F.pmod(F.xxhash64("id"), F.col("blocks").cast("long")).cast("int").alias("own"))
-    pairs = rows.select("*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")) \
-        .select("component", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
-                "own", "id", "unit", "members")
-    return pairs.groupBy("component", "i", "j").applyInPandas(
-        partial(_count, at_least=at_least), "id long, others long").groupBy("id").agg(
-        F.sum("others").alias("others"))
+    """``id, others, a, b``: exact counts of the links that ``crowded`` nodes ``u`` have, for both
+    of their ends, and links ``(a, b)`` of components, which have the other columns null.
+
+    Every crowded vector belongs to one cluster, that of its nearest pivot or the one of all that
+    have none. A vector whose angle to the pivot is more than the cluster's radius and the
+    threshold's angle together links with none of its vectors; all others are compared with them.
+    """
+    reach = float(np.arccos(at_least))
+    crowd = stage.save(classes.join(crowded, F.col("id") == F.col("u"), "left_semi"))
+    pivots = _pivots(crowd, reach)
+    homes = stage.save(crowd.select("id", "unit").mapInArrow(
+        partial(_home, pivots=pivots, reach=reach), "id long, home long, angle double"))
+    radius = {r.home: r.far for r in homes.groupBy("home").agg(F.max("angle").alias("far")).collect()}
+    own = homes.select("id", F.col("home").alias("cluster"))
+    none = -(2**62)  # no cluster has this number
+    nodes = classes.join(own, "id", "left").join(
+        joined, F.col("id") == F.col("node"), "left").select(
+        "id", "unit", "members", F.coalesce("component", "id").alias("component"),
+        F.col("cluster").isNotNull().alias("crowded"),
+        F.coalesce("cluster", F.lit(none)).alias("home"))
+    nodes = stage.save(nodes) if radius else nodes.limit(0)
+    met = nodes.select("id", "unit", "home").mapInArrow(
+        partial(_reached, pivots=pivots, radius=radius, reach=reach), "cluster long, id long")
+    placed = stage.save(met.withColumn("home", F.lit(False)).union(
+        own.select("cluster", "id", F.lit(True))))
+    span = 8 * block
+    size = placed.groupBy("cluster").agg(
+        F.ceil(F.sum(F.col("home").cast("int")) / span).cast("int").alias("inner"),
+        F.ceil(F.sum((~F.col("home")).cast("int")) / span).cast("int").alias("outer"))
+    # Blocks of the cluster's own vectors come first; blocks of others aren't compared together.
+    spread = F.xxhash64("id")
+    block_of = F.when(F.col("home"), F.pmod(spread, "inner")).otherwise(
+        F.col("inner") + F.pmod(spread, F.greatest("outer", F.lit(1)))).cast("int")
+    last = F.when(F.col("home"), F.col("inner") + F.col("outer")).otherwise(F.col("inner"))
+    pairs = placed.join(size, "cluster").withColumn("own", block_of).select(
+        "cluster", "id", "home", "own", F.explode(F.sequence(F.lit(0), last - 1)).alias("other"))
+    rows = pairs.join(nodes.drop("home"), "id").select(
+        "cluster", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
+        "own", "home", "id", "unit", "members", "component", "crowded")
+    return stage.save(rows.groupBy("cluster", "i", "j").applyInPandas(
+        partial(_count, at_least=at_least, block=block), "id long, others long, a long, b long"))
 
 
 def _refine(graph: DataFrame, vectors: DataFrame, sizes: DataFrame, k: int, widest: int,
@@ -306,15 +442,25 @@ def near_vectors(table: DataFrame, at_least: float = 0.9, widest: int = 48, bloc
     alike = units.where("unit is not null").groupBy("unit").agg(
         F.min("vec_id").alias("id"), F.count_distinct("vec_id").alias("members"))
     classes = stage.save(alike)
-    found = links(classes.select("id", "unit"), stage, at_least, widest=widest, **options)
+    found, crowded = links(classes.select("id", "unit"), stage, at_least, widest=widest, **options)
+    crowded = stage.save(crowded)
     joined = stage.save(components(found.select(F.col("u").alias("a"), F.col("v").alias("b")),
                                    stage))
     sizes = classes.select(F.col("id").alias("v"), "members")
-    others = found.join(sizes, "v").groupBy(F.col("u").alias("id")).agg(
-        F.sum("members").alias("others"))
-    exact = _counted(classes, joined, found, widest, block, at_least)
-    others = others.join(exact.withColumnRenamed("others", "exact"), "id", "left").select(
-        "id", F.coalesce("exact", "others").alias("others"))
+    exact = _counted(classes, joined, crowded, stage, block, at_least)
+    # Links with a crowded node at either end are all in the exact counts, the others in lists.
+    plain = found.join(crowded, "u", "left_anti").join(
+        crowded.withColumnRenamed("u", "v"), "v", "left_anti")
+    others = plain.join(sizes, "v").select(F.col("u").alias("id"), F.col("members").alias("others")) \
+        .union(exact.where("id is not null").select("id", "others")) \
+        .groupBy("id").agg(F.sum("others").alias("others"))
+    # Components that exact links join become one.
+    merged = components(exact.where("id is null").select("a", "b"), stage).withColumnRenamed(
+        "component", "whole")
+    joined = classes.select("id").join(joined, F.col("id") == F.col("node"), "left").select(
+        F.col("id").alias("node"), F.coalesce("component", "id").alias("part")).join(
+        merged.withColumnRenamed("node", "part"), "part", "left").select(
+        "node", F.coalesce("whole", "part").alias("component"))
     named = classes.join(others, "id", "left").join(
         joined, F.col("id") == F.col("node"), "left").select(
         "unit", (F.col("members") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"),
