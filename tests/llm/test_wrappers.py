@@ -108,3 +108,13 @@ def test_pages(spark):
     hosts = pages.withColumn("html", pages.html)
     assert wrappers.infer(hosts, Stage(spark, "w")).count() == 1
     assert wrappers.extract(pages.limit(0)).count() == 0
+
+
+def test_text_after_a_deep_part():
+    def alone(page):
+        return wrappers.main_text(page, wrappers.judge(wrappers._leaf(wrappers.parse(page), False, {})))
+    deep = "<div>" * 70 + "deep<form>login</form><nav>menu<div>sub</div></nav>tail" + "</div>" * 70
+    page = f"<body><div><article><p>start</p>{deep}<p>after</p></article></div></body>"
+    assert alone(page) == "start deep tail after"
+    inner = "<article>one<div>two</div>three</article><aside>x<div>y</div></aside>"
+    assert alone("<body>" + "<div>" * 70 + inner + "z" + "</div>" * 70 + "</body>") == "one two three"

@@ -52,7 +52,8 @@ _BODY_NAMES = re.compile(
     r"(?:^|[ .#])(?:main|content|main-content|article|article-body|articlebody|post|post-content|"
     r"post-body|entry|entry-content|story|story-body|body-text)(?:$|[ .#])", re.I)
 
-#: Elements nested deeper are taken as part of the one at this depth; their text stays.
+#: Elements nested deeper are taken as part of the one at this depth; their text stays. Parts that are
+#: left out and parts that hold articles remain nodes of their own, as one more level of each kind.
 DEEPEST = 60
 
 
@@ -75,8 +76,13 @@ def _symbol(name: str, attributes: str) -> str:
 def parse(page: str) -> Node:
     """The tree of a page, with the end tags that authors leave out or misplace."""
     root = Node("page")
+    # All open elements: the node that takes their text, their name and the kinds of nodes that
+    # stand below the deepest level; where each name is open, and where elements that aren't inline.
     stack: list[Node] = [root]
     names: list[str] = ["page"]
+    below: list[frozenset] = [frozenset()]
+    open_at: dict[str, list[int]] = {}
+    blocks: list[int] = [0]
     at = 0
 
     def text(raw: str) -> None:
@@ -84,7 +90,21 @@ def parse(page: str) -> Node:
             stack[-1].children.append(Node("#text", entities.unescape(raw)))
 
     def close(depth: int) -> None:
-        del stack[depth:], names[depth:]
+        ended = None
+        while len(names) > depth:
+            name = names.pop()
+            open_at[name].pop()
+            if name not in _INLINE:
+                blocks.pop()
+                ended = name
+            # Without a node of its own a block still ends the words before it.
+            bare = stack.pop() is stack[-1]
+            below.pop()
+        if ended and bare:
+            stack[-1].children.append(Node(ended))
+
+    def nearest(some) -> int:
+        return max((open_at[n][-1] for n in some if open_at.get(n)), default=0)
 
     while at < len(page):
         found = _TOKEN.search(page, at)
@@ -96,27 +116,19 @@ def parse(page: str) -> Node:
         if not name:
             continue
         if found[1] or found[4]:
-            for k in range(len(names) - 1, 0, -1):
-                if names[k] == name:
-                    # A misplaced end of an inline element doesn't end the blocks inside it.
-                    if name not in _INLINE or all(n in _INLINE for n in names[k:]):
-                        close(k)
-                    break
+            k = nearest((name,))
+            # A misplaced end of an inline element doesn't end the blocks inside it.
+            if k and (name not in _INLINE or blocks[-1] < k):
+                close(k)
             continue
         if name not in _INLINE:
-            for k in range(len(names) - 1, 0, -1):
-                if names[k] not in _INLINE:
-                    if names[k] == "p":  # a block ends the paragraph before it
-                        close(k)
-                    break
+            if names[blocks[-1]] == "p" and blocks[-1]:  # a block ends the paragraph before it
+                close(blocks[-1])
             if name in _CLOSES:
                 inner, outer = _CLOSES[name]
-                for k in range(len(names) - 1, 0, -1):
-                    if names[k] in outer:
-                        break
-                    if names[k] in inner.split():
-                        close(k)
-                        break
+                k = nearest(inner.split())
+                if k > nearest(outer):
+                    close(k)
         node = Node(_symbol(name, found[3] or ""))
         stack[-1].children.append(node)
         if name in _RAW:
@@ -124,9 +136,20 @@ def parse(page: str) -> Node:
             at = end.start() if end else len(page)
             if end:
                 at = page.find(">", at) + 1 or len(page)
-        elif name not in _VOID and len(stack) < DEEPEST:
+        elif name not in _VOID:
+            kinds = below[-1]
+            if len(stack) >= DEEPEST:
+                kind = _level(node.symbol)
+                if kind and "out" not in kinds and kind not in kinds:
+                    kinds = kinds | {kind}
+                else:
+                    node = stack[-1]
+            open_at.setdefault(name, []).append(len(names))
+            if name not in _INLINE:
+                blocks.append(len(names))
             stack.append(node)
             names.append(name)
+            below.append(kinds)
     text(page[at:])
     return root
 
@@ -235,6 +258,19 @@ def _aside(symbol: str, in_article: bool) -> bool:
     return not in_article and (name == "header" or bool(names and _HEADER.search(names)))
 
 
+def _kind(symbol: str) -> str | None:
+    """How a part is marked as one that holds an article."""
+    name, _, names = symbol.partition(" ")
+    return "article" if name == "article" else \
+        "main" if name == "main" or "main" in names.split() else \
+        "named" if names and _BODY_NAMES.search(names) else None
+
+
+def _level(symbol: str) -> str | None:
+    """What a part needs a node of its own for, at any depth."""
+    return "out" if _aside(symbol, True) else "header" if _aside(symbol, False) else _kind(symbol)
+
+
 def judge(w: dict) -> dict:
     """Mark the parts of a host's wrapper that hold its articles with ``k``.
 
@@ -246,12 +282,9 @@ def judge(w: dict) -> dict:
     masses: list[tuple[int, int, dict]] = []
 
     def visit(x: dict, inside: set[str]) -> None:
-        name, _, names = x["s"].partition(" ")
         if _aside(x["s"], "article" in inside):
             return
-        kind = "article" if name == "article" else \
-            "main" if name == "main" or "main" in names.split() else \
-            "named" if names and _BODY_NAMES.search(names) else None
+        kind = _kind(x["s"])
         if kind and kind not in inside:
             kinds[kind].append(x)
             inside = inside | {kind}
