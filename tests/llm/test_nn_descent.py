@@ -84,3 +84,16 @@ def test_crowds_beyond_the_pivots_are_counted(spark, monkeypatch):
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
     got = {r[0]: tuple(r[1:]) for r in near_vectors(df, k=4, widest=8, block=6).collect()}
     assert got == brute(rows)
+
+
+def test_small_groups_grow_beside_many_settled_ones(spark):
+    rng = np.random.default_rng(7)
+    rows, want = [], {}
+    for size in [3] * 6000 + [8] + [20]:
+        base, first = rng.standard_normal(32), len(rows)
+        for _ in range(size):
+            want[len(rows)] = (size - 1, first, len(rows) == first)
+            rows.append((len(rows), (base + 0.03 * rng.standard_normal(32)).tolist()))
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(4)
+    got = {r[0]: tuple(r[1:]) for r in near_vectors(df, k=2, trees=6).collect()}
+    assert got == want

@@ -4,7 +4,8 @@ Equal vectors are one class. The classes get a first neighbour graph from the le
 projection orders. Then every list is refined by neighbours of neighbours: at each node whose list
 changed, the vectors of its list are compared with each other, and a pair goes on if it is better
 than the worst entry of either side. A node whose list holds nothing but links is saturated; its
-list doubles, up to a width that keeps a round linear. When no new link turns up, the links of a
+list doubles, up to a width that keeps a round linear. When a round adds no link at all and no list
+is left to double, the links of a
 sample of nodes are audited against all vectors, and below the wanted recall the graph gets new
 leaves and is refined further. Links are the graph's edges at or above the threshold, and components
 follow from them. Where a list is still saturated at full width, links are counted exactly: such
@@ -207,17 +208,18 @@ def links(vectors: DataFrame, stage: Stage, at_least: float = 0.9, k: int = 12,
         stage.drop(coded)
         before = -1
         while True:
-            number, full = graph.where(F.col("sim") >= at_least).agg(
-                F.count("*"), F.sum(F.when(F.col("place") == k, 1).otherwise(0))).first()
-            if full:
-                # Lists that hold only links double, until the last entry is none.
-                sizes = stage.save(graph.join(sizes, "u", "left").groupBy("u").agg(
-                    F.coalesce(F.max("size"), F.lit(k)).alias("size"), F.min("sim").alias("worst"),
-                    F.count("*").alias("n")).select("u", F.when(
-                        (F.col("worst") >= at_least) & (F.col("n") >= F.col("size")),
-                        F.least(F.col("size") * 2, F.lit(widest))).otherwise(F.col("size"))
-                        .cast("int").alias("size")).where(F.col("size") > k))
-            if number <= before * 1.0005:
+            number = graph.where(F.col("sim") >= at_least).count()
+            # Lists that hold only links double, until the last entry is none.
+            now = stage.save(graph.join(sizes, "u", "left").groupBy("u").agg(
+                F.coalesce(F.max("size"), F.lit(k)).alias("old"), F.min("sim").alias("worst"),
+                F.count("*").alias("n")).select("u", "old", F.when(
+                    (F.col("worst") >= at_least) & (F.col("n") >= F.col("old")),
+                    F.least(F.col("old") * 2, F.lit(widest))).otherwise(F.col("old"))
+                    .cast("int").alias("size")).where(F.col("size") > k))
+            grown = now.where("size > old").limit(1).count()
+            sizes = now.select("u", "size")
+            # Goes on for a single link or list, so that no group depends on the table's size.
+            if number <= before and not grown:
                 break
             before = number
             graph, old = _refine(graph, vectors, sizes, k, widest, stage), graph
