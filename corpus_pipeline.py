@@ -35,10 +35,14 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates, the one with the least id; documents without
-    an id are no one's duplicate."""
-    gone = minhash_forest.near_duplicates(docs, words=5, percent=80).where("not kept")
-    return docs.join(gone.select(F.col("doc_id").alias("__gone")).distinct(),
-                     F.col("doc_id") == F.col("__gone"), "left_anti")
+    an id come last. Every row counts by a key of its own, in the order of the ids."""
+    keyed = Stage(spark, "near").save(
+        docs.orderBy(F.col("doc_id").asc_nulls_last(), F.xxhash64("text"))
+        .withColumn("__key", F.monotonically_increasing_id()))
+    gone = minhash_forest.near_duplicates(
+        keyed.select(F.col("__key").alias("doc_id"), "text"), words=5, percent=80).where("not kept")
+    return keyed.join(gone.select(F.col("doc_id").alias("__key")), "__key", "left_anti").select(
+        *(f"`{c}`" for c in docs.columns))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -100,3 +100,12 @@ def test_run_and_empty_tables(spark, tables, tmp_path):
     for name in ("documents", "labels", "benchmark"):
         spark.read.parquet(f"{place}/{name}.parquet").limit(0).write.parquet(f"{tmp_path}/{name}.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_near_duplicates_of_repeated_and_null_ids(spark):
+    a, b, c = (" ".join(f"{w}{n}" for n in range(40)) for w in "abc")
+    rows = [(1, a), (2, a), (2, b), (3, c), (3, c), (None, c), (None, "d " + b), (4, None), (4, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = corpus_pipeline.drop_near_duplicates(spark, docs, "").collect()
+    assert sorted(map(tuple, got), key=str) == sorted(
+        [(1, a), (2, b), (3, c), (4, None), (4, None)], key=str)
