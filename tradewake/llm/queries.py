@@ -6,12 +6,13 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language, licenses
+from . import divergence, language, licenses, mixing
 from .decontaminate import contaminated
 from .line_dedup import dedup_lines
 from .minhash_forest import near_duplicates
 from .nn_descent import near_vectors
 from .packing import pack_documents
+from .resampling import resample
 from .toxicity import fit, score
 from .wavelet import round_trip
 from .wrappers import extract
@@ -86,6 +87,22 @@ def op10_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), TOKENIZER)
 
 
+def op11_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents mixed to 150 % of their words, sources weighing 3, 1, 2 in turn."""
+    return mixing.plan_mix(table(spark, sf_dir, "documents")).select(
+        "doc_id", "size", "source_size", "target", "taken")
+
+
+def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents scored towards the benchmark, 5 % of those with 20 words and more drawn."""
+    return resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every source of every language against the others, and the terms that mark it."""
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op2_wrapper_extraction": op2_wrapper_extraction,
@@ -97,6 +114,13 @@ QUERIES = {
     "op8_toxicity": op8_toxicity,
     "op9_license_scan": op9_license_scan,
     "op10_vector_packing": op10_vector_packing,
+    "op11_mixing": op11_mixing,
+    "op12_importance_resampling": op12_importance_resampling,
+    "op13_source_divergence": op13_source_divergence,
 }
 
-ORACLES = {"op9_license_scan": licenses.oracle()}
+ORACLES = {
+    "op9_license_scan": licenses.oracle(),
+    "op11_mixing": mixing.oracle(),
+    "op13_source_divergence": divergence.oracle(),
+}
