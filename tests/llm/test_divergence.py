@@ -5,6 +5,7 @@ import re
 from collections import Counter, defaultdict
 
 import duckdb
+import numpy as np
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -87,6 +88,7 @@ def test_same_rows_as_plain(spark, monkeypatch):
     assert rows(audit(df.repartition(6), per_range=7)) == want
     # Tasks that pass on what they hold all the time.
     monkeypatch.setattr(divergence, "HELD", 5)
+    monkeypatch.setattr(divergence, "BATCH", 3)
     assert rows(audit(df, top=3)) == plain(docs, top=3)
 
 
@@ -115,3 +117,6 @@ def test_counts_beyond_long_products(spark):
     q = spark.range(1).select(
         divergence._share(divergence.F.lit(n), divergence.F.lit(3 * n), divergence.F.lit(7)).alias("p"))
     assert q.first().p == 1 + 10**9 * (n + 1) // (3 * n + 7)
+    many = np.array([0, 1, 6, n, 3 * n + 6, 10**15])
+    assert divergence.share(many, np.maximum(3 * n + 7, many + 1)).tolist() == [
+        1 + 10**9 * (k + 1) // max(3 * n + 7, k + 1) for k in many.tolist()]

@@ -33,7 +33,10 @@ _TERMS = bytes(b if b >= 0x80 or 0x61 <= b <= 0x7A else b + 32 if 0x41 <= b <= 0
 SCALE = 1_000_000_000  #: what the shares of a group's terms sum to, about
 
 #: Distinct terms that a task holds before it passes them on.
-HELD = 200_000
+HELD = 500_000
+
+#: Rows of a batch between Python and the JVM.
+BATCH = 50_000
 
 
 def terms_of(text: str | None) -> list[bytes]:
@@ -46,19 +49,32 @@ _DOCUMENTS = pa.schema([("lang", pa.string()), ("term", pa.binary()), ("df", pa.
 
 def _document_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """In how many documents of a language a term occurs, combined in the task."""
-    def rows():
-        held: Counter = Counter()
-        for lang, text in rows_of(batches, "lang", "text"):
-            held.update((lang, t) for t in set(terms_of(text)))
-            if len(held) >= HELD:
-                yield from ((*k, n) for k, n in held.items())
-                held.clear()
-        yield from ((*k, n) for k, n in held.items())
-    return in_batches(_DOCUMENTS, rows())
-
-
-_RANGES = pa.schema([("lang", pa.string()), ("range", pa.int64()), ("first", pa.binary()),
-                     ("base", pa.int64()), ("machine", pa.binary())])
+    held: dict[str, Counter] = defaultdict(Counter)
+    size = 0
+
+    def passed():
+        for lang, found in held.items():
+            terms, counts = list(found), list(found.values())
+            for at in range(0, len(terms), BATCH):
+                part = pa.array(terms[at:at + BATCH], pa.binary())
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([lang] * len(part), pa.string()), part,
+                     pa.array(counts[at:at + BATCH], pa.int64())], schema=_DOCUMENTS)
+        held.clear()
+
+    for lang, text in rows_of(batches, "lang", "text"):
+        found = held[lang]
+        size -= len(found)
+        found.update(set(terms_of(text)))
+        size += len(found)
+        if size >= HELD:
+            yield from passed()
+            size = 0
+    yield from passed()
+
+
+_RANGES = pa.schema([("lang", pa.string()), ("first", pa.binary()), ("base", pa.int64()),
+                     ("machine", pa.binary())])
 
 
 def _machines(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordBatch]:
@@ -69,7 +85,7 @@ def _machines(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.Recor
         lang = base = None
 
         def done():
-            return lang, 0, held[0], base, Transducer.build(held).to_bytes()
+            return lang, held[0], base, Transducer.build(held).to_bytes()
 
         for of, term, ordinal in rows_of(batches, "lang", "term", "ordinal"):
             if held and (of != lang or len(held) >= most):
@@ -83,18 +99,22 @@ def _machines(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.Recor
     return in_batches(_RANGES, rows())
 
 
-_TEXTS = pa.schema([("lang", pa.string()), ("range", pa.int64()), ("source", pa.string()),
-                    ("terms", pa.binary()), ("counts", pa.binary()), ("machine", pa.binary()),
-                    ("base", pa.int64())])
+_TEXTS = pa.schema([("lang", pa.string()), ("range", pa.int64()),
+                    ("sources", pa.list_(pa.string())), ("sizes", pa.list_(pa.int64())),
+                    ("terms", pa.binary()), ("counts", pa.binary()), ("machine", pa.binary())])
+_TEXTS_SQL = ("lang string, range long, sources array<string>, sizes array<long>, terms binary, "
+              "counts binary, machine binary")
 
 
 def _dealt(batches: Iterator[pa.RecordBatch], bounds: dict[str, tuple[list[bytes], list[int]]]
            ) -> Iterator[pa.RecordBatch]:
-    """The terms of a task's texts, combined by language and source and dealt out by range.
+    """The terms of a task's texts, combined by language and source and dealt out by range: one row
+    for each range, with a list of terms for each source.
 
     ``bounds`` has, for each language, the first terms of its ranges and the ranges' numbers.
     """
     def parted(held):
+        parts: dict[int, list] = defaultdict(list)
         for (lang, source), found in held.items():
             firsts, numbers = bounds[lang]
             terms = sorted(found)
@@ -102,10 +122,14 @@ def _dealt(batches: Iterator[pa.RecordBatch], bounds: dict[str, tuple[list[bytes
             while low < len(terms):
                 k = bisect_right(firsts, terms[low]) - 1
                 high = bisect_left(terms, firsts[k + 1]) if k + 1 < len(firsts) else len(terms)
-                part = terms[low:high]
-                counts = np.array([found[t] for t in part], dtype="<i8")
-                yield (lang, numbers[k], source, b" ".join(part), counts.tobytes(), None, None)
+                own = terms[low:high]
+                parts[numbers[k]].append((lang, source, len(own), b" ".join(own), np.array(
+                    [found[t] for t in own], dtype="<i8").tobytes()))
                 low = high
+        for number, lists in parts.items():
+            langs, sources, sizes, terms, counts = zip(*lists)
+            yield (langs[0], number, list(sources), list(sizes), b" ".join(terms),
+                   b"".join(counts), None)
 
     def rows():
         held: dict = defaultdict(Counter)
@@ -129,32 +153,63 @@ _COUNTS = pa.schema([("lang", pa.string()), ("source", pa.string()), ("ordinal",
                      ("n", pa.int64())])
 
 
-def _recounted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Term lists through the transducer of their range, which comes before them."""
-    def rows():
-        machine, base, now = None, 0, None
-        held: Counter = Counter()
+def _summed(keys: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sums of ``n`` by key."""
+    if not len(keys):
+        return keys, n
+    order = np.argsort(keys, kind="stable")
+    keys, n = keys[order], n[order]
+    first = np.flatnonzero(np.diff(keys, prepend=keys[0] - 1))
+    return keys[first], np.add.reduceat(n, first)
 
-        def passed():
-            for (source, ordinal), n in held.items():
-                yield now[0], source, base + ordinal, n
-            held.clear()
 
-        for lang, number, source, terms, counts, raw, first in rows_of(
-                batches, "lang", "range", "source", "terms", "counts", "machine", "base"):
+def _recounted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Term lists through the transducer of their range, which comes before them.
+
+    The lists of a batch go through together. What is counted is held by source and ordinal until
+    the range ends, or until it is much.
+    """
+    machine, lang, base, size = None, None, 0, 1
+    places: dict[str, int] = {}
+    keys = n = np.zeros(0, dtype=np.int64)
+
+    def passed():
+        names = pa.array(list(places), pa.string())
+        for at in range(0, len(keys), BATCH):
+            source, ordinal = np.divmod(keys[at:at + BATCH], size)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([lang] * len(source), pa.string()), names.take(pa.array(source)),
+                 pa.array(base + ordinal), pa.array(n[at:at + BATCH])], schema=_COUNTS)
+
+    for batch in batches:
+        rows = list(rows_of([batch], *_TEXTS.names))
+        at = 0
+        while at < len(rows):
+            number, raw = rows[at][1], rows[at][6]
             if raw is not None:
                 yield from passed()
-                machine, base, now = Transducer.from_bytes(raw), first, (lang, number)
+                machine, lang, base = Transducer.from_bytes(raw), rows[at][0], number
+                size = machine.size
+                places, keys, n = {}, keys[:0], n[:0]
+                at += 1
                 continue
-            found = machine.ordinals(terms)
+            stop = at + 1
+            while stop < len(rows) and rows[stop][1] == number:
+                stop += 1
+            part = rows[at:stop]
+            at = stop
+            found = machine.ordinals(b" ".join(r[4] for r in part))
+            source = np.repeat(
+                [places.setdefault(s, len(places)) for r in part for s in r[2]],
+                [k for r in part for k in r[3]])
+            counts = np.frombuffer(b"".join(r[5] for r in part), dtype="<i8")
             known = found >= 0
-            for ordinal, n in zip(found[known].tolist(),
-                                  np.frombuffer(counts, dtype="<i8")[known].tolist()):
-                held[source, ordinal] += n
-            if len(held) >= HELD:
+            keys, n = _summed(np.concatenate((keys, source[known] * size + found[known])),
+                              np.concatenate((n, counts[known])))
+            if len(keys) >= 4 * HELD:
                 yield from passed()
-        yield from passed()
-    return in_batches(_COUNTS, rows())
+                keys, n = keys[:0], n[:0]
+    yield from passed()
 
 
 def vocabulary(docs: DataFrame, stage: Stage, least_docs: int) -> DataFrame:
@@ -180,26 +235,22 @@ def term_counts(docs: DataFrame, terms: DataFrame, stage: Stage, per_range: int
     """
     n = terms.count()
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    most = max(1, min(per_range, -(-n // (4 * parts))))
+    most = max(1, min(per_range, -(-n // (2 * parts))))
     machines = stage.save(
         terms.repartitionByRange(max(1, min(parts, n // 1000), -(-n // per_range)), "ordinal")
         .sortWithinPartitions("ordinal").mapInArrow(
             partial(_machines, most=most),
-            "lang string, range long, first binary, base long, machine binary"))
+            "lang string, first binary, base long, machine binary"))
     bounds: dict[str, tuple[list[bytes], list[int]]] = {}
     for lang, first, base in machines.select("lang", "first", "base").orderBy("base") \
             .toLocalIterator():
         firsts, numbers = bounds.setdefault(lang, ([], []))
         firsts.append(bytes(first))
         numbers.append(base)  # a range is known by its first ordinal
-    kinds = ("lang string, range long, source string, terms binary, counts binary, "
-             "machine binary, base long")
-    dealt = only(docs, "lang", "source", "text").mapInArrow(partial(_dealt, bounds=bounds), kinds)
-    first = machines.select(
-        "lang", F.col("base").alias("range"), F.lit(None).cast("string").alias("source"),
-        F.lit(None).cast("binary").alias("terms"), F.lit(None).cast("binary").alias("counts"),
-        "machine", "base")
-    counted = dealt.unionByName(first).repartition(parts, "range").sortWithinPartitions(
+    dealt = only(docs, "lang", "source", "text").mapInArrow(
+        partial(_dealt, bounds=bounds), _TEXTS_SQL)
+    first = machines.select("lang", F.col("base").alias("range"), "machine")
+    counted = dealt.unionByName(first, allowMissingColumns=True).repartition(parts, "range").sortWithinPartitions(
         "range", F.col("machine").isNull()).mapInArrow(
             _recounted, "lang string, source string, ordinal long, n long")
     return stage.save(counted.groupBy("lang", "source", "ordinal").agg(F.sum("n").alias("n")))
@@ -220,6 +271,15 @@ _PAIRS = pa.schema([("lang", pa.string()), ("g", pa.int64()), ("h", pa.int64()),
                     ("value", pa.int64())])
 
 
+def share(n: np.ndarray, whole: np.ndarray) -> np.ndarray:
+    """1 + floor(SCALE * (n + 1) / whole), three digits at a time: exact for totals under 9e15."""
+    rest, out = np.divmod(n + 1, whole)[::-1]
+    for _ in range(3):
+        part, rest = np.divmod(rest * 1000, whole)
+        out = out * 1000 + part
+    return 1 + out
+
+
 def _pair_sums(batches: Iterator[pa.RecordBatch], totals: dict[str, tuple[int, list[int]]]
                ) -> Iterator[pa.RecordBatch]:
     """Sums over a task's terms of the distance of every two sources of their language.
@@ -237,20 +297,25 @@ def _pair_sums(batches: Iterator[pa.RecordBatch], totals: dict[str, tuple[int, l
             sums.clear()
 
         for batch in batches:
-            by_lang = defaultdict(list)
-            for lang, found in rows_of([batch], "lang", "found"):
-                by_lang[lang].append(found)
-            for lang, terms in by_lang.items():
+            langs = np.array(batch.column("lang").to_pylist(), dtype=object)
+            lists = batch.column("found")
+            # Which row an entry belongs to, whatever part of its buffers the batch is.
+            of = np.repeat(np.arange(batch.num_rows), lists.value_lengths().to_numpy())
+            groups, counts = (lists.flatten().field(k).to_numpy() for k in (0, 1))
+            for lang in sorted(set(langs)):
                 kept, n = totals[lang]
-                # Python numbers, since a count times SCALE may not fit a long.
-                rest = np.array([1 + SCALE // (t + kept) for t in n], dtype=np.int64)
+                whole = np.array(n, dtype=np.int64) + kept
+                rest = share(np.zeros(len(n), dtype=np.int64), whole)
+                own = np.flatnonzero(langs == lang)
                 step = max(1, (1 << 20) // len(n))
-                for at in range(0, len(terms), step):
-                    part = terms[at:at + step]
-                    p = np.tile(rest, (len(part), 1))
-                    for i, found in enumerate(part):
-                        for x in found:
-                            p[i, x["g"]] = 1 + SCALE * (x["n"] + 1) // (n[x["g"]] + kept)
+                for at in range(0, len(own), step):
+                    rows = own[at:at + step]
+                    place = np.full(batch.num_rows, -1)
+                    place[rows] = np.arange(len(rows))
+                    here = place[of] >= 0
+                    g = groups[here]
+                    p = np.tile(rest, (len(rows), 1))
+                    p[place[of[here]], g] = share(counts[here], whole[g])
                     for g in range(len(n)):
                         if (lang, g) not in sums:
                             sums[lang, g] = np.zeros(len(n), dtype=np.int64)

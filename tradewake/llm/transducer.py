@@ -13,10 +13,13 @@ import numpy as np
 
 class Transducer:
     """Arrays: ``keys`` are ``state << 8 | byte`` in ascending order, with ``targets`` and
-    ``skips`` beside them, and ``final`` says where terms may end. State 0 is the start."""
+    ``skips`` beside them, and ``final`` says where terms may end. State 0 is the start. ``size``
+    is the number of terms."""
 
-    def __init__(self, keys: np.ndarray, targets: np.ndarray, skips: np.ndarray, final: np.ndarray):
-        self.keys, self.targets, self.skips, self.final = keys, targets, skips, final
+    def __init__(self, size: int, keys: np.ndarray, targets: np.ndarray, skips: np.ndarray,
+                 final: np.ndarray):
+        self.size, self.keys, self.targets, self.skips = size, keys, targets, skips
+        self.final = final
 
     @classmethod
     def build(cls, terms: Iterable[bytes]) -> Transducer:
@@ -63,19 +66,19 @@ class Transducer:
                 targets.append(start - to)
                 skips.append(before)
                 before += sizes[to]
-        return cls(np.array(keys, dtype=np.int64), np.array(targets, dtype=np.int64),
+        return cls(sizes[start], np.array(keys, dtype=np.int64), np.array(targets, dtype=np.int64),
                    np.array(skips, dtype=np.int64), np.array([n[0] for n in reversed(nodes)]))
 
     def to_bytes(self) -> bytes:
-        head = np.array([len(self.keys), len(self.final)], dtype="<i8")
+        head = np.array([self.size, len(self.keys)], dtype="<i8")
         return b"".join([head.tobytes(), *(x.astype("<i8").tobytes() for x in (
             self.keys, self.targets, self.skips)), self.final.astype(np.uint8).tobytes()])
 
     @classmethod
     def from_bytes(cls, raw: bytes) -> Transducer:
-        n, states = np.frombuffer(raw, dtype="<i8", count=2).tolist()
+        size, n = np.frombuffer(raw, dtype="<i8", count=2).tolist()
         keys, targets, skips = np.frombuffer(raw, dtype="<i8", count=3 * n, offset=16).reshape(3, n)
-        return cls(keys, targets, skips,
+        return cls(size, keys, targets, skips,
                    np.frombuffer(raw, dtype=np.uint8, offset=16 + 24 * n).astype(bool))
 
     def ordinals(self, text: bytes) -> np.ndarray:
