@@ -250,3 +250,11 @@ def routing(spark: SparkSession) -> DataFrame:
         ("base_province", "insert", "hbase", "dim_base_province", "id,name", "id", None),
         ("sku_info", "insert", "clickhouse", "sku_info", None, None, None),
     ], TABLE_PROCESS)
+
+
+def user_updates(orders: DataFrame) -> DataFrame:
+    """Orders as updates of their user: the status of the newest one stays."""
+    # Unique per user and day, so that the newest is one.
+    ts = F.unix_millis(utc("o_orderdate")) + F.col("o_orderkey") % 86_400_000
+    return _envelope(orders, "user_info", "update", ts, id="o_custkey", name="o_orderstatus",
+                     segment="o_orderkey")

@@ -335,3 +335,15 @@ SELECT '{"id":' || o_orderkey || ',"user_id":' || o_custkey || '}' AS value FROM
 SELECT CAST(c_custkey AS VARCHAR) AS id, c_name AS name, CAST(0 AS BIGINT) AS ts FROM customer
 UNION ALL SELECT CAST(n_nationkey AS VARCHAR), n_name, 0 FROM nation""",
 }
+
+ORACLES |= {
+    "job_dim_updates": """
+SELECT coalesce(CAST(o_custkey AS VARCHAR), CAST(c_custkey AS VARCHAR)) AS id,
+  coalesce(o_orderstatus, c_name) AS name,
+  coalesce(CAST(o_orderkey AS VARCHAR), c_mktsegment) AS segment, coalesce(ts, 0) AS ts
+FROM customer FULL JOIN (
+  SELECT *, epoch_ms(o_orderdate) + o_orderkey % 86400000 AS ts, row_number() OVER (
+    PARTITION BY o_custkey ORDER BY epoch_ms(o_orderdate) + o_orderkey % 86400000 DESC) AS rn
+  FROM orders) o ON o_custkey = c_custkey
+WHERE rn = 1 OR rn IS NULL""",
+}

@@ -18,7 +18,7 @@ from tradewake.operators.enrich import Dimension, enrich
 from tradewake.operators.lateral import explode_words
 from tradewake.plans import cdc, logs, stats, visits, wide
 from tradewake.session import shared_dir
-from tradewake.sources.dims import DimStore
+from tradewake.sources.dims import DimStore, part_of
 from tradewake.sources.topics import FileTopics
 from tradewake.streaming import jobs
 from tradewake.streaming.run import drain, drain_to_folder, finish, stream_settings
@@ -492,3 +492,30 @@ def job_business_dims(spark, sf):
     _, dims = _business(spark, sf)
     users = dims.read("dim_user_info").select("id", F.col("data")["name"].alias("name"), "ts")
     return users.unionByName(dims.read("dim_base_province"))
+
+
+@query
+def job_dim_updates(spark, sf):
+    """Users loaded, then changed by orders in several runs; what each run wrote is in proportion
+    to the parts it touched."""
+    topics = _topics(spark)
+    dims = DimStore(spark, shared_dir(spark, "dims"), parts=32)
+    checkpoint = shared_dir(spark, "checkpoint")
+    config = spark.createDataFrame([
+        ("user_info", "insert", "hbase", "dim_user_info", "id,name,segment", "id", None),
+        ("user_info", "update", "hbase", "dim_user_info", "id,name,segment", "id", None),
+    ], m.TABLE_PROCESS)
+    orders = m.table(spark, sf, "orders")
+    # The users of a few parts change in the last run, those of all parts before.
+    few = part_of(["o_custkey"], dims.parts) < 3
+    for i, changes in enumerate((
+            m.user_changes(m.table(spark, sf, "customer")),
+            m.user_updates(orders.where(~few & (F.col("o_orderkey") % 2 == 0))),
+            m.user_updates(orders.where(~few & (F.col("o_orderkey") % 2 == 1))),
+            m.user_updates(orders.where(few)))):
+        topics.write_batch(changes, C.TOPIC_CDC, i)
+        finish(jobs.business_job(spark, topics, checkpoint, lambda: config, dims, once=True))
+    last = dims.manifest("dim_user_info")
+    if sum(w == max(last.writes.values()) for w in last.writes.values()) > 3:
+        raise AssertionError("an upsert wrote parts it did not touch")
+    return dims.read("dim_user_info")

@@ -117,9 +117,49 @@ def test_dimension_columns_come_from_the_insert_entry(spark):
 def test_unfinished_versions_are_not_read(spark, tmp_path):
     store = DimStore(spark, str(tmp_path))
     store.create("d", "id")
-    (tmp_path / "d" / "v=1").mkdir()
+    # What a lost writer leaves: files of a write and a draft of their manifest.
+    (tmp_path / "d" / "data" / "w=0" / "_part=3").mkdir(parents=True)
+    (tmp_path / "d" / "manifest" / "_draft-1").write_text("{")
     assert store.versions("d") == [0]
-    assert store.write("d", store.read("d")) == 1
+    rows = spark.createDataFrame([("1", 5)], "id string, ts long")
+    assert store.write("d", rows) == 1
+    assert [tuple(r) for r in store.read("d").collect()] == [("1", 5)]
+    # Two writers of one version: the second one fails and changes nothing.
+    with pytest.raises(RuntimeError, match="another writer"):
+        store._commit("d", store.manifest("d"))
+    assert store.write("d", rows.limit(0)) == 2 and store.read("d").count() == 0
+
+
+def test_an_upsert_writes_the_parts_it_touches(spark, tmp_path):
+    store = DimStore(spark, str(tmp_path), parts=16)
+    rows = spark.range(400).selectExpr("cast(id AS string) AS id", "'x' AS name", "1L AS ts")
+
+    def written(number):
+        return {int(p.name[6:]): [f.stat().st_mtime_ns for f in p.glob("*.parquet")]
+                for p in (tmp_path / "d" / "data" / f"w={number}").glob("_part=*")}
+
+    store.upsert("d", rows, ["id"])
+    assert len(written(0)) == 16
+    change = spark.createDataFrame([("7", "new", 2), ("401", "more", 2)], rows.schema)
+    store.upsert("d", change, ["id"])
+    manifest = store.manifest("d")
+    touched = set(written(1))
+    assert len(touched) <= 2 and {p for p, w in manifest.writes.items() if w == 1} == touched
+    assert {r.id: r.name for r in store.read("d").collect()} == {
+        **{str(i): "x" for i in range(400)}, "7": "new", "401": "more"}
+    # The rows of some keys come from their parts alone.
+    few = store.read_keys("d", change.select("id"))
+    assert sorted(map(tuple, few.collect())) == [("401", "more", 2), ("7", "new", 2)]
+    read = {f.split("_part=")[1].split("/")[0] for f in few.inputFiles() if "_part=" in f}
+    assert {int(p) for p in read} <= touched
+    # No change, no version; older versions and files go once no version in use needs them.
+    assert store.upsert("d", change.limit(0), ["id"]) == manifest.version
+    DimStore(spark, str(tmp_path), keep_seconds=-1).upsert("d", change, ["id"])
+    DimStore(spark, str(tmp_path), keep_seconds=-1).upsert("d", change, ["id"])
+    assert store.versions("d") == [2, 3] and not set(written(1))
+    assert len(written(0)) == 16 - len(touched) and store.read("d").count() == 401
+    with pytest.raises(ValueError, match="stored by"):
+        store.upsert("d", change, ["name"])
 
 
 def test_dim_rows_with_and_without_columns(spark, config):

@@ -100,7 +100,7 @@ def business_job(spark: SparkSession, topics: Topics, checkpoint: str,
             changed = {r.sink_table for r in split.dims.select("sink_table").distinct().collect()}
             for table in dim_tables(config):
                 if table.sink_columns and table.on_insert:
-                    dims.create(table.sink_table, table.sink_columns, order)
+                    dims.create(table.sink_table, table.sink_columns, order, [table.pk])
                 if table.sink_table in changed:
                     rows = dim_rows(split.dims, table.sink_table, table.sink_columns, table.pk,
                                     order)
