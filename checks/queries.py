@@ -21,8 +21,9 @@ from tradewake.session import shared_dir
 from tradewake.sources.dims import DimStore, part_of
 from tradewake.sources.topics import FileTopics
 from tradewake.streaming import jobs
-from tradewake.streaming.run import drain, drain_to_folder, finish, stream_settings
-from tradewake.streaming.visitors import repair_is_new_stream
+from tradewake.streaming.run import (drain, drain_to_folder, finish, start_batches,
+                                     stream_settings)
+from tradewake.streaming.visitors import logs_beside_first_days, repair_batch
 
 BOUNCE_S = 4 * 3600
 LOOKBACK_S = 6 * 3600
@@ -394,9 +395,21 @@ def stream_unique_visits(spark, sf):
 @query
 def stream_repair_is_new(spark, sf):
     raw = m.raw_log(m.stream(spark, sf, "events")).select("value")
-    repaired = logs.valid_logs(repair_is_new_stream(raw))
-    return drain(spark, repaired.select(
-        "common.mid", "common.is_new", "page.page_id", "ts"), "repair")
+    base = shared_dir(spark, "repair")
+
+    def write(batch, batch_id):
+        batch = batch.persist()
+        logs.valid_logs(repair_batch(batch)).select(
+            "common.mid", "common.is_new", "page.page_id", "ts").write.mode("overwrite").parquet(
+                f"{base}/rows/batch={batch_id}")
+        batch.unpersist()
+
+    with stream_settings(spark):
+        started = start_batches(logs_beside_first_days(raw), f"{base}/checkpoint", write,
+                                once=True, mode="update")
+    finish(started)
+    return spark.read.schema("mid string, is_new string, page_id string, ts long").parquet(
+        f"{base}/rows/batch=*")
 
 
 @query

@@ -15,7 +15,9 @@ from tradewake.session import shared_dir
 from tradewake.sources.dims import DimStore
 from tradewake.sources.topics import FileTopics, topic_table
 from tradewake.streaming import jobs
+from tradewake.streaming.late import start_with_late
 from tradewake.streaming.run import LateRows, drain, finish, start_batches
+from tradewake.streaming.visitors import logs_beside_first_days, repair_batch
 
 HOUR = 3_600_000
 
@@ -80,24 +82,34 @@ def test_rows_behind_the_watermark_are_dropped_and_counted(spark, topics):
     assert late.rows(query) == 2  # the late page stands in two windows
 
 
-@pytest.mark.parametrize("rows_a_batch", [3, 10_000])
-def test_flag_repair_does_not_depend_on_arrow_batches(spark, topics, rows_a_batch):
-    from tradewake.streaming.visitors import repair_is_new_stream
+def repairs(spark, topics, checkpoint):
+    """What a run of the flag repair hands on: device, time and flag of every row."""
+    seen = []
+
+    def keep(df, _):
+        seen.extend(map(tuple, logs.valid_logs(repair_batch(df.persist())).select(
+            "common.mid", "ts", "common.is_new").collect()))
+
+    raw = topics.read_stream(spark, C.TOPIC_RAW_LOG)
+    finish(start_batches(logs_beside_first_days(raw), checkpoint, keep, once=True, mode="update"))
+    return sorted(seen)
 
+
+def test_flag_repair_takes_the_least_time_of_a_batch(spark, topics):
     values = [log_text("a", DAY * (k % 11) + k, "1") for k in range(39, -1, -1)]
-    put(spark, topics, C.TOPIC_RAW_LOG, values)
-    seen, key = [], "spark.sql.execution.arrow.maxRecordsPerBatch"
-    before = spark.conf.get(key)
-    spark.conf.set(key, rows_a_batch)
-    try:
-        raw = topics.read_stream(spark, C.TOPIC_RAW_LOG)
-        finish(start_batches(
-            logs.valid_logs(repair_is_new_stream(raw)), shared_dir(spark, "repair"),
-            lambda df, _: seen.extend((r.ts // DAY, r.is_new) for r in df.select(
-                "ts", "common.is_new").collect()), once=True))
-    finally:
-        spark.conf.set(key, before)
-    assert sorted(seen) == sorted((k % 11, "1" if k % 11 == 0 else "0") for k in range(40))
+    put(spark, topics, C.TOPIC_RAW_LOG, [*values, "{broken", log_text("b", 7, None)])
+    assert repairs(spark, topics, shared_dir(spark, "repair")) == sorted(
+        [("a", DAY * (k % 11) + k, "1" if k % 11 == 0 else "0") for k in range(40)]
+        + [("b", 7, None)], key=lambda r: r[:2])
+
+
+def test_flag_repair_state_is_a_day_per_device(spark, topics):
+    put(spark, topics, C.TOPIC_RAW_LOG, [log_text(m, k, "1") for m in "abc" for k in range(9)],
+        [log_text("d", 5, "0"), log_text("a", DAY, "1")])
+    checkpoint = shared_dir(spark, "repair")
+    repairs(spark, topics, checkpoint)
+    state = spark.read.format("statestore").load(checkpoint)
+    assert sorted(r.mid for r in state.select("key._mid").toDF("mid").collect()) == ["a", "b", "c"]
 
 
 @pytest.mark.parametrize("salts", [1, 4])
@@ -113,28 +125,48 @@ def test_unique_visits_over_several_batches(spark, topics, salts):
 
 
 def test_flag_repair_keeps_state_over_batches_and_restart(spark, topics):
-    from tradewake.streaming.visitors import repair_is_new_stream
-
-    checkpoint, seen = shared_dir(spark, "repair"), []
-
-    def run():
-        raw = topics.read_stream(spark, C.TOPIC_RAW_LOG)
-        finish(start_batches(logs.valid_logs(repair_is_new_stream(raw)), checkpoint, lambda df, _: seen.extend(
-            (r.mid, r.ts, r.is_new) for r in df.select(
-                "common.mid", "ts", "common.is_new").collect()), once=True))
-
+    checkpoint = shared_dir(spark, "repair")
     put(spark, topics, C.TOPIC_RAW_LOG,
         [log_text("a", 5, "1"), log_text("b", 5, "0")],
         [log_text("a", 9, "1"), log_text("a", DAY, "1"), log_text("b", DAY, "1")])
-    run()
+    seen = repairs(spark, topics, checkpoint)
     put(spark, topics, C.TOPIC_RAW_LOG,
         [log_text("a", 11, "1"), log_text("b", 11, "1"), log_text("b", DAY + 1, "1")], first=5)
-    run()
+    seen += repairs(spark, topics, checkpoint)
     assert sorted(seen) == [
         ("a", 5, "1"), ("a", 9, "1"), ("a", 11, "1"), ("a", DAY, "0"),
         ("b", 5, "0"), ("b", 11, "0"), ("b", DAY, "1"), ("b", DAY + 1, "1")]
 
 
+def test_late_rows_are_kept(spark, topics):
+    """Rows behind the watermark, row by row, also where a query is started again."""
+    batches = [[1, 8], [100], [101, 95, 92, 3], [250, 99, 101, 240], [249, 90, 245, 251]]
+    checkpoint, counts, kept = shared_dir(spark, "late"), {}, []
+
+    def run():
+        rows = topics.read_stream(spark, "t").select(
+            F.timestamp_seconds(F.col("value").cast("long")).alias("at")).withWatermark(
+                "at", "3 seconds")
+        counted = rows.groupBy(F.window("at", "10 seconds")).count()
+        finish(start_with_late(
+            counted, rows, "at", checkpoint,
+            lambda df, _: counts.update({r.s: r["count"] for r in df.select(
+                F.unix_seconds("window.start").alias("s"), "count").collect()}),
+            lambda df, _: kept.extend(r[0] for r in df.select(F.unix_seconds("at")).collect()),
+            window="10 seconds", once=True))
+
+    put(spark, topics, "t", *batches[:3])
+    run()
+    put(spark, topics, "t", *batches[3:], first=3)
+    run()
+    assert sorted(kept) == [3, 90, 99]
+    every = [x for b in batches for x in b]
+    assert counts == {w: sum(x // 10 * 10 == w for x in every if x not in kept)
+                      for w in (0, 90, 100)}
+    # What is counted, late or still open is the input.
+    assert sum(counts.values()) + len(kept) + sum(x >= 240 for x in every) == len(every)
+
+
 def order_text(i, at, **more):
     return json.dumps({"id": i, "user_id": 7, "create_time": at, "total_amount": 9.5, **more})
 

@@ -16,6 +16,7 @@ from pyspark.sql.streaming import DataStreamWriter
 
 from tradewake.functions.records import parse_rows
 from tradewake.functions.times import rowtime_seconds
+from tradewake.sources.arrival import register_topics
 
 # Fixed value: how long a producer transaction may last, in milliseconds.
 TRANSACTION_TIMEOUT_MS = 900_000
@@ -59,16 +60,31 @@ class KafkaTopics:
 
 @dataclass(frozen=True)
 class FileTopics:
-    """Topics as folders ``topic=<name>`` of text files below ``root``."""
+    """Topics as folders ``topic=<name>`` of text files below ``root``.
+
+    ``arrival`` gives every record its ``partition`` and ``offset``, as Kafka does, so that jobs can
+    tell which of two records of equal time came first. A trigger then takes ``max_bytes`` of a
+    topic, if given, else all that is new.
+    """
 
     root: str
     max_files: int | None = None
+    arrival: bool = False
+    max_bytes: int | None = None
 
     def path(self, topic: str) -> str:
         return f"{self.root.rstrip('/')}/topic={topic}"
 
     def read_stream(self, spark: SparkSession, topic: str, group: str = "",
                     starting: str = "earliest") -> DataFrame:
+        if self.arrival:
+            reader = spark.readStream.format(register_topics(spark))
+            if self.max_bytes:
+                reader = reader.option("maxBytes", str(self.max_bytes))
+                if group:
+                    reader = reader.option(
+                        "progress", f"{self.root.rstrip('/')}/_progress/{group}/{topic}")
+            return reader.load(self.path(topic))
         reader = spark.readStream.option("recursiveFileLookup", "true")
         if self.max_files:
             reader = reader.option("maxFilesPerTrigger", self.max_files)

@@ -25,7 +25,7 @@ from tradewake.plans.wide import order_wide, payment_wide
 from tradewake.sources.dims import DimStore
 from tradewake.sources.topics import Topics
 from tradewake.streaming.run import start_batches
-from tradewake.streaming.visitors import repair_is_new_stream
+from tradewake.streaming.visitors import logs_beside_first_days, repair_batch
 
 #: Takes the rows of a micro-batch and its number, so that a replayed one can be recognised.
 Sink = Callable[[DataFrame, int], None]
@@ -56,21 +56,22 @@ def _start_topic(df: DataFrame, topics: Topics, topic: str, checkpoint: str,
 def user_log_job(spark: SparkSession, topics: Topics, checkpoint: str,
                  once: bool = False) -> StreamingQuery:
     """Raw logs to start, page and display topics; malformed ones to the quarantine topic."""
-    logs = repair_is_new_stream(topics.read_stream(spark, C.TOPIC_RAW_LOG, "user_log"))
+    raw = topics.read_stream(spark, C.TOPIC_RAW_LOG, "user_log").select("value")
 
     def write(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()
         try:
-            split = split_logs(valid_logs(batch).drop("value"))
+            logs = repair_batch(batch)
+            split = split_logs(valid_logs(logs).drop("value"))
             topics.write_batch(to_values(split.start), C.TOPIC_START_LOG, batch_id)
             topics.write_batch(to_values(split.page), C.TOPIC_PAGE_LOG, batch_id)
             topics.write_batch(to_values(split.display), C.TOPIC_DISPLAY_LOG, batch_id)
             topics.write_batch(
-                quarantined_logs(batch).select("value"), C.TOPIC_QUARANTINE, batch_id)
+                quarantined_logs(logs).select("value"), C.TOPIC_QUARANTINE, batch_id)
         finally:
             batch.unpersist()
 
-    return start_batches(logs, checkpoint, write, once)
+    return start_batches(logs_beside_first_days(raw), checkpoint, write, once, mode="update")
 
 
 def business_job(spark: SparkSession, topics: Topics, checkpoint: str,

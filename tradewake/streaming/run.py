@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from tradewake.session import SETTINGS, shared_dir
+from tradewake.sources.arrival import FORMAT
 
 PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 PARTITIONS = "spark.sql.shuffle.partitions"
@@ -33,9 +36,19 @@ def stream_settings(spark: SparkSession, partitions: int | None = None) -> Itera
 
 
 def start_batches(df: DataFrame, checkpoint: str, handle: Callable[[DataFrame, int], None],
-                  once: bool = False, every: str | None = None) -> StreamingQuery:
-    """Hand every micro-batch to ``handle``; ``once`` stops after the input present now."""
-    writer = df.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
+                  once: bool = False, every: str | None = None, mode: str = "append"
+                  ) -> StreamingQuery:
+    """Hand every micro-batch to ``handle``; ``once`` stops after the input present now.
+
+    Numbered file topics can't plan ahead, so Spark would give them one batch, which closes no
+    window. They run on until nothing is left to do.
+    """
+    writer = df.writeStream.outputMode(mode).foreachBatch(handle) \
+        .option("checkpointLocation", checkpoint)
+    if once and FORMAT in df._jdf.queryExecution().logical().toString():
+        query = writer.start()
+        threading.Thread(target=_stop_when_done, args=(query,), daemon=True).start()
+        return query
     if once:
         writer = writer.trigger(availableNow=True)
     elif every:
@@ -43,6 +56,14 @@ def start_batches(df: DataFrame, checkpoint: str, handle: Callable[[DataFrame, i
     return writer.start()
 
 
+def _stop_when_done(query: StreamingQuery) -> None:
+    try:
+        query.processAllAvailable()
+    except StreamingQueryException:
+        pass  # whoever waits for the query gets it
+    query.stop()
+
+
 class LateRows(StreamingQueryListener):
     """Adds up the rows that streams dropped for being behind the watermark.
 

@@ -2,10 +2,8 @@
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from tradewake.functions.records import parse_rows, set_field
 from tradewake.functions.times import day_key
@@ -13,76 +11,39 @@ from tradewake.plans.logs import usable
 from tradewake.schemas import RAW_LOG
 
 
-def first_day_processor() -> StatefulProcessor:
-    """Keeps the first day a device was flagged new, and clears the flag on other days.
+def _flagged():
+    return usable() & F.coalesce(F.col("common.is_new") == "1", F.lit(False))
 
-    The first day is that of the least time in the micro-batch a device is first seen in. Rows of
-    a known device pass through in Arrow batches. Those of a new one wait in the state store, on
-    disk and not in memory, until the micro-batch's last row of the device has been seen, so the
-    size of Arrow batches and the order within a micro-batch don't matter.
-    """
-
-    # Defined here so that it is sent to the workers by value and needs no installed package.
-    class FirstDay(StatefulProcessor):
-        def init(self, handle: StatefulProcessorHandle) -> None:
-            self.day = handle.getValueState("first_day", "day int")
-            self.held = handle.getListState("held", "day int, value string")
-
-        def handleInputRows(self, key, rows, timerValues):
-            def repaired(days, values, first):
-                return pd.DataFrame({
-                    "is_new": ["1" if day == first else "0" for day in days],
-                    "value": list(values)})
 
-            if self.day.exists():
-                first = self.day.get()[0]
-                for batch in rows:
-                    yield repaired(batch["day"], batch["value"], first)
-                return
-            least = None
-            for batch in rows:
-                if len(batch):
-                    at = batch["ts"].to_numpy().argmin()
-                    found = (int(batch["ts"].iloc[at]), int(batch["day"].iloc[at]))
-                    least = found if least is None else min(least, found)
-                    self.held.appendList(list(zip(batch["day"].tolist(), batch["value"])))
-            if least is None:
-                return
-            self.day.update((least[1],))
-            part = []
-            for row in self.held.get():
-                part.append(row)
-                if len(part) >= 1000:
-                    yield repaired(*zip(*part), least[1])
-                    part = []
-            if part:
-                yield repaired(*zip(*part), least[1])
-            self.held.clear()
+def logs_beside_first_days(raw: DataFrame) -> DataFrame:
+    """Parsed rows of a text stream, and beside them the first day of every device they flag new.
 
-        def close(self) -> None:
-            pass
-
-    return FirstDay()
+    A row has either ``_log`` or ``_mid`` and ``_first_day``. The first day is that of the least
+    time in the micro-batch a device is first flagged in: a streaming aggregate, which orders by
+    the time of the micro-batch first. So a later batch never changes it, a device's rows are
+    combined before the shuffle, and the state holds a day per device. In update mode it puts out
+    the devices of the micro-batch, known or new, and no others.
+    """
+    logs = parse_rows(raw, RAW_LOG, keep=tuple(raw.columns))
+    day = day_key("ts").cast("int")
+    # The current time of a stream is that of its micro-batch, also when the batch runs again.
+    first = F.min_by(day, F.struct(F.current_timestamp(), "ts"))
+    days = logs.filter(_flagged()).groupBy(F.col("common.mid").alias("_mid")).agg(
+        first.alias("_first_day"))
+    rows = logs.select(F.struct("*").alias("_log"))
+    return rows.unionByName(days, allowMissingColumns=True)
 
 
-def repair_is_new_stream(raw: DataFrame) -> DataFrame:
-    """Parsed log rows of a text stream with repaired flags, plus the malformed ones as parsed.
+def repair_batch(batch: DataFrame) -> DataFrame:
+    """The parsed rows of a micro-batch with repaired flags, malformed ones as parsed.
 
-    Only rows flagged new take the way through the state; all others by-pass it.
+    Only rows flagged new are joined, with the days of the same micro-batch. The batch should be
+    persisted.
     """
-    logs = parse_rows(raw, RAW_LOG, keep=("value",))
-    flagged = usable() & F.coalesce(F.col("common.is_new") == "1", F.lit(False))
-    columns = logs.columns
-
-    through = (
-        logs.filter(flagged)
-        .select(F.col("common.mid").alias("mid"), "ts", day_key("ts").cast("int").alias("day"),
-                "value")
-        .groupBy("mid")
-        .transformWithStateInPandas(
-            first_day_processor(), outputStructType="is_new string, value string",
-            outputMode="append", timeMode="None")
-    )
-    repaired = parse_rows(through, RAW_LOG, keep=("is_new", "value")).withColumn(
-        "common", set_field("common", "is_new", F.col("is_new")))
-    return repaired.select(*columns).unionByName(logs.filter(~flagged))
+    logs = batch.filter(F.col("_log").isNotNull()).select("_log.*")
+    days = batch.filter(F.col("_mid").isNotNull()).select("_mid", "_first_day")
+    joined = logs.filter(_flagged()).join(days, F.col("common.mid") == F.col("_mid"), "left")
+    kept = F.col("_first_day") == day_key("ts").cast("int")
+    repaired = joined.withColumn(
+        "common", set_field("common", "is_new", F.when(kept, F.lit("1")).otherwise(F.lit("0"))))
+    return repaired.select(*logs.columns).unionByName(logs.filter(~_flagged()))
