@@ -258,3 +258,31 @@ def user_updates(orders: DataFrame) -> DataFrame:
     ts = F.unix_millis(utc("o_orderdate")) + F.col("o_orderkey") % 86_400_000
     return _envelope(orders, "user_info", "update", ts, id="o_custkey", name="o_orderstatus",
                      segment="o_orderkey")
+
+
+def arrivals(events: DataFrame, batch: int) -> DataFrame:
+    """The events that arrive in one of four batches of eight days of a month; one in seven comes a
+    batch late, one in fifty two."""
+    late = F.when(F.col("event_id") % 50 == 0, 2).when(F.col("event_id") % 7 == 0, 1).otherwise(0)
+    due = F.floor((F.dayofmonth("ts") - 1) / 8)
+    return events.where(F.least(F.lit(3), due + late) == batch)
+
+
+def paid_orders(orders: DataFrame) -> DataFrame:
+    """Orders as payments 30 days after the order."""
+    at = F.date_format(F.col("o_orderdate") + F.expr("INTERVAL 30 DAYS"), TEXT_FORMAT)
+    return orders.select(
+        (F.col("o_orderkey") * 10).alias("id"), F.col("o_orderkey").alias("order_id"),
+        F.col("o_custkey").alias("user_id"), money("o_totalprice").alias("total_amount"),
+        F.col("o_orderstatus").alias("subject"), F.lit("1101").alias("payment_type"),
+        time_text("o_orderdate").alias("create_time"), at.alias("callback_time"))
+
+
+def shipped_orders(lineitem: DataFrame) -> DataFrame:
+    """Line items as order-wide rows, created when they were shipped."""
+    return lineitem.select(
+        F.col("l_linenumber").cast("bigint").alias("detail_id"), F.col("l_orderkey").alias("order_id"),
+        F.col("l_partkey").alias("sku_id"), F.col("l_quantity").cast("bigint").alias("sku_num"),
+        F.lit(-1).cast("bigint").alias("user_id"), money("l_extendedprice").alias("total_amount"),
+        money("l_extendedprice").alias("split_total_amount"),
+        time_text("l_shipdate").alias("create_time"))

@@ -347,3 +347,38 @@ FROM customer FULL JOIN (
   FROM orders) o ON o_custkey = c_custkey
 WHERE rn = 1 OR rn IS NULL""",
 }
+
+ORACLES |= {
+    # The same bounces with times cut to the hour; equal times count in order of the id.
+    "job_user_jump": f"""
+WITH {PL}, cut AS (SELECT * REPLACE (ts // 3600000 * 3600000 AS ts) FROM pl),
+b AS (SELECT *, lead(ts) OVER (PARTITION BY mid ORDER BY ts, event_id) AS nxt FROM cut)
+SELECT mid, is_new, vc, ch, ar, page_id, last_page_id, item, during_time, ts,
+  CAST(CASE WHEN event_type = 'view' THEN k % 4 ELSE 0 END AS INTEGER) AS displays
+FROM b WHERE coalesce(last_page_id, '') = '' AND (nxt IS NULL OR nxt - ts >= {BOUNCE_MS})
+  AND (ts // {BOUNCE_MS} + 2) * {BOUNCE_MS} <= (SELECT max(ts) FROM cut)""",
+    "job_payment_wide": f"""
+SELECT o_orderkey * 10 AS payment_id, o_orderstatus AS subject, '1101' AS payment_type,
+  strftime(o_orderdate, {TXT}) AS payment_create_time,
+  strftime(o_orderdate + INTERVAL 30 DAY, {TXT}) AS callback_time,
+  CAST(l_linenumber AS BIGINT) AS detail_id, o_orderkey AS order_id, l_partkey AS sku_id,
+  CAST(l_quantity AS BIGINT) AS sku_num, o_custkey AS user_id, {money('o_totalprice')} AS total_amount,
+  {money('l_extendedprice')} AS split_total_amount, strftime(l_shipdate, {TXT}) AS order_create_time
+FROM orders JOIN lineitem ON l_orderkey = o_orderkey
+WHERE l_shipdate BETWEEN o_orderdate AND o_orderdate + INTERVAL 30 DAY""",
+    "job_order_wide": ORACLES["order_wide_dims"],
+    "stream_late_rows": f"""
+WITH {PL}, a AS (
+  SELECT *, date_trunc('hour', t) AS w, least(3, (day(t) - 1) // 8 + CASE WHEN event_id % 50 = 0
+    THEN 2 WHEN event_id % 7 = 0 THEN 1 ELSE 0 END) AS b FROM pl),
+marks AS (  -- by batch, how far the batches before it bring the watermark
+  SELECT b.b, (SELECT max(ts) FROM a WHERE a.b < b.b) - 86400000 AS ms
+  FROM (SELECT DISTINCT b FROM a) b),
+judged AS (
+  SELECT a.*, coalesce(epoch_ms(w + INTERVAL 1 HOUR) <= ms, FALSE) AS late FROM a JOIN marks USING (b))
+SELECT event_id, mid, ch, ts, CAST(1 AS BIGINT) AS ct FROM judged WHERE late
+UNION ALL
+SELECT NULL, NULL, ch, epoch_ms(w), count(*) FROM judged WHERE NOT late
+  AND epoch_ms(w + INTERVAL 1 HOUR) <= (SELECT max(ts) FROM a) - 86400000
+GROUP BY w, ch""",
+}

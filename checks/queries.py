@@ -6,11 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from checks import mapping as m
 from tradewake import constants as C
+from tradewake import schemas as S
 from tradewake.functions import times
 from tradewake.functions.codes import code_label
+from tradewake.functions.records import CORRUPT, parse_rows, to_values
 from tradewake.functions.registry import register_functions
 from tradewake.functions.text import camel_columns, in_comma_list, is_blank, joined_key
 from tradewake.operators import measures
@@ -21,6 +24,7 @@ from tradewake.session import shared_dir
 from tradewake.sources.dims import DimStore, part_of
 from tradewake.sources.topics import FileTopics
 from tradewake.streaming import jobs
+from tradewake.streaming.late import start_with_late
 from tradewake.streaming.run import (drain, drain_to_folder, finish, start_batches,
                                      stream_settings)
 from tradewake.streaming.visitors import logs_beside_first_days, repair_batch
@@ -532,3 +536,89 @@ def job_dim_updates(spark, sf):
     if sum(w == max(last.writes.values()) for w in last.writes.values()) > 3:
         raise AssertionError("an upsert wrote parts it did not touch")
     return dims.read("dim_user_info")
+
+
+def _parsed_topic(rows, schema):
+    return parse_rows(rows, schema).drop(CORRUPT)
+
+
+@query
+def job_user_jump(spark, sf):
+    """Bounces by the job. Times are cut to the hour, so pages tie and their arrival decides."""
+    topics = FileTopics(shared_dir(spark, "topics"), arrival=True)
+    p = page(spark, sf).orderBy("event_id").withColumn("ts", F.expr("ts div 3600000 * 3600000"))
+    topics.write_batch(to_values(p.drop("event_id")), C.TOPIC_PAGE_LOG)
+    finish(jobs.user_jump_job(spark, topics, shared_dir(spark, "checkpoint"), BOUNCE_S, once=True))
+    return _parsed_topic(topics.read(spark, C.TOPIC_USER_JUMP), S.PAGE_LOG).select(
+        "common.*", "page.*", "ts", F.size(F.coalesce("display", F.array())).alias("displays"))
+
+
+@query
+def job_payment_wide(spark, sf):
+    """Payments with the line items of their order that were shipped in the 30 days before."""
+    topics = _topics(spark, **{
+        C.TOPIC_PAYMENT_INFO: to_values(m.paid_orders(m.table(spark, sf, "orders"))),
+        C.TOPIC_ORDER_WIDE: to_values(m.shipped_orders(m.table(spark, sf, "lineitem")))})
+    with stream_settings(spark):
+        started = jobs.payment_wide_job(spark, topics, shared_dir(spark, "checkpoint"), once=True,
+                                        lookback_s=MONTH_MS // 1000)
+    finish(started)
+    return doubles(_parsed_topic(topics.read(spark, C.TOPIC_PAYMENT_WIDE), S.PAYMENT_WIDE).select(
+        "payment_id", "subject", "payment_type", "payment_create_time", "callback_time",
+        "detail_id", "order_id", "sku_id", "sku_num", "user_id", "total_amount",
+        "split_total_amount", "order_create_time"))
+
+
+@query
+def job_order_wide(spark, sf):
+    """Orders with details and all dimensions by the job, which reads the dimensions from a store."""
+    topics = _topics(spark, **{
+        C.TOPIC_ORDER_INFO: to_values(m.order_info(m.table(spark, sf, "orders"))),
+        C.TOPIC_ORDER_DETAIL: to_values(m.order_detail(m.table(spark, sf, "lineitem")))})
+    dims = DimStore(spark, shared_dir(spark, "dims"), parts=8)
+    tables = {"user": m.users(m.table(spark, sf, "customer")),
+              "province": m.provinces(m.table(spark, sf, "nation")),
+              "sku": m.skus(m.table(spark, sf, "part")),
+              "spu": m.spus(m.table(spark, sf, "supplier")),
+              "trademark": m.trademarks(m.table(spark, sf, "region")),
+              "category": m.categories(m.table(spark, sf, "nation"))}
+    for name, rows in tables.items():
+        dims.write(name, rows, ["ID"])
+    with stream_settings(spark):
+        started = jobs.order_wide_job(
+            spark, topics, shared_dir(spark, "checkpoint"), lambda: wide.order_dimensions(
+                *(dims.cached(n) for n in tables), as_of=F.lit("2024-01-01").cast("date")),
+            once=True, lower_ms=-MONTH_MS, upper_ms=MONTH_MS)
+    finish(started)
+    return doubles(_parsed_topic(topics.read(spark, C.TOPIC_ORDER_WIDE), S.ORDER_WIDE).select(
+        "detail_id", "order_id", "sku_id", "order_price", "user_age", "user_gender",
+        "province_name", "province_area_code", "province_iso_code", "province_3166_2_code",
+        "spu_id", "spu_name", "tm_id", "tm_name", "category3_id", "category3_name"))
+
+
+@query
+def stream_late_rows(spark, sf):
+    """Events per hour and channel in four runs of one stream, and the events that came too late
+    for that, with a day of delay. Together with what is open at the end they are the input."""
+    topics = FileTopics(shared_dir(spark, "topics"))
+    base = shared_dir(spark, "late")
+    schema = T.StructType([*S.PAGE_LOG, T.StructField("event_id", T.LongType())])
+
+    def keep(name):
+        return lambda df, i: df.write.mode("overwrite").parquet(f"{base}/{name}/batch={i}")
+
+    for i in range(4):
+        topics.write_batch(to_values(m.page_log(m.arrivals(m.table(spark, sf, "events"), i))),
+                           C.TOPIC_PAGE_LOG, i)
+        rows = _parsed_topic(topics.read_stream(spark, C.TOPIC_PAGE_LOG), schema).select(
+            "event_id", "common.mid", "common.ch", "ts",
+            times.rowtime_millis("ts").alias("at")).withWatermark("at", "1 day")
+        counted = rows.groupBy(F.window("at", "1 hour"), "ch").agg(F.count("*").alias("ct"))
+        with stream_settings(spark):
+            started = start_with_late(counted, rows, "at", f"{base}/checkpoint", keep("counted"),
+                                      keep("late"), window="1 hour", once=True)
+        finish(started)
+    late = spark.read.parquet(f"{base}/late/batch=*")
+    return late.select("event_id", "mid", "ch", "ts", F.lit(1).cast("bigint").alias("ct")).unionByName(
+        spark.read.parquet(f"{base}/counted/batch=*").select(
+            "ch", F.unix_millis("window.start").alias("ts"), "ct"), allowMissingColumns=True)

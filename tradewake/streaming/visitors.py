@@ -25,11 +25,12 @@ def logs_beside_first_days(raw: DataFrame) -> DataFrame:
     the devices of the micro-batch, known or new, and no others.
     """
     logs = parse_rows(raw, RAW_LOG, keep=tuple(raw.columns))
-    day = day_key("ts").cast("int")
     # The current time of a stream is that of its micro-batch, also when the batch runs again.
-    first = F.min_by(day, F.struct(F.current_timestamp(), "ts"))
-    days = logs.filter(_flagged()).groupBy(F.col("common.mid").alias("_mid")).agg(
-        first.alias("_first_day"))
+    days = logs.filter(_flagged()).select(
+        F.col("common.mid").alias("_mid"), F.struct(
+            F.current_timestamp().alias("batch"), "ts").alias("_order"),
+        day_key("ts").cast("int").alias("_day"),
+    ).groupBy("_mid").agg(F.min_by("_day", "_order").alias("_first_day"))
     rows = logs.select(F.struct("*").alias("_log"))
     return rows.unionByName(days, allowMissingColumns=True)
 
