@@ -382,3 +382,47 @@ SELECT NULL, NULL, ch, epoch_ms(w), count(*) FROM judged WHERE NOT late
   AND epoch_ms(w + INTERVAL 1 HOUR) <= (SELECT max(ts) FROM a) - 86400000
 GROUP BY w, ch""",
 }
+
+ORACLES |= {
+    "route_as_of": """
+WITH changes AS (
+  SELECT 'order_info' AS tbl, epoch_ms(o_orderdate) AS ts, CAST(o_orderkey AS VARCHAR) AS id,
+    CAST(o_custkey AS VARCHAR) AS user_id, o_orderstatus AS status, NULL AS name FROM orders
+  UNION ALL SELECT 'user_info', 0, CAST(c_custkey AS VARCHAR), NULL, NULL, c_name FROM customer),
+dated AS (SELECT *, CASE WHEN ts < 858124800000 THEN 0
+  WHEN ts < 927244800000 THEN 1 ELSE 2 END AS v FROM changes)
+SELECT CASE WHEN v = 2 OR tbl = 'user_info' THEN 'hbase' ELSE 'kafka' END AS sink_type,
+  CASE WHEN tbl = 'user_info' THEN 'users'
+    ELSE ['orders_old', 'orders_new', 'orders_dim'][v + 1] END AS sink_table,
+  'id' AS sink_pk, 'insert' AS type, ts, id,
+  CASE WHEN v <> 1 THEN user_id END AS user_id, CASE WHEN v > 0 THEN status END AS status,
+  CASE WHEN v = 0 THEN name END AS name
+FROM dated WHERE NOT (tbl = 'user_info' AND v = 2)""",
+    "job_user_log_once": f"""
+WITH {PL}, {SHOWN}, ok AS (SELECT * FROM pl WHERE k < 98),
+flags AS (SELECT * REPLACE (CASE WHEN is_new = '1' AND CAST(t AS DATE) <> min(
+    CASE WHEN is_new = '1' THEN CAST(t AS DATE) END) OVER (PARTITION BY mid)
+  THEN '0' ELSE is_new END AS is_new) FROM ok)
+SELECT CASE WHEN event_type = 'signup' THEN 'start' ELSE 'page' END AS topic, mid, is_new, vc, ch, ar,
+  page_id, item, during_time, ts FROM flags
+UNION ALL SELECT 'display', NULL, NULL, NULL, item_type, NULL, shown.page_id, CAST(x AS VARCHAR),
+  NULL, NULL FROM shown JOIN pl USING (event_id) WHERE k < 98
+UNION ALL SELECT 'quarantine', NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, 30 FROM pl WHERE k = 99
+UNION ALL SELECT 'quarantine', NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL,
+  length('{{"page":{{"page_id":"' || page_id || '"'
+    || coalesce(',"last_page_id":"' || last_page_id || '"', '') || ',"item":"' || item
+    || '","during_time":' || during_time || '}},"ts":' || ts || '}}') FROM pl WHERE k = 98""",
+}
+
+ORACLES |= {
+    "distinct_orders_rolled_up": """
+SELECT (epoch_ms(l_shipdate) // 2592000000) * 2592000000 AS start_ms, l_linenumber % 3 AS mode,
+  count(DISTINCT l_orderkey) AS l_orderkey_exact, count(DISTINCT l_partkey) AS l_partkey_exact,
+  TRUE AS l_orderkey_near, TRUE AS l_partkey_near
+FROM lineitem GROUP BY ALL""",
+    "unique_visit_state": f"""
+WITH {PL} SELECT DISTINCT mid, strftime(t, '%Y%m%d') AS day,
+  epoch_ms(date_trunc('day', t)) + 3 * 86400000 AS expires_ms FROM pl
+WHERE date_trunc('day', t) + INTERVAL 3 DAY
+  > (SELECT max(date_trunc('day', t)) FROM pl) - INTERVAL 3 DAY""",
+}

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -16,7 +17,7 @@ from tradewake.functions.codes import code_label
 from tradewake.functions.records import CORRUPT, parse_rows, to_values
 from tradewake.functions.registry import register_functions
 from tradewake.functions.text import camel_columns, in_comma_list, is_blank, joined_key
-from tradewake.operators import measures
+from tradewake.operators import distinct, measures
 from tradewake.operators.enrich import Dimension, enrich
 from tradewake.operators.lateral import explode_words
 from tradewake.plans import cdc, logs, stats, visits, wide
@@ -26,7 +27,7 @@ from tradewake.sources.topics import FileTopics
 from tradewake.streaming import jobs
 from tradewake.streaming.late import start_with_late
 from tradewake.streaming.run import (drain, drain_to_folder, finish, start_batches,
-                                     stream_settings)
+                                     state_rows, stream_settings)
 from tradewake.streaming.visitors import logs_beside_first_days, repair_batch
 
 BOUNCE_S = 4 * 3600
@@ -622,3 +623,103 @@ def stream_late_rows(spark, sf):
     return late.select("event_id", "mid", "ch", "ts", F.lit(1).cast("bigint").alias("ct")).unionByName(
         spark.read.parquet(f"{base}/counted/batch=*").select(
             "ch", F.unix_millis("window.start").alias("ts"), "ct"), allowMissingColumns=True)
+
+
+def _config_versions(spark):
+    """Three routing tables: later ones take columns away, send orders elsewhere, drop users."""
+    # Since ever, 1997-03-12 and 1999-05-21.
+    at = {0: -10**15, 1: 858_124_800_000, 2: 927_244_800_000}
+    entries = [
+        (0, ("order_info", "insert", "kafka", "orders_old", "id,user_id", None, None)),
+        (0, ("user_info", "insert", "hbase", "users", None, None, None)),
+        (1, ("order_info", "insert", "kafka", "orders_new", "id,status", None, None)),
+        (1, ("user_info", "insert", "hbase", "users", "id", None, None)),
+        (2, ("order_info", "insert", "hbase", "orders_dim", None, "id", None))]
+    schema = T.StructType([*m.TABLE_PROCESS, T.StructField("version_ts", T.LongType())])
+    return spark.createDataFrame([(*e, at[v]) for v, e in entries], schema)
+
+
+@query
+def route_as_of(spark, sf):
+    """Changes routed by the table that held at their time."""
+    changes = cdc.parse_cdc(m.order_changes(m.table(spark, sf, "orders")).unionByName(
+        m.user_changes(m.table(spark, sf, "customer"))))
+    routed = cdc.apply_config_as_of(changes, _config_versions(spark))
+    return routed.select(
+        "sink_type", "sink_table", "sink_pk", "type", "ts",
+        *[F.col("data")[c].cast("string").alias(c) for c in ("id", "user_id", "status", "name")])
+
+
+@query
+def job_user_log_once(spark, sf):
+    """The log job, lost between two of its topics and started again: nothing is to be seen before
+    all topics are there, and every record once after that."""
+    topics = FileTopics(shared_dir(spark, "topics"), committed=True)
+    raw = m.raw_log(m.table(spark, sf, "events")).select("value")
+    topics.write_together({C.TOPIC_RAW_LOG: raw})
+    outputs = (C.TOPIC_START_LOG, C.TOPIC_PAGE_LOG, C.TOPIC_DISPLAY_LOG, C.TOPIC_QUARANTINE)
+
+    class Lost(FileTopics):
+        def write_batch(self, df, topic=None, batch_id=0):
+            if topic == C.TOPIC_DISPLAY_LOG:
+                raise RuntimeError("lost")
+            super().write_batch(df, topic, batch_id)
+
+    checkpoint = shared_dir(spark, "checkpoint")
+    source = dict(root=topics.root, arrival=True, committed=True)
+    try:
+        finish(jobs.user_log_job(spark, Lost(**source), checkpoint, once=True))
+    except StreamingQueryException:
+        pass
+    if any(not topics.read(spark, t).isEmpty() for t in outputs):
+        raise AssertionError("records of an unfinished batch are to be seen")
+    finish(jobs.user_log_job(spark, FileTopics(**source), checkpoint, once=True))
+    start, page, display, broken = (topics.read(spark, t) for t in outputs)
+    flat = _parsed_topic(start, S.RAW_LOG).unionByName(
+        _parsed_topic(page, S.RAW_LOG)).select(
+            F.when(F.col("start").isNull(), "page").otherwise("start").alias("topic"), "common.*",
+            "page.page_id", "page.item", "page.during_time", "ts")
+    shown = _parsed_topic(display, T.StructType([
+        T.StructField(c, T.StringType()) for c in ("page_id", "item_type", "item")])).select(
+            F.lit("display").alias("topic"), "page_id", "item", F.col("item_type").alias("ch"))
+    return flat.unionByName(shown, allowMissingColumns=True).unionByName(
+        broken.select(F.lit("quarantine").alias("topic"), F.length("value").cast("bigint").alias("ts")),
+        allowMissingColumns=True)
+
+
+@query
+def distinct_orders_rolled_up(spark, sf):
+    """Distinct orders and parts per month and ship mode, merged from daily sketches, beside exact
+    counts; the estimates must be within four standard errors."""
+    ids = ("l_orderkey", "l_partkey")
+    rows = m.table(spark, sf, "lineitem").withColumn("_rowtime", m.utc("l_shipdate")).withColumn(
+        "mode", F.col("l_linenumber") % 3)
+    daily = distinct.sketch_ids(rows, "1 day", ["mode", "l_returnflag"], ids)
+    merged = distinct.roll_up(daily, "30 days", ["mode"], ids)
+    found = merged.select(F.unix_millis("_w.start").alias("start_ms"), *(
+        c for c in distinct.counted(merged, ids) if c is not None)).drop("_w")
+    exact = rows.groupBy(F.unix_millis(F.window("_rowtime", "30 days")["start"]).alias("start_ms"),
+                         "mode").agg(*(F.count_distinct(c).alias(f"{c}_exact") for c in ids))
+    bound = distinct.error_bound()
+    return found.join(exact, ["start_ms", "mode"]).select(
+        "start_ms", "mode", *(f"{c}_exact" for c in ids),
+        *((F.abs(F.col(c) - F.col(f"{c}_exact")) <= F.ceil(F.col(f"{c}_exact") * bound)).alias(
+            f"{c}_near") for c in ids))
+
+
+@query
+def unique_visit_state(spark, sf):
+    """What the daily visits still hold after a run: the device and day of every page whose day
+    has not passed the watermark by a day. Times are cut to the day, so that any page will do."""
+    days = page(spark, sf).withColumn("ts", F.expr("ts div 86400000 * 86400000"))
+    base = shared_dir(spark, "state")
+    days.write.parquet(f"{base}/rows")
+    rows = spark.readStream.schema(days.schema).parquet(f"{base}/rows")
+    first = visits.unique_visits(rows, entry_only=False, delay="3 days")
+    with stream_settings(spark):
+        started = start_batches(first.select("common.mid", "ts"), f"{base}/checkpoint",
+                                lambda df, _: df.write.format("noop").mode("append").save(), once=True)
+    finish(started)
+    return state_rows(spark, f"{base}/checkpoint").select(
+        F.col("key._mid").alias("mid"), F.col("key._day").alias("day"),
+        F.expr("value.expiresAtMicros div 1000").alias("expires_ms"))

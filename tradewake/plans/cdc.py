@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Row
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -44,20 +44,50 @@ def apply_config(cdc: DataFrame, config: DataFrame) -> DataFrame:
     operation. It is broadcast after its rows are counted: a shuffle would send all records of
     a busy table to one task.
     """
-    records = cdc.withColumn("type", normal_type(F.col("type")))
+    return _routed(cdc.withColumn("type", normal_type(F.col("type"))), config)
+
+
+def _routed(records: DataFrame, config: DataFrame, more: Sequence[str] = (),
+            condition: Column | None = None) -> DataFrame:
     entries = config.select(
         "source_table", "operate_type", "sink_type", "sink_table", "sink_columns",
-        F.coalesce("sink_pk", F.lit("id")).alias("sink_pk"),
+        F.coalesce("sink_pk", F.lit("id")).alias("sink_pk"), *more,
     )
+    same = (F.col("table") == F.col("source_table")) & (F.col("type") == F.col("operate_type"))
     routed = records.join(
-        broadcast_if_small(entries),
-        (F.col("table") == F.col("source_table")) & (F.col("type") == F.col("operate_type")),
+        broadcast_if_small(entries), same if condition is None else same & condition,
     ).drop("source_table", "operate_type")
     listed = F.map_filter("data", lambda k, _: in_comma_list(k, F.col("sink_columns")))
     kept = F.when(is_blank("sink_columns"), F.col("data")).otherwise(listed)
     return routed.withColumn("data", kept)
 
 
+def config_periods(versions: DataFrame) -> DataFrame:
+    """Versions of the routing table with the time ``_until`` at which the next one begins.
+
+    ``versions`` has whole tables, each with the time ``version_ts`` from which it holds in epoch
+    milliseconds. There is one row per entry and version, so this is small.
+    """
+    times = versions.select("version_ts").distinct()
+    after = times.select("version_ts", F.lead("version_ts").over(
+        Window.orderBy("version_ts")).alias("_until"))
+    return versions.join(F.broadcast(after), "version_ts")
+
+
+def apply_config_as_of(cdc: DataFrame, versions: DataFrame, at: str = "ts") -> DataFrame:
+    """Change records routed by the version of the routing table that held at their time ``at``.
+
+    So records that are read again later are routed as they were at first. A version replaces the
+    one before as a whole: entries it lacks route no more, and records older than every version
+    are dropped, as are those without a time.
+    """
+    periods = config_periods(versions)
+    records = cdc.withColumn("type", normal_type(F.col("type")))
+    held = (F.col("version_ts") <= F.col(at)) & (
+        F.col("_until").isNull() | (F.col(at) < F.col("_until")))
+    return _routed(records, periods, ["version_ts", "_until"], held).drop("version_ts", "_until")
+
+
 def split_routed(routed: DataFrame) -> CdcSplit:
     return CdcSplit(
         facts=routed.filter(F.col("sink_type") == SINK_FACT),

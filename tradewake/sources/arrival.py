@@ -45,18 +45,30 @@ def topic_source() -> type:
             self.most = int(options.get("maxBytes", 0))
             self.split = int(options.get("splitBytes", 64 << 20))
             self.progress = options.get("progress")
+            self.commits, self.topic = options.get("commits"), options.get("topic")
             self.at = None
 
+        def committed(self):
+            """Micro-batches whose commit record names the topic; None where none are asked for."""
+            if not self.commits:
+                return None
+            system, folder = opened(self.commits)
+            names = [re.fullmatch(r"(\d+)~(.+)", i.base_name) for i in system.get_file_info(
+                fs.FileSelector(folder, allow_not_found=True))]
+            return {int(n[1]) for n in names if n and self.topic in n[2].split("+")}
+
         def segments(self):
             """Path, first offset, size and partition of every file, in order."""
             system, root = opened(self.path)
             listed = system.get_file_info(fs.FileSelector(root, recursive=True, allow_not_found=True))
-            found = []
+            found, done = [], self.committed()
             for info in listed:
                 below = info.path[len(root):].strip("/").split("/")
                 if info.type != fs.FileType.File or any(x[0] in "_." for x in below):
                     continue
                 batch = re.search(r"(?:^|/)batch=(\d+)/", "/".join(below))
+                if done is not None and not (batch and int(batch[1]) in done):
+                    continue
                 task = re.match(r"part-(\d+)", below[-1])
                 found.append((int(batch[1]) if batch else 0, "/".join(below), info,
                               int(task[1]) if task else 0))

@@ -6,7 +6,7 @@ least once: a micro-batch that is run again after a failure writes its records a
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,6 +22,16 @@ from tradewake.sources.arrival import register_topics
 TRANSACTION_TIMEOUT_MS = 900_000
 
 
+def commit_name(batch_id: int, topics: Sequence[str]) -> str:
+    return f"{batch_id}~{'+'.join(sorted(topics))}"
+
+
+def committed_batches(names: Sequence[str], topic: str) -> set[int]:
+    """Micro-batches of a topic among the names of commit records."""
+    parts = [n.split("~") for n in names if "~" in n]
+    return {int(batch) for batch, topics in parts if topic in topics.split("+")}
+
+
 @dataclass(frozen=True)
 class KafkaTopics:
     """Topics of a Kafka cluster; needs Spark's Kafka connector on the class path."""
@@ -53,6 +63,11 @@ class KafkaTopics:
     def write_batch(self, df: DataFrame, topic: str | None = None, batch_id: int = 0) -> None:
         df.write.format("kafka").options(**self.sink_options(topic)).save()
 
+    def write_together(self, rows: Mapping[str, DataFrame], batch_id: int = 0) -> None:
+        """The rows of a micro-batch for several topics; Kafka's sink doesn't commit them as one."""
+        for topic, df in rows.items():
+            self.write_batch(df, topic, batch_id)
+
     def write_stream(self, df: DataFrame, topic: str, checkpoint: str) -> DataStreamWriter:
         return (df.writeStream.format("kafka").options(**self.sink_options(topic))
                 .option("checkpointLocation", checkpoint))
@@ -65,12 +80,18 @@ class FileTopics:
     ``arrival`` gives every record its ``partition`` and ``offset``, as Kafka does, so that jobs can
     tell which of two records of equal time came first. A trigger then takes ``max_bytes`` of a
     topic, if given, else all that is new.
+
+    ``committed`` shows readers only micro-batches whose writer has finished all its topics: one
+    empty file below ``_commits`` names batch and topics, so they come into sight together, and
+    what a lost writer left never does. The batch that runs again replaces it. Streams then need
+    ``arrival``, and a batch must not come into sight before one with a lower number.
     """
 
     root: str
     max_files: int | None = None
     arrival: bool = False
     max_bytes: int | None = None
+    committed: bool = False
 
     def path(self, topic: str) -> str:
         return f"{self.root.rstrip('/')}/topic={topic}"
@@ -79,6 +100,8 @@ class FileTopics:
                     starting: str = "earliest") -> DataFrame:
         if self.arrival:
             reader = spark.readStream.format(register_topics(spark))
+            if self.committed:
+                reader = reader.option("commits", self._commits()).option("topic", topic)
             if self.max_bytes:
                 reader = reader.option("maxBytes", str(self.max_bytes))
                 if group:
@@ -90,7 +113,20 @@ class FileTopics:
             reader = reader.option("maxFilesPerTrigger", self.max_files)
         return reader.text(self.path(topic))
 
+    def _commits(self) -> str:
+        return f"{self.root.rstrip('/')}/_commits"
+
     def read(self, spark: SparkSession, topic: str) -> DataFrame:
+        if self.committed:
+            folder = spark._jvm.org.apache.hadoop.fs.Path(f"{self._commits()}/*")
+            fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+            found = committed_batches(
+                [s.getPath().getName() for s in fs.globStatus(folder) or []], topic)
+            paths = [f"{self.path(topic)}/batch={i}" for i in sorted(found)]
+            # A batch without rows for a topic has no folder.
+            at = spark._jvm.org.apache.hadoop.fs.Path
+            paths = [p for p in paths if fs.exists(at(p))]
+            return spark.read.text(paths) if paths else spark.createDataFrame([], "value string")
         return spark.read.option("recursiveFileLookup", "true").text(self.path(topic))
 
     def write_batch(self, df: DataFrame, topic: str | None = None, batch_id: int = 0) -> None:
@@ -100,6 +136,16 @@ class FileTopics:
         (rows.write.mode("overwrite").partitionBy("topic", "batch")
          .option("partitionOverwriteMode", "dynamic").text(self.root))
 
+    def write_together(self, rows: Mapping[str, DataFrame], batch_id: int = 0) -> None:
+        """The rows of a micro-batch for several topics, then the record that they are there."""
+        for topic, df in rows.items():
+            self.write_batch(df, topic, batch_id)
+        if self.committed:
+            spark = next(iter(rows.values())).sparkSession
+            name = commit_name(batch_id, list(rows))
+            path = spark._jvm.org.apache.hadoop.fs.Path(f"{self._commits()}/{name}")
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).create(path).close()
+
     def write_stream(self, df: DataFrame, topic: str, checkpoint: str) -> DataStreamWriter:
         return (df.writeStream.option("checkpointLocation", checkpoint)
                 .foreachBatch(lambda rows, batch_id: self.write_batch(rows, topic, batch_id)))

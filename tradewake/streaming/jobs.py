@@ -22,6 +22,7 @@ from tradewake.plans.logs import quarantined_logs, split_logs, valid_logs
 from tradewake.plans.stats import product_keywords, product_stats, search_keywords, visitor_stats
 from tradewake.plans.visits import bounces, unique_visits
 from tradewake.plans.wide import order_wide, payment_wide
+from tradewake.sources.config import ConfigHistory
 from tradewake.sources.dims import DimStore
 from tradewake.sources.topics import Topics
 from tradewake.streaming.run import start_batches
@@ -63,11 +64,12 @@ def user_log_job(spark: SparkSession, topics: Topics, checkpoint: str,
         try:
             logs = repair_batch(batch)
             split = split_logs(valid_logs(logs).drop("value"))
-            topics.write_batch(to_values(split.start), C.TOPIC_START_LOG, batch_id)
-            topics.write_batch(to_values(split.page), C.TOPIC_PAGE_LOG, batch_id)
-            topics.write_batch(to_values(split.display), C.TOPIC_DISPLAY_LOG, batch_id)
-            topics.write_batch(
-                quarantined_logs(logs).select("value"), C.TOPIC_QUARANTINE, batch_id)
+            topics.write_together({
+                C.TOPIC_START_LOG: to_values(split.start),
+                C.TOPIC_PAGE_LOG: to_values(split.page),
+                C.TOPIC_DISPLAY_LOG: to_values(split.display),
+                C.TOPIC_QUARANTINE: quarantined_logs(logs).select("value"),
+            }, batch_id)
         finally:
             batch.unpersist()
 
@@ -76,16 +78,18 @@ def user_log_job(spark: SparkSession, topics: Topics, checkpoint: str,
 
 def business_job(spark: SparkSession, topics: Topics, checkpoint: str,
                  load_config: Callable[[], DataFrame], dims: DimStore, once: bool = False,
-                 every: str | None = "5 seconds") -> StreamingQuery:
+                 every: str | None = "5 seconds",
+                 history: ConfigHistory | None = None) -> StreamingQuery:
     """Change records to fact topics and dimension tables.
 
     The routing table is loaded anew in every micro-batch (R4): what it says then is what
-    counts, so removed entries stop routing.
+    counts, so removed entries stop routing. With ``history`` a micro-batch that runs again after
+    a failure routes by the table it used at first.
     """
     raw = topics.read_stream(spark, C.TOPIC_CDC, "business")
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        config = load_config().persist()
+        config = (history.of_batch(batch_id, load_config) if history else load_config()).persist()
         # Parsed and routed once; facts and every dimension table read the same rows.
         routed = None
         try:

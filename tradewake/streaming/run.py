@@ -133,3 +133,12 @@ def drain(spark: SparkSession, df: DataFrame, name: str, seconds: int | None = N
     """As :func:`drain_to_folder`, read back."""
     folder = drain_to_folder(spark, df, name, seconds)
     return spark.read.schema(df.schema).parquet(folder)
+
+
+def state_rows(spark: SparkSession, checkpoint: str, operator: int = 0) -> DataFrame:
+    """The state that a stream holds after its last micro-batch, as ``key`` and ``value``.
+
+    For a look at what has expired and what has not; ``operator`` counts the stateful operators of
+    the query from 0.
+    """
+    return spark.read.format("statestore").option("operatorId", operator).load(checkpoint)
