@@ -426,3 +426,26 @@ WITH {PL} SELECT DISTINCT mid, strftime(t, '%Y%m%d') AS day,
 WHERE date_trunc('day', t) + INTERVAL 3 DAY
   > (SELECT max(date_trunc('day', t)) FROM pl) - INTERVAL 3 DAY""",
 }
+
+SEQUENCE = f"""
+WITH e AS (
+  SELECT *, epoch_us(ts) // 1000 AS ms, lead(epoch_us(ts) // 1000) OVER w AS next_ms,
+    lead(event_type) OVER w AS next_type, lead(event_id) OVER w AS next_id
+  FROM events WINDOW w AS (PARTITION BY user_id ORDER BY epoch_us(ts) // 1000, event_id)),
+found AS (
+  SELECT ms, event_id, next_id,
+    CASE WHEN next_ms IS NULL OR next_ms - ms >= {BOUNCE_MS} THEN 'timed_out'
+         WHEN next_type = 'click' THEN 'matched' END AS outcome
+  FROM e WHERE event_type = 'view')
+SELECT outcome, CASE outcome WHEN 'matched' THEN 2 ELSE 1 END AS length, event_id AS first,
+  CASE outcome WHEN 'matched' THEN next_id END AS second
+FROM found WHERE outcome IS NOT NULL"""
+
+ORACLES |= {
+    "view_then_click": SEQUENCE,
+    "stream_view_then_click": f"""{SEQUENCE}
+  AND (ms // {BOUNCE_MS} + 2) * {BOUNCE_MS} <= (SELECT max(epoch_us(ts) // 1000) FROM events)""",
+    "bucketed_lookup": """
+SELECT l_orderkey, l_linenumber, l_partkey, p_name AS part_name, p_retailprice AS price
+FROM lineitem LEFT JOIN part ON p_partkey = l_partkey""",
+}

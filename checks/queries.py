@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.errors import StreamingQueryException
@@ -20,8 +21,10 @@ from tradewake.functions.text import camel_columns, in_comma_list, is_blank, joi
 from tradewake.operators import distinct, measures
 from tradewake.operators.enrich import Dimension, enrich
 from tradewake.operators.lateral import explode_words
+from tradewake.operators.sequence import match_sequence
 from tradewake.plans import cdc, logs, stats, visits, wide
 from tradewake.session import shared_dir
+from tradewake.sources.buckets import BucketedDimension
 from tradewake.sources.dims import DimStore, part_of
 from tradewake.sources.topics import FileTopics
 from tradewake.streaming import jobs
@@ -723,3 +726,39 @@ def unique_visit_state(spark, sf):
     return state_rows(spark, f"{base}/checkpoint").select(
         F.col("key._mid").alias("mid"), F.col("key._day").alias("day"),
         F.expr("value.expiresAtMicros div 1000").alias("expires_ms"))
+
+
+@query
+def view_then_click(spark, sf):
+    """Views directly followed by a click within four hours, and views nothing followed in time."""
+    events = m.table(spark, sf, "events").withColumn("ms", F.unix_millis(m.utc("ts")))
+    kind = F.col("event_type")
+    found = match_sequence(events, "user_id", "ms", [kind == "view", kind == "click"],
+                           BOUNCE_S * 1000, ["event_id"], ["event_id", "value"])
+    return found.select("outcome", "length", F.col("events")[0]["event_id"].alias("first"),
+                        F.get("events", F.lit(1))["event_id"].alias("second"))
+
+
+@query
+def stream_view_then_click(spark, sf):
+    """The same as a stream, as far as the end of the input closes it."""
+    events = m.stream(spark, sf, "events").withColumn("ms", F.unix_millis(m.utc("ts")))
+    kind = F.col("event_type")
+    found = match_sequence(events, "user_id", "ms", [kind == "view", kind == "click"],
+                           BOUNCE_S * 1000, ["event_id"], ["event_id"])
+    return drain(spark, found.select(
+        "outcome", "length", F.col("events")[0]["event_id"].alias("first"),
+        F.get("events", F.lit(1))["event_id"].alias("second")), "sequence")
+
+
+@query
+def bucketed_lookup(spark, sf):
+    """Line items with their part, which lies in buckets of its key; every part is stored twice,
+    the dearer row first by the order given."""
+    part = m.table(spark, sf, "part").select("p_partkey", "p_name", "p_retailprice")
+    twice = part.unionByName(part.withColumn("p_retailprice", F.lit(-1.0)).withColumn(
+        "p_name", F.lit("cheap")))
+    dim = BucketedDimension(spark, f"dim_part_{uuid.uuid4().hex}", shared_dir(spark, "buckets"), 8)
+    dim.store(twice.withColumn("cheap", -F.col("p_retailprice")), "p_partkey", ["cheap"])
+    facts = m.table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
+    return dim.look_up(facts, "l_partkey", {"part_name": "p_name", "price": "p_retailprice"})
