@@ -108,6 +108,16 @@ def unreadable_products(page: DataFrame) -> DataFrame:
     return _product_items(page).filter(F.col("item").try_cast("bigint").isNull())
 
 
+def unreadable_item() -> Column:
+    """A page log has a clicked or displayed item that names no SKU."""
+    def no_sku(item: Column) -> Column:
+        return item.try_cast("bigint").isNull()
+
+    shown = F.exists("display", lambda d: (d["item_type"] == DISPLAY_SKU) & no_sku(d["item"]))
+    clicked = (F.col("page.page_id") == PAGE_DETAIL) & no_sku(F.col("page.item"))
+    return F.coalesce(clicked, F.lit(False)) | F.coalesce(shown, F.lit(False))
+
+
 def _at(df: DataFrame, text: Column | str = "create_time") -> DataFrame:
     """``df`` with the time of a business text as ``ts``."""
     return compute_once(df, "ts", text_millis(text))

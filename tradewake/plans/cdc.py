@@ -32,6 +32,12 @@ def parse_cdc(raw: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     return rows.filter(F.col(CORRUPT).isNull() & (F.cardinality("data") > 0)).drop(CORRUPT)
 
 
+def broken_changes(raw: DataFrame) -> DataFrame:
+    """The ``value`` of records that aren't change records at all: broken JSON, or a field of the
+    wrong shape. Records without a payload aren't broken; they change nothing."""
+    return parse_rows(raw, CDC, keep=("value",)).filter(F.col(CORRUPT).isNotNull()).select("value")
+
+
 def normal_type(kind: Column) -> Column:
     """The first load of a table counts as insert."""
     return F.when(kind == "bootstrap-insert", "insert").otherwise(kind)

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tradewake.streaming.run import start_batches
+from tradewake.streaming.sides import start_with_sides
 
 Handle = Callable[[DataFrame, int], None]
 
@@ -43,18 +43,11 @@ def start_with_late(result: DataFrame, rows: DataFrame, event_time: str, checkpo
     One operator is meant, and one watermark. Every micro-batch has the results and its input
     rows side by side. Spark judges lateness by the watermark of the micro-batch before.
     """
-    both = result.select(F.struct("*").alias("_result")).unionByName(
-        rows.select(F.struct("*").alias("_row")), allowMissingColumns=True)
     spark = result.sparkSession
 
-    def write(batch: DataFrame, batch_id: int) -> None:
+    def write(found: dict[str, DataFrame], batch_id: int) -> None:
         behind = late(event_time, watermark_of(spark, checkpoint, batch_id - 1), window)
-        batch = batch.filter(F.col("_result").isNotNull() | F.col("_row").isNotNull()).persist()
-        try:
-            handle(batch.filter(F.col("_result").isNotNull()).select("_result.*"), batch_id)
-            handle_late(batch.filter(F.col("_row").isNotNull()).select("_row.*").filter(behind),
-                        batch_id)
-        finally:
-            batch.unpersist()
-
-    return start_batches(both, checkpoint, write, once, every)
+        handle(found["_result"], batch_id)
+        handle_late(found["_row"].filter(behind), batch_id)
+
+    return start_with_sides({"_result": result, "_row": rows}, checkpoint, write, once, every)
