@@ -449,3 +449,22 @@ ORACLES |= {
 SELECT l_orderkey, l_linenumber, l_partkey, p_name AS part_name, p_retailprice AS price
 FROM lineitem LEFT JOIN part ON p_partkey = l_partkey""",
 }
+
+# Events 24 years earlier, in the time of the line items.
+EARLY = PL.replace("FROM events", "FROM (SELECT * REPLACE (ts - INTERVAL 8766 DAY AS ts) FROM events)")
+
+ORACLES |= {
+    "job_search_keyword": ORACLES["stream_search_keywords"],
+    "job_product_keyword": ORACLES["product_keywords"],
+    "sql_product_keywords": ORACLES["product_keywords"],
+    "job_product_stats": ORACLES["product_stats"].replace(PL, EARLY) + f"""
+WHERE w + INTERVAL 1 DAY <= (SELECT least(
+  (SELECT max(make_timestamp(ts * 1000)) FROM (
+    SELECT ts FROM pl WHERE page_id = 'good_detail'
+    UNION ALL SELECT ts FROM shown WHERE item_type = 'sku_id')),
+  (SELECT max(tm) FROM se WHERE event_type = 'signup'),
+  (SELECT max(tm) FROM se WHERE event_type = 'purchase'),
+  (SELECT max(tm) FROM se WHERE event_type = 'error'), (SELECT max(tm) FROM li),
+  (SELECT max(tm) FROM li WHERE l_linestatus = 'F'),
+  (SELECT max(tm) FROM li WHERE l_returnflag = 'R')) - INTERVAL 2 SECOND)""",
+}

@@ -762,3 +762,72 @@ def bucketed_lookup(spark, sf):
     dim.store(twice.withColumn("cheap", -F.col("p_retailprice")), "p_partkey", ["cheap"])
     facts = m.table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
     return dim.look_up(facts, "l_partkey", {"part_name": "p_name", "price": "p_retailprice"})
+
+
+def _to_folder(base):
+    """A sink that keeps every micro-batch in a folder of its own."""
+    return lambda df, i: df.write.mode("overwrite").parquet(f"{base}/rows/batch={i}")
+
+
+@query
+def job_search_keyword(spark, sf):
+    topics = _topics(spark, **{C.TOPIC_PAGE_LOG: to_values(page(spark, sf).drop("event_id"))})
+    base = shared_dir(spark, "keywords")
+    with stream_settings(spark):
+        started = jobs.search_keyword_job(spark, topics, f"{base}/checkpoint", _to_folder(base),
+                                          once=True, window="1 hour", as_of_ms=AS_OF_MS)
+    finish(started)
+    return spark.read.schema(S.KEYWORD_STATS).parquet(f"{base}/rows/batch=*")
+
+
+def _counted_products(spark, sf):
+    named = Dimension(m.skus(m.table(spark, sf, "part")), {"sku_id": "ID"},
+                      {"spu_name": "SKU_NAME"})
+    return stats.product_stats(**_product_inputs(spark, sf), window="1 day", dims=[named])
+
+
+@query
+def job_product_keyword(spark, sf):
+    topics = _topics(spark, **{C.TOPIC_PRODUCT_STATS: to_values(_counted_products(spark, sf))})
+    base = shared_dir(spark, "product_keywords")
+    finish(jobs.product_keyword_job(spark, topics, f"{base}/checkpoint", _to_folder(base),
+                                    once=True, as_of_ms=AS_OF_MS))
+    return spark.read.schema(S.KEYWORD_STATS).parquet(f"{base}/rows/batch=*")
+
+
+@query
+def sql_product_keywords(spark, sf):
+    """Two lateral table functions in one query."""
+    register_functions(spark)
+    _counted_products(spark, sf).createOrReplaceTempView("product_stats")
+    return spark.sql(f"""
+        SELECT keyword, ct, source, stt, edt, CAST({AS_OF_MS} AS BIGINT) AS ts
+        FROM product_stats, LATERAL ik_analyze(spu_name) AS t(keyword),
+             LATERAL keywordProductC2R(click_ct, cart_ct, order_ct) AS c(ct, source)""")
+
+
+@query
+def job_product_stats(spark, sf):
+    """All seven inputs as topics. Events are 24 years earlier here, in the time of the line items,
+    so that windows of all inputs close."""
+    then = F.col("ts") - F.expr("INTERVAL 8766 DAYS")
+    events = m.table(spark, sf, "events").withColumn("ts", then)
+    lineitem = m.table(spark, sf, "lineitem")
+    topics = _topics(spark, **{name: to_values(rows) for name, rows in {
+        C.TOPIC_PAGE_LOG: m.page_log(events).drop("event_id"),
+        C.TOPIC_FAVOR_INFO: m.sku_events(events, "signup"),
+        C.TOPIC_CART_INFO: m.sku_events(events, "purchase"),
+        C.TOPIC_COMMENT_INFO: m.sku_events(events, "error"),
+        C.TOPIC_ORDER_WIDE: m.line_orders(lineitem),
+        C.TOPIC_PAYMENT_WIDE: m.line_payments(lineitem),
+        C.TOPIC_REFUND_INFO: m.line_refunds(lineitem)}.items()})
+    named = [stats.sku_dimension(m.skus(m.table(spark, sf, "part"))),
+             *wide.product_dimensions(spus=m.spus(m.table(spark, sf, "supplier")),
+                                      trademarks=m.trademarks(m.table(spark, sf, "region")),
+                                      categories=m.categories(m.table(spark, sf, "nation")))]
+    with stream_settings(spark):
+        started = jobs.product_stats_job(spark, topics, shared_dir(spark, "checkpoint"),
+                                         lambda: named, once=True, window="1 day",
+                                         as_of_ms=AS_OF_MS)
+    finish(started)
+    return doubles(_parsed_topic(topics.read(spark, C.TOPIC_PRODUCT_STATS), S.PRODUCT_STATS))
