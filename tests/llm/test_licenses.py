@@ -1,5 +1,7 @@
 """License scan: hand-made notices, and the same rows from SQL."""
 
+import time
+
 import duckdb
 import pytest
 
@@ -70,3 +72,17 @@ def test_native_plan(spark):
 @pytest.mark.parametrize("license, names", RULES)
 def test_rules_use_known_sentences(license, names):
     assert set(names) <= set(SENTENCES)
+
+
+def test_repeated_sentences_take_linear_time(spark):
+    """A megabyte of all sentences of a rule but the last, again and again; then the last."""
+    names = next(n for _, n in RULES if len(n) == 6)
+    text = ". ".join(SENTENCES[n] for n in names[:-1]) + ".\n"
+    many = text * (1_000_000 // len(text))
+    docs = spark.createDataFrame([(1, many), (2, many + SENTENCES[names[-1]] + "."), (3, text[:-2])],
+                                 "doc_id long, text string")
+    began = time.time()
+    got = sorted(map(tuple, scan(docs).collect()))
+    assert time.time() - began < 60
+    assert (2, "Apache-2.0", 6, 0) in got
+    assert {r[0] for r in got if r[2] == 6} == {2}

@@ -1,9 +1,9 @@
 """License notices by sentence rules, with DataFrame functions only.
 
 Known licence sentences have identifiers. A document's sentences are normalised and mapped to them;
-the sequence of identifiers, in order and without repeats in a row, is matched against rules: ordered
-lists of sentences that name a licence. A rule may match in part, and of the rules of one licence the
-best counts.
+the sequence of identifiers is matched against rules: ordered lists of sentences that name a licence.
+One pass over the sequence moves every rule on as its next sentence comes. Of the rules of one licence
+that are through, the best counts.
 """
 
 from __future__ import annotations
@@ -125,6 +125,15 @@ def _pattern(names: list[str]) -> str:
     return "," + ",(.*,)?".join(names) + ","
 
 
+def _progress(hits: str, rules: list[tuple[str, list[str]]]) -> Column:
+    """How many of its sentences each rule has met, in order, after all of a document's."""
+    wanted = F.array(*(F.array(*map(F.lit, names)) for _, names in rules))
+    return F.aggregate(
+        f"{hits}.name", F.array_repeat(F.lit(0), len(rules)),
+        lambda met, name: F.zip_with(met, wanted, lambda k, names: F.when(
+            F.get(names, k) == name, k + 1).otherwise(k)))
+
+
 def _place(hits: str, name: str) -> Column:
     """Place of the first sentence ``name``."""
     return F.try_element_at(F.filter(hits, lambda h: h["name"] == name), F.lit(1))["place"]
@@ -155,11 +164,13 @@ def scan(docs: DataFrame, sentences: dict[str, str] = SENTENCES,
     found = docs.where("text is not null").select("doc_id", F.explode(F.array(F.struct(
         *(hits(ends).alias(way) for way, ends in ENDS.items())))).alias("x")).where(
         F.size("x.wrapped") + F.size("x.lines") > 0).select("doc_id", "x.*")
-    found = found.withColumns({f"{way}_sequence": F.concat(
-        F.lit(","), F.array_join(f"{way}.name", ","), F.lit(",")) for way in ENDS})
-    held = [F.when(F.col(f"{way}_sequence").rlike(_pattern(names)), F.struct(
+    # Again a generator, so that the progress isn't computed once for every rule.
+    met = F.struct(*(_progress(way, rules).alias(f"{way}_met") for way in ENDS))
+    found = found.select("*", F.inline(F.array(met)))
+    held = [F.when(F.get(f"{way}_met", F.lit(i)) == len(names), F.struct(
         F.lit(license).alias("license"), F.lit(len(names)).alias("n"),
-        (-_place(way, names[0])).alias("back"))) for way in ENDS for license, names in rules]
+        (-_place(way, names[0])).alias("back"))) for way in ENDS
+        for i, (license, names) in enumerate(rules)]
     each = found.select("doc_id", F.explode(F.array(F.array_compact(F.array(*held)))).alias("m"))
     named = each.select("doc_id", "m", F.explode(F.array_distinct("m.license")).alias("license"))
     best = F.array_max(F.transform(F.filter("m", lambda r: r["license"] == F.col("license")),
