@@ -28,14 +28,18 @@ def parse_cdc(raw: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     An object without fields is the only one whose text is at most three characters long, so
     this is the length test on the text, made on the parsed row.
     """
-    rows = parse_rows(raw, CDC, keep=keep)
-    return rows.filter(F.col(CORRUPT).isNull() & (F.cardinality("data") > 0)).drop(CORRUPT)
+    return whole_changes(parse_rows(raw, CDC, keep=keep))
 
 
-def broken_changes(raw: DataFrame) -> DataFrame:
-    """The ``value`` of records that aren't change records at all: broken JSON, or a field of the
+def whole_changes(parsed: DataFrame) -> DataFrame:
+    """Of parsed records those that change something; see :func:`parse_cdc`."""
+    return parsed.filter(F.col(CORRUPT).isNull() & (F.cardinality("data") > 0)).drop(CORRUPT)
+
+
+def broken_changes(parsed: DataFrame) -> DataFrame:
+    """Of parsed records those that aren't change records at all: broken JSON, or a field of the
     wrong shape. Records without a payload aren't broken; they change nothing."""
-    return parse_rows(raw, CDC, keep=("value",)).filter(F.col(CORRUPT).isNotNull()).select("value")
+    return parsed.filter(F.col(CORRUPT).isNotNull())
 
 
 def normal_type(kind: Column) -> Column:

@@ -54,7 +54,7 @@ def part_of(pk: Sequence[str], parts: int) -> Column:
 
 class DimStore:
     def __init__(self, spark: SparkSession, root: str, keep_seconds: float = 86_400,
-                 parts: int = 64):
+                 parts: int = 16):
         """``parts`` is fixed when a table is first written: so many that one is a task's work.
         What no newer version uses is deleted once that version has been there for
         ``keep_seconds``: longer than any reader takes."""
@@ -187,7 +187,9 @@ class DimStore:
         # A number of its own for every try, so that one that failed leaves nothing behind.
         write = 1 + max((int(s.getPath().getName()[2:]) for s in
                          self._listed(self._path(table, "data", "w=*"))), default=-1)
-        (rows.repartition(max(1, len(touched)), PART).write.partitionBy(PART)
+        # A task may write several parts; a part is written by one task.
+        tasks = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        (rows.repartition(max(1, min(len(touched), tasks)), PART).write.partitionBy(PART)
          .parquet(self._path(table, "data", f"w={write}")))
         have = {int(s.getPath().getName().split("=")[1]) for s in
                 self._listed(self._path(table, "data", f"w={write}", f"{PART}=*"))}

@@ -21,7 +21,7 @@ from tradewake.functions.times import text_millis
 from tradewake.operators.enrich import Dimension, enrich_all
 from tradewake.operators.measures import unreadable_item
 from tradewake.plans.cdc import (apply_config, broken_changes, dim_rows, dim_tables, fact_messages,
-                                 parse_cdc, split_routed)
+                                 split_routed, whole_changes)
 from tradewake.plans.logs import quarantined_logs, split_logs, valid_logs
 from tradewake.plans.stats import product_keywords, product_stats, search_keywords, visitor_stats
 from tradewake.plans.visits import bounces, unique_visits
@@ -136,22 +136,19 @@ def business_job(spark: SparkSession, topics: Topics, checkpoint: str,
 
     def write(batch: DataFrame, batch_id: int) -> None:
         config = (history.of_batch(batch_id, load_config) if history else load_config()).persist()
-        # Parsed and routed once; facts and every dimension table read the same rows.
-        routed = None
+        # Changes of one time count in order of arrival, where the topic tells it.
+        offset = [c for c in ("offset",) if c in batch.columns]
+        order = ["ts", *offset]
+        # Parsed once; facts, every dimension table and the quarantine read the same rows.
+        parsed = parse_rows(batch, S.CDC, keep=("value", *offset)).persist()
         try:
             if config.isEmpty():
                 raise ValueError("the routing table is empty")
-            # Changes of one time count in order of arrival, where the topic tells it.
-            offset = [c for c in ("offset",) if c in batch.columns]
-            order = ["ts", *offset]
-            routed = apply_config(parse_cdc(batch, keep=tuple(offset)), config).persist()
-            split = split_routed(routed)
+            split = split_routed(apply_config(whole_changes(parsed).drop("value"), config))
             topics.write_batch(fact_messages(split.facts), batch_id=batch_id)
-            broken = broken_changes(batch)
+            broken = broken_changes(parsed).select(F.lit(C.TOPIC_CDC).alias("topic"), "value")
             if not broken.isEmpty():
-                topics.write_batch(to_values(broken.select(
-                    F.lit(C.TOPIC_CDC).alias("topic"), "value")), quarantine_topic("business"),
-                    batch_id)
+                topics.write_batch(to_values(broken), quarantine_topic("business"), batch_id)
             # Control data: one row per dimension table, bounded by the routing table.
             changed = {r.sink_table for r in split.dims.select("sink_table").distinct().collect()}
             for table in dim_tables(config):
@@ -162,8 +159,7 @@ def business_job(spark: SparkSession, topics: Topics, checkpoint: str,
                                     order)
                     dims.upsert(table.sink_table, rows, [table.pk], order)
         finally:
-            if routed is not None:
-                routed.unpersist()
+            parsed.unpersist()
             config.unpersist()
 
     return start_batches(raw, checkpoint, write, once, every)
