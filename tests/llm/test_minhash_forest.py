@@ -84,3 +84,37 @@ def test_repeated_rows_and_long_text(spark):
                                   (3, long + " end")], "doc_id long, text string")
     got = sorted(map(tuple, near_duplicates(docs).collect()))
     assert [r[2] for r in got] == [1, 1, 2, 2]
+
+
+def changed(rnd, words, count, mark):
+    out = list(words)
+    for k, at in enumerate(rnd.sample(range(0, len(words), 4), count)):
+        out[at + 1] = f"{mark}y{k}"
+    return out
+
+
+def test_star_of_copies_that_only_its_centre_links(spark):
+    rnd = random.Random(5)
+    centre = [f"w{rnd.randrange(9000)}" for _ in range(200)]
+    rows = [(i, " ".join(changed(rnd, centre, 5, i))) for i in range(1500)]
+    rows.append((9999, " ".join(centre)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = near_duplicates(docs, words=4).collect()
+    assert len(got) == 1501
+    assert {r.component_id for r in got} == {0}
+
+
+def test_crowd_of_several_components_against_all_pairs(spark):
+    rnd = random.Random(11)
+    base = [f"w{rnd.randrange(9000)}" for _ in range(160)]
+    rows = []
+    for c in range(25):  # variants of one text, too far from each other, with copies around each
+        middle = changed(rnd, base, 9, f"c{c}")
+        rows += [changed(rnd, middle, rnd.randint(2, 5), f"d{c}x{k}") for k in range(12)]
+        rows.append(middle)
+    rows = [(i, " ".join(r)) for i, r in enumerate(rows)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = {r[0]: tuple(r[1:]) for r in near_duplicates(docs, words=4, few=4, near=1).collect()}
+    want = brute(rows, 4)
+    assert 1 < len({v[1] for v in want.values()}) < 325
+    assert got == want
