@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tradewake.llm import decontaminate, line_dedup, minhash_forest, packing, toxicity
-from tradewake.llm.common import Stage
+from tradewake.llm.common import Stage, free_name
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -26,9 +26,10 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
     """Without later copies of repeated line runs of 8 words or more; a document of which nothing is
     left goes. ``n_chars`` follows the text."""
     out = line_dedup.dedup_lines(docs, min_lines=1, min_words=8)
-    kept = out.where("__deleted = 0 or __left > 0")
+    deleted, left = (F.col(free_name(docs, c)) for c in ("__deleted", "__left"))
+    kept = out.where((deleted == 0) | (left > 0))
     if "n_chars" in docs.columns:
-        kept = kept.withColumn("n_chars", F.when(F.col("__deleted") > 0, F.length("text"))
+        kept = kept.withColumn("n_chars", F.when(deleted > 0, F.length("text"))
                                .otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType))
     return kept.select(*(f"`{c}`" for c in docs.columns))
 
@@ -36,12 +37,13 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates, the one with the least id; documents without
     an id come last. Every row counts by a key of its own, in the order of the ids."""
+    key = free_name(docs, "__key")
     keyed = Stage(spark, "near").save(
         docs.orderBy(F.col("doc_id").asc_nulls_last(), F.xxhash64("text"))
-        .withColumn("__key", F.monotonically_increasing_id()))
+        .withColumn(key, F.monotonically_increasing_id()))
     gone = minhash_forest.near_duplicates(
-        keyed.select(F.col("__key").alias("doc_id"), "text"), words=5, percent=80).where("not kept")
-    return keyed.join(gone.select(F.col("doc_id").alias("__key")), "__key", "left_anti").select(
+        keyed.select(F.col(key).alias("doc_id"), "text"), words=5, percent=80).where("not kept")
+    return keyed.join(gone.select(F.col("doc_id").alias(key)), key, "left_anti").select(
         *(f"`{c}`" for c in docs.columns))
 
 

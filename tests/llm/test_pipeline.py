@@ -109,3 +109,21 @@ def test_near_duplicates_of_repeated_and_null_ids(spark):
     got = corpus_pipeline.drop_near_duplicates(spark, docs, "").collect()
     assert sorted(map(tuple, got), key=str) == sorted(
         [(1, a), (2, b), (3, c), (4, None), (4, None)], key=str)
+
+
+def test_columns_that_clash_with_inner_names(spark):
+    names = ["__d", "__t", "__runs", "__deleted", "__left", "__key", "size", "label", "rank"]
+    line = "one two three four five six seven eight nine"
+    rows = [(1, f"first {line}", *names), (2, f"{line}\nown words", *names),
+            (3, f"{line}\nother words", *names)]
+    docs = spark.createDataFrame(
+        rows, "doc_id long, text string, " + ", ".join(f"`{n}` string" for n in names))
+    lines = corpus_pipeline.drop_repeated_lines(spark, docs, "")
+    assert lines.columns == docs.columns
+    assert sorted(map(tuple, lines.collect())) == [*rows[:2], (3, "other words", *names)]
+    near = corpus_pipeline.drop_near_duplicates(spark, docs, "")
+    assert near.columns == docs.columns and sorted(map(tuple, near.collect())) == rows
+    items = spark.createDataFrame([(7, "own words")], "item_id long, text string")
+    clean = corpus_pipeline.decontaminate.clean_documents(docs, items)
+    assert clean.columns == docs.columns
+    assert {tuple(r)[2:] for r in clean.collect()} == {tuple(names)}

@@ -118,3 +118,34 @@ def test_text_after_a_deep_part():
     assert alone(page) == "start deep tail after"
     inner = "<article>one<div>two</div>three</article><aside>x<div>y</div></aside>"
     assert alone("<body>" + "<div>" * 70 + inner + "z" + "</div>" * 70 + "</body>") == "one two three"
+
+
+def test_names_of_layout_do_not_empty_a_page():
+    frame = "<html><body class='{}'><nav>Menu</nav>{}<footer>Foot</footer></body></html>"
+    inner = "<article><h1>Title</h1><p>Some words of it.</p></article>"
+    for names in ("no-sidebar", "single comments-open", "right-sidebar", "has-social", "nav-fixed"):
+        page = frame.format(names, inner)
+        assert wrappers.main_text(page, host_wrapper([page])) == "Title Some words of it.", names
+    for part in ("<article class='post search-result'>{}</article>",
+                 "<div class='content cookie-accepted'>{}</div>"):
+        page = frame.format("page", part.format(
+            "<p>Some words of it.</p><div class='comments'><p>First!</p></div>"))
+        assert wrappers.main_text(page, host_wrapper([page])) == "Some words of it.", part
+
+
+def test_alignment_is_a_longest_common_subsequence():
+    def longest(a, b):
+        best = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
+        for i in range(len(a)):
+            for j in range(len(b)):
+                best[i + 1][j + 1] = best[i][j] + 1 if a[i] == b[j] else \
+                    max(best[i][j + 1], best[i + 1][j])
+        return best[-1][-1]
+    rnd = random.Random(2)
+    for _ in range(300):
+        a, b = ("".join(rnd.choices("abcd", k=rnd.randint(0, 12))) for _ in range(2))
+        pairs = wrappers._aligned([{"s": x} for x in a], [{"s": x} for x in b])
+        assert "".join(x["s"] for x, _ in pairs if x) == a
+        assert "".join(y["s"] for _, y in pairs if y) == b
+        assert all(x["s"] == y["s"] for x, y in pairs if x and y)
+        assert sum(1 for x, y in pairs if x and y) == longest(a, b)

@@ -149,3 +149,11 @@ def in_batches(schema: pa.Schema, rows: Iterator[tuple], most: int = 4096,
 def only(df: DataFrame, *names: str) -> DataFrame:
     """The named columns of a table that may have others, in other order."""
     return df.select(*(F.col(f"`{n}`") for n in names))
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, with underscores before it until no column of the table has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name

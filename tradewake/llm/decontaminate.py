@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Stage, in_batches, mix, rows_of, word_hashes
+from .common import Stage, free_name, in_batches, mix, rows_of, word_hashes
 
 _BETWEEN = np.ones(256, dtype=bool)
 _BETWEEN[[*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80, 0x100)]] = False
@@ -309,6 +309,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, plan: Plan = Plan()) ->
 def clean_documents(docs: DataFrame, benchmark: DataFrame, plan: Plan = Plan()) -> DataFrame:
     """``docs`` without the documents that hold an item of the benchmark."""
     found = contaminated(docs, benchmark, plan).select(
-        F.col("doc_id").alias("__d"), F.col("t").alias("__t")).distinct()
-    return docs.join(found, F.col("doc_id").cast("long").eqNullSafe(F.col("__d"))
-                     & (F.xxhash64("text") == F.col("__t")), "left_anti")
+        F.col("doc_id").alias(d := free_name(docs, "__d")),
+        F.col("t").alias(t := free_name(docs, "__t"))).distinct()
+    return docs.join(found, F.col("doc_id").cast("long").eqNullSafe(F.col(d))
+                     & (F.xxhash64("text") == F.col(t)), "left_anti")

@@ -20,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Stage, in_batches, rows_of
+from .common import Stage, free_name, in_batches, rows_of
 
 _NULL_ID = -(1 << 63)
 _BLANK = re.compile(r"[ \t\r\x0b\x0c]*\Z")
@@ -183,7 +183,8 @@ def _clean(batches: Iterator[pa.RecordBatch], min_lines: int, min_words: int
 def dedup_lines(docs: DataFrame, min_lines: int = 1, min_words: int = 8) -> DataFrame:
     """All documents, ``text`` without later copies of repeated line runs.
 
-    Returns the columns of ``docs`` and ``__deleted``, ``__left``: the lines deleted and those not
+    Returns the columns of ``docs`` and ``__deleted``, ``__left`` (with one more underscore for a
+    column of ``docs`` that has the name): the lines deleted and those not
     deleted that aren't blank (1 for a text without repeated runs, which isn't counted). A run is
     deleted if it occurs at an earlier place, in order of ``doc_id`` and line, and has at least
     ``min_lines`` lines and ``min_words`` words. Lines are compared without trailing white space;
@@ -195,9 +196,12 @@ def dedup_lines(docs: DataFrame, min_lines: int = 1, min_words: int = 8) -> Data
     """
     stage = Stage(docs.sparkSession, "lines")
     runs = stage.save(repeated_runs(docs.select("doc_id", "text"), stage))
-    joined = _keyed(docs).join(
+    # The other columns go by number, so that no name of theirs can clash.
+    names = [c if c in ("doc_id", "text") else f"c{i}" for i, c in enumerate(docs.columns)]
+    joined = _keyed(docs.toDF(*names)).join(
         runs.select(F.col("d").alias("__d"), F.col("t").alias("__t"), F.col("runs").alias("__runs")),
-        ["__d", "__t"], "left").select(*(f"`{c}`" for c in docs.columns), "__runs")
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    return joined.mapInArrow(partial(_clean, min_lines=min_lines, min_words=min_words),
-                             f"{fields}, __deleted int, __left int")
+        ["__d", "__t"], "left").select(*names, "__runs")
+    fields = ", ".join(f"{n} {f.dataType.simpleString()}" for n, f in zip(names, docs.schema))
+    out = joined.mapInArrow(partial(_clean, min_lines=min_lines, min_words=min_words),
+                            f"{fields}, __deleted int, __left int")
+    return out.toDF(*docs.columns, free_name(docs, "__deleted"), free_name(docs, "__left"))

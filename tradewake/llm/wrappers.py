@@ -41,6 +41,7 @@ _CLOSES = {"li": ("li", {"ul", "ol", "menu"}), "dt": ("dt dd", {"dl"}), "dd": ("
            "th": ("td th", {"tr", "table"}), "option": ("option", {"select"})}
 _NO_TEXT = set("script style noscript template iframe svg canvas object embed nav footer aside form "
                "button select option textarea head title menu dialog map audio video".split())
+_WHOLE = {"html", "body", "main"}
 _SIDE_NAMES = re.compile(
     r"(?:^|[-_ .#])(?:ads?|adverts?|advertisements?|adsense|sponsor\w*|promo\w*|banners?|cookies?|"
     r"consent|gdpr|notices?|alerts?|popups?|modal|overlay|newsletter|subscribe|subscription|nav|"
@@ -220,19 +221,31 @@ def _merge(a: dict, b: dict, own: dict | None = None) -> dict:
 
 
 def _aligned(a: list[dict], b: list[dict]) -> list[tuple[dict | None, dict | None]]:
-    """Pairs of a longest common subsequence of symbols, the rest alone, in order."""
+    """Pairs of a longest common subsequence of symbols, the rest alone, in order.
+
+    Row ``i`` has a bit per symbol of ``b``, from the last one on: 0 where that symbol makes the
+    subsequence of what follows in both lists longer. A row is one operation on whole integers.
+    """
     m, n = len(a), len(b)
-    best = [[0] * (n + 1) for _ in range(m + 1)]
+    places: dict[str, int] = {}
+    for j, x in enumerate(b):
+        places[x["s"]] = places.get(x["s"], 0) | 1 << (n - 1 - j)
+    full = (1 << n) - 1
+    rows = [full] * (m + 1)
     for i in range(m - 1, -1, -1):
-        for j in range(n - 1, -1, -1):
-            best[i][j] = best[i + 1][j + 1] + 1 if a[i]["s"] == b[j]["s"] else \
-                max(best[i + 1][j], best[i][j + 1])
+        row = rows[i + 1]
+        hit = row & places.get(a[i]["s"], 0)
+        rows[i] = (row + hit | row - hit) & full
+
+    def longest(i: int, j: int) -> int:
+        return n - j - (rows[i] & (1 << (n - j)) - 1).bit_count()
+
     out, i, j = [], 0, 0
     while i < m and j < n:
         if a[i]["s"] == b[j]["s"]:
             out.append((a[i], b[j]))
             i, j = i + 1, j + 1
-        elif best[i + 1][j] >= best[i][j + 1]:
+        elif longest(i + 1, j) >= longest(i, j + 1):
             out.append((a[i], None))
             i += 1
         else:
@@ -253,8 +266,16 @@ def expression(w: dict) -> str:
 
 def _aside(symbol: str, in_article: bool) -> bool:
     name, _, names = symbol.partition(" ")
-    if name in _NO_TEXT or (names and _SIDE_NAMES.search(names)):
+    if name in _NO_TEXT:
         return True
+    if name in _WHOLE:  # names of a page's frame tell its layout, not what it is
+        return False
+    if names and _SIDE_NAMES.search(names):
+        # A part named as content is left out only by a name of its own, such as "comment", not by
+        # one that says something about it, such as "cookie-accepted".
+        content = name == "article" or _BODY_NAMES.search(names)
+        return not content or any(_SIDE_NAMES.fullmatch(x) for x in names.split()
+                                  if "-" not in x and "_" not in x)
     return not in_article and (name == "header" or bool(names and _HEADER.search(names)))
 
 
