@@ -149,3 +149,22 @@ def test_alignment_is_a_longest_common_subsequence():
         assert "".join(y["s"] for _, y in pairs if y) == b
         assert all(x["s"] == y["s"] for x, y in pairs if x and y)
         assert sum(1 for x, y in pairs if x and y) == longest(a, b)
+
+
+def test_constant_blocks_of_a_template_go_and_copies_stay():
+    rnd = random.Random(4)
+    page = ("<body><main><div class=welcome><p>Welcome to <b>Foo</b> Corp</p></div><h1>{}</h1>"
+            "<div class=text><p>{}</p><p>{}</p></div></main></body>")
+    own = [[" ".join(rnd.choices(["alpha", "beta", "gamma", "delta"], k=k)) + f" {i}"
+            for k in (3, 30, 20)] for i in range(30)]
+    pages = [page.format(*x) for x in own]
+    w = host_wrapper(pages)
+    for html_text, x in zip(pages, own):
+        assert wrappers.main_text(html_text, w) == " ".join(x)
+        alone = host_wrapper([html_text])  # without the host's wrapper nothing tells the template
+        assert wrappers.main_text(html_text, alone) == "Welcome to Foo Corp " + " ".join(x)
+    other = page.format(*own[0]).replace("Welcome to", "Farewell from")
+    assert wrappers.main_text(other, w).startswith("Farewell from Foo Corp")
+    copies = [pages[0]] * 30
+    assert wrappers.main_text(pages[0], host_wrapper(copies)) == \
+        "Welcome to Foo Corp " + " ".join(own[0])

@@ -12,6 +12,7 @@ it once more and its own texts in those parts are put out.
 
 from __future__ import annotations
 
+import hashlib
 import html as entities
 import json
 import re
@@ -156,16 +157,22 @@ def parse(page: str) -> Node:
 
 
 # A wrapper is a dict: "s" symbol, "c" children, "o" optional, "r" repeated, "t" the text of a
-# constant or None for a slot, "n" characters of text and "a" those in links.
+# constant (its hash if long) or None for a slot, "p" the pages that have it, "h" a hash of all
+# its text on a page or None if pages differ, "n" characters of text and "a" those in links.
+
+def _digest(text: str) -> str:
+    return hashlib.md5(text.encode("utf-8", "surrogatepass")).hexdigest()[:16]
+
 
 def _leaf(node: Node, in_link: bool, own: dict) -> dict:
     """The wrapper of one page part; ``own`` gets the page's nodes of each wrapper part."""
     symbol = node.symbol
-    w = {"s": symbol, "c": [], "o": 0, "r": 0, "t": None, "n": 0, "a": 0}
+    w = {"s": symbol, "c": [], "o": 0, "r": 0, "t": None, "h": None, "p": 1, "n": 0, "a": 0}
     own[id(w)] = [node]
     if node.text is not None:
         plain = " ".join(node.text.split())
-        w["t"] = plain if len(plain) <= 80 else None
+        w["t"] = plain if len(plain) <= 80 else "#" + _digest(plain)
+        w["h"] = _digest(plain)
         w["n"] = len(plain)
         w["a"] = len(plain) if in_link else 0
         return w
@@ -201,6 +208,12 @@ def _merge(a: dict, b: dict, own: dict | None = None) -> dict:
         own[id(a)] += own.pop(id(b))
     a["o"] |= b["o"]
     a["r"] |= b["r"]
+    if own is None:
+        a["p"] += b["p"]
+        if a["h"] != b["h"]:
+            a["h"] = None
+    elif a["h"]:  # within a page: the texts of all that is folded
+        a["h"] = _digest(a["h"] + b["h"])
     a["n"] += b["n"]
     a["a"] += b["a"]
     if a["t"] != b["t"]:
@@ -297,7 +310,7 @@ def judge(w: dict) -> dict:
 
     The outermost ``article`` parts; without one the ``main`` part, without that the part that is
     named as content, and otherwise the one with the most text outside links among its own children.
-    Menus, adverts, comments and the like are left out of all of these.
+    Menus, adverts, comments and the like are left out of all of these, and blocks of constant text.
     """
     kinds: dict[str, list[dict]] = {"article": [], "main": [], "named": []}
     masses: list[tuple[int, int, dict]] = []
@@ -320,13 +333,54 @@ def judge(w: dict) -> dict:
         [max(masses, key=lambda m: m[:2])[2]]
     for x in chosen:
         x["k"] = 1
+        _mark_constants(x)
     return w
 
 
+def _mark_constants(part: dict, least: int = 5, share: float = .8) -> None:
+    """Mark with ``d`` the blocks of a part that read the same wherever the part occurs.
+
+    They belong to the template: on ``share`` of the part's pages, ``least`` at the least, and not
+    repeated; headings stay. Where less than half of the part's text differs between pages, they are
+    copies of each other rather than pages of one template, and nothing is marked.
+    """
+    need = max(least, share * part["p"])
+    found: list[dict] = []
+    total = differs = 0
+
+    def constant(x: dict) -> bool:
+        if x["r"] or x["p"] < need or re.match(r"h[1-6]\b", x["s"]):
+            return False
+        return x["t"] is not None if x["s"] == "#text" else all(map(constant, x["c"]))
+
+    def visit(x: dict, inside: bool) -> None:
+        nonlocal total, differs
+        total += x["n"]
+        differs += x["n"] if x["s"] == "#text" and x["h"] is None else 0
+        for c in x["c"]:
+            if not _aside(c["s"], True):
+                block = not inside and c["s"].split(" ")[0] not in {"#text", *_INLINE}
+                template = block and constant(c)
+                if template:
+                    found.append(c)
+                visit(c, inside or template)
+
+    visit(part, bool(part["r"]))
+    if 2 * differs >= total:
+        for c in found:
+            c["d"] = 1
+
+
 def _words(x: dict) -> int:
     return x["n"] - x["a"] + sum(map(_words, x["c"]))
 
 
+def _same_text(w: dict, x: dict) -> bool:
+    """Whether a page's part holds just the constant texts of the wrapper's part."""
+    return w["t"] == x["t"] and [c["s"] for c in w["c"]] == [c["s"] for c in x["c"]] \
+        and all(map(_same_text, w["c"], x["c"]))
+
+
 def main_text(page: str | None, wrapper: dict) -> str:
     """The text of the page's parts that its host's wrapper marks."""
     if not page:
@@ -335,10 +389,13 @@ def main_text(page: str | None, wrapper: dict) -> str:
     own: dict[int, list[Node]] = {}
     shape = _leaf(tree, False, own)
     keep: set[int] = set()
+    drop: set[int] = set()
 
     def match(w: dict, x: dict) -> None:
         if w.get("k"):
             keep.update(id(n) for n in own[id(x)])
+        if w.get("d") and _same_text(w, x):
+            drop.update(id(n) for n in own[id(x)])
             return
         for a, b in _aligned(w["c"], x["c"]):
             if a is not None and b is not None:
@@ -362,7 +419,7 @@ def main_text(page: str | None, wrapper: dict) -> str:
                 run.append(node.text)
             return
         start = id(node) in keep
-        if kept and not start and _aside(node.symbol, True):
+        if kept and not start and (id(node) in drop or _aside(node.symbol, True)):
             end()
             return
         inline = node.symbol.split(" ")[0] in _INLINE
@@ -453,7 +510,9 @@ def extract(pages: DataFrame) -> DataFrame:
     ``pages`` has ``page_id, url, html``; other columns are ignored. Character references are
     decoded, white space within a block is one space, and blocks are joined in page order by one
     space. A null or empty page, or one without text, has an empty text; plain text without markup
-    is text. Broken and cut-off markup is read as far as it goes. A null url is a host of its own,
+    is text. A block that reads the same on most pages of its host is part of the template and left
+    out. Wrappers of a host depend on the order in which its pages are merged, where their child
+    lists align in more than one way. Broken and cut-off markup is read as far as it goes. A null url is a host of its own,
     repeated rows are extracted alike, and an empty table gives an empty table.
     """
     stage = Stage(pages.sparkSession, "wrappers")
