@@ -4,10 +4,11 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
-from tradewake.llm.decontaminate import (Plan, Screen, best_match, clean_documents, contaminated,
-                                         pairs_of, words_of)
+from tradewake.llm.decontaminate import (Index, Plan, Screen, _windows, best_match, clean_documents,
+                                         contaminated, pairs_of, parts_of, words_of)
 
 
 def words(text):
@@ -54,6 +55,64 @@ def corpus(seed):
     return items + [(90, None), (91, ""), (92, "...")], docs + [(500, None), (501, ""), (502, "!?")]
 
 
+class Held:
+    def __init__(self, value):
+        self.value = value
+
+
+def at_tolerance(rnd, item, n, kind):
+    """``n`` edits of one kind; new words are in no item."""
+    ws = list(item)
+    places = sorted(rnd.sample(range(len(ws)), n), reverse=True)
+    for k in places:
+        now = rnd.choice(["insert", "delete", "substitute"]) if kind == "mixed" else kind
+        new = [] if now == "delete" else [f"n{rnd.getrandbits(40)}"]
+        ws[k:k + (now != "insert")] = new
+    return ws
+
+
+@pytest.mark.parametrize("size", [5, 12, 25, 40, 41, 59, 80, 150, 300, 400])
+@pytest.mark.parametrize("kind", ["mixed", "insert", "delete", "substitute"])
+def test_recall_at_the_tolerance(size, kind):
+    """Share of pairs with as many edits as are allowed that the keys find and the distance keeps."""
+    rnd, plan, n = random.Random(size), Plan(), 40
+    items = [words_of(" ".join(f"w{rnd.randrange(3000)}" for _ in range(size))) for _ in range(n)]
+    rnd = random.Random(size)
+    texts = [[f"w{rnd.randrange(3000)}" for _ in range(size)] for _ in range(n)]
+    parts = [parts_of(w, plan) for w in items]
+    docs = [" ".join([f"x{rnd.getrandbits(40)}" for _ in range(30)]
+                     + at_tolerance(rnd, t, plan.edits(size), kind)
+                     + [f"y{rnd.getrandbits(40)}" for _ in range(30)]) for t in texts]
+    index = Index([(w.tobytes(), p) for w, p in zip(items, parts)])
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(n)), "t": [0] * n, "text": docs})
+    found = set()
+    for out in _windows(iter([batch]), plan, Held(index)):
+        for r in out.to_pylist():
+            if {k for p in parts[r["doc_id"]] for k in p["keys"]} & set(r["keys"]):
+                edits, _, _ = best_match(items[r["doc_id"]], np.frombuffer(r["window"], np.uint64))
+                if edits <= plan.edits(size):
+                    found.add(r["doc_id"])
+    assert len(found) >= 0.9 * n
+
+
+def test_long_items_and_long_documents(spark):
+    """An item of 25 parts is found whole in a text of 30,000 words and not where half is missing;
+    a text that repeats an item 400 times is one document. Blocks of items change nothing."""
+    rnd = random.Random(8)
+    long = [f"w{rnd.randrange(4000)}" for _ in range(1000)]
+    short = [f"v{i}" for i in range(30)]
+    filler = [f"f{rnd.randrange(9999)}" for _ in range(30_000)]
+    docs = [(1, " ".join(filler[:20_000] + at_tolerance(rnd, long, 200, "mixed") + filler[20_000:])),
+            (2, " ".join(filler[:100] + long[:500] + filler[100:200])),
+            (3, " ".join(short * 400)), (4, " ".join(filler))]
+    bench = [(7, " ".join(long)), (None, " ".join(short)), (9, " ".join(short[:20]))]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    items = spark.createDataFrame(bench, "item_id long, text string")
+    out = {limit: sorted((r.doc_id, r.item_id or 0, r.n_words) for r in contaminated(
+        df, items, Plan(filter_words=limit)).collect()) for limit in (2_000_000, 1500)}
+    assert out[1500] == out[2_000_000] == [(1, 7, 1000), (3, 0, 30), (3, 9, 20)]
+
+
 @pytest.mark.parametrize("limit", [2_000_000, 0])
 def test_against_all_stretches(spark, limit):
     items, docs = corpus(3)
