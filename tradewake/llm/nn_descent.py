@@ -434,8 +434,8 @@ def near_vectors(table: DataFrame, at_least: float = 0.9, widest: int = 48, bloc
     the other vectors linked directly, equal ones included. A component is named by its least
     ``vec_id``, and that vector is kept. Vectors that are null, empty or zero or hold a null or a
     number that isn't finite link with nothing, and so do vectors of different length. Rows that
-    repeat an id and its vector count once; rows without an id are ignored; an empty table gives an
-    empty table.
+    repeat an id and its vector count as one partner, and each of them has its row in the result;
+    rows without an id are ignored; an empty table gives an empty table.
     """
     stage = Stage(table.sparkSession, "vectors")
     units = stage.save(table.select(F.col("vec_id").cast("long").alias("vec_id"), "embedding")
