@@ -1,6 +1,7 @@
 import json
 import time
 from decimal import Decimal
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -17,8 +18,8 @@ from tradewake.sources.dims import DimStore
 from tradewake.sources.topics import FileTopics, topic_table
 from tradewake.streaming import jobs
 from tradewake.streaming.late import start_with_late
-from tradewake.streaming.run import (TRACK_ROWS, LateRows, drain, finish, start_batches,
-                                     stream_settings)
+from tradewake.streaming.run import (TRACK_ROWS, LateRows, drain, drain_to_folder, finish,
+                                     start_batches, stream_settings)
 from tradewake.streaming.visitors import logs_beside_first_days, repair_batch
 
 HOUR = 3_600_000
@@ -418,6 +419,19 @@ def test_payment_job_runs_no_batch_without_input(spark, topics, tmp_path):
     assert [(r.payment_id, r.order_id) for r in pw.collect()] == [(5, 1)]
 
 
+def test_drained_join_runs_no_batch_without_input(spark, topics):
+    at = "2021-06-18 11:00:00"
+    put(spark, topics, C.TOPIC_ORDER_INFO, [order_text(1, at)])
+    put(spark, topics, C.TOPIC_ORDER_DETAIL, [detail_text(10, 1, at)])
+    joined = wide.order_wide(*(
+        parse_rows(topics.read_stream(spark, t), schema).drop("_corrupt")
+        for t, schema in ((C.TOPIC_ORDER_INFO, S.ORDER_INFO), (C.TOPIC_ORDER_DETAIL, S.ORDER_DETAIL))))
+    folder = drain_to_folder(spark, joined, "ow", empty_batches=False)
+    assert spark.read.parquet(folder).count() == 1
+    commits = Path(folder.removeprefix("file:")).parent / "checkpoint/commits"
+    assert [p.name for p in commits.glob("[0-9]*")] == ["0"]
+
+
 def test_topics_of_the_queries_are_compressed(spark):
     rows = spark.createDataFrame([("x",)], "value string")
     topics = queries._topics(spark, t=rows)
