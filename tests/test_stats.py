@@ -118,3 +118,14 @@ def test_stop_words(spark):
     df = spark.createDataFrame([("The shoe of it",)], "t string")
     assert [r.keyword for r in explode_words(df, "t", stop_words=("the", "of")).collect()] == [
         "shoe", "it"]
+
+
+def test_distinct_orders_cost_one_shuffle_more_than_sums(spark):
+    orders = rows(spark, ORDER_WIDE, *[
+        dict(sku_id=7, order_id=o, sku_num=1, split_total_amount=Decimal("1.00"),
+             create_time="1970-01-01 08:00:03") for o in (1, 1, 2, None)])
+    out = stats.product_stats(order_wide=orders)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 2
+    (row,) = out.collect()
+    assert (row.order_ct, row.order_sku_num, row.order_amount) == (2, 4, Decimal("4.00"))

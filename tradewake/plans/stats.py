@@ -48,16 +48,17 @@ def visitor_stats(page: DataFrame, unique_visits: DataFrame, bounces: DataFrame,
 
 
 def count_ids_once(rows: DataFrame, count: str) -> DataFrame:
-    """Windowed measure rows in which ``count`` is the distinct ``_id`` per window and SKU.
+    """Windowed measure rows whose ``count`` adds up to the distinct ``_id`` per window and SKU.
 
-    In batch a distinct aggregate, which Spark plans with a first shuffle that includes the
-    id, so a hot SKU is spread. In a stream rows pass on as they are and a deduplicated copy
-    carries the count, since streams have no distinct aggregates; state goes when the window
-    closes.
+    In batch one row per window, SKU and id, which spreads a hot SKU; the rows of a SKU are left to
+    the sums that follow, so that they are shuffled for these alone. In a stream rows pass on as
+    they are and a deduplicated copy carries the count, since streams have no distinct aggregates;
+    state goes when the window closes.
     """
     if not rows.isStreaming:
         sums = [F.sum(c).alias(c) for c in rows.columns if c not in ("_w", "sku_id", "_id")]
-        return rows.groupBy("_w", "sku_id").agg(*sums, F.count_distinct("_id").alias(count))
+        one = F.when(F.col("_id").isNotNull(), 1).otherwise(0).cast("bigint")
+        return rows.groupBy("_w", "sku_id", "_id").agg(*sums).withColumn(count, one).drop("_id")
     ids = rows.filter(F.col("_id").isNotNull()).select("_w", "sku_id", "_id")
     once = ids.dropDuplicates(["_w", "sku_id", "_id"])
     counted = once.select("_w", "sku_id", F.lit(1).cast("bigint").alias(count))
