@@ -30,7 +30,7 @@ from tradewake.sources.topics import FileTopics
 from tradewake.streaming import jobs
 from tradewake.streaming.late import start_with_late
 from tradewake.streaming.run import (drain, drain_to_folder, finish, start_batches,
-                                     state_rows, stream_settings)
+                                     state_parts, state_rows, stream_settings)
 from tradewake.streaming.visitors import logs_beside_first_days, repair_batch
 
 BOUNCE_S = 4 * 3600
@@ -388,6 +388,11 @@ def snake_to_camel(spark, sf):
 # or deadline the watermark has not passed stay in state, and the SQL leaves them out too.
 
 
+def _parts(spark, sf, *names):
+    """Parts of state for a stream that holds all rows of these tables."""
+    return state_parts(spark, sum(m.table(spark, sf, n).count() for n in names))
+
+
 @query
 def stream_bounces(spark, sf):
     p = m.page_log(m.stream(spark, sf, "events"))
@@ -450,7 +455,7 @@ def stream_order_wide(spark, sf):
         m.order_detail(m.stream(spark, sf, "lineitem")), -MONTH_MS, MONTH_MS)
     return drain(spark, doubles(joined.select(
         "detail_id", "order_id", "sku_id", "order_price", "create_time")), "order_wide",
-        empty_batches=False)
+        empty_batches=False, partitions=_parts(spark, sf, "orders", "lineitem"))
 
 
 @query
@@ -458,7 +463,7 @@ def stream_payment_wide(spark, sf):
     events = m.stream(spark, sf, "events")
     paid = wide.payment_wide(m.payment_info(events), m.clicked_orders(events), LOOKBACK_S)
     return drain(spark, paid.select("payment_id", "detail_id", "order_id"), "payment_wide",
-                 empty_batches=False)
+                 empty_batches=False, partitions=_parts(spark, sf, "events"))
 
 
 @query

@@ -18,8 +18,9 @@ from tradewake.sources.dims import DimStore
 from tradewake.sources.topics import FileTopics, topic_table
 from tradewake.streaming import jobs
 from tradewake.streaming.late import start_with_late
-from tradewake.streaming.run import (TRACK_ROWS, LateRows, drain, drain_to_folder, finish,
-                                     start_batches, stream_settings)
+from tradewake.streaming.run import (PART_ROWS, PARTITIONS, TRACK_ROWS, LateRows, drain,
+                                     drain_to_folder, finish, start_batches, state_parts,
+                                     stream_settings)
 from tradewake.streaming.visitors import logs_beside_first_days, repair_batch
 
 HOUR = 3_600_000
@@ -432,6 +433,27 @@ def test_drained_join_runs_no_batch_without_input(spark, topics):
     assert [p.name for p in commits.glob("[0-9]*")] == ["0"]
 
 
+def test_drained_join_keeps_one_store_in_as_many_parts_as_told(spark, topics):
+    at = "2021-06-18 11:00:00"
+    put(spark, topics, C.TOPIC_ORDER_INFO, [order_text(1, at), order_text(2, at)])
+    put(spark, topics, C.TOPIC_ORDER_DETAIL, [detail_text(10, 1, at)])
+    joined = wide.order_wide(*(
+        parse_rows(topics.read_stream(spark, t), schema).drop("_corrupt")
+        for t, schema in ((C.TOPIC_ORDER_INFO, S.ORDER_INFO), (C.TOPIC_ORDER_DETAIL, S.ORDER_DETAIL))))
+    folder = drain_to_folder(spark, joined, "ow", empty_batches=False, partitions=3)
+    assert [r.order_id for r in spark.read.parquet(folder).collect()] == [1]
+    state = Path(folder.removeprefix("file:")).parent / "checkpoint/state/0"
+    assert sorted(p.name for p in state.glob("[0-9]*")) == ["0", "1", "2"]
+    assert not [p for p in state.glob("[0-9]*/*") if p.is_dir() and "keyTo" in p.name]
+
+
+def test_state_parts_grow_with_the_rows(spark):
+    session = int(spark.conf.get(PARTITIONS))
+    assert state_parts(spark, 10) == session
+    assert state_parts(spark, 5 * session * PART_ROWS) == 5 * session
+    assert state_parts(spark, 5 * session * PART_ROWS + 1) == 5 * session + 1
+
+
 def test_topics_of_the_queries_are_compressed(spark):
     rows = spark.createDataFrame([("x",)], "value string")
     topics = queries._topics(spark, t=rows)

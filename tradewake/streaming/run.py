@@ -18,6 +18,16 @@ PARTITIONS = "spark.sql.shuffle.partitions"
 EMPTY_BATCHES = "spark.sql.streaming.noDataMicroBatches.enabled"
 # Counting a store's rows for the progress reports costs a read before every write and delete.
 TRACK_ROWS = "spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows"
+# A join's part of state in one store; by default it is four, each committed by itself.
+JOIN_FORMAT, ONE_STORE = "spark.sql.streaming.join.stateFormatVersion", "3"
+# Rows of state beyond which a store's reads and writes get slow: its write buffer holds these.
+PART_ROWS = 150_000
+
+
+def state_parts(spark: SparkSession, rows: int) -> int:
+    """Parts of state for a stream that takes in about ``rows`` before the watermark lets go of
+    any: as many as the session shuffles with, more if they would be too large."""
+    return max(int(spark.conf.get(PARTITIONS)), -(-rows // PART_ROWS))
 
 
 @contextmanager
@@ -30,7 +40,7 @@ def stream_settings(spark: SparkSession, partitions: int | None = None,
     Without ``empty_batches`` no micro-batch runs on the watermark alone. For inner joins: it
     would put out nothing and only delete state, which the next one with input does as well.
     """
-    wanted = {PROVIDER: SETTINGS[PROVIDER], TRACK_ROWS: "false"}
+    wanted = {PROVIDER: SETTINGS[PROVIDER], TRACK_ROWS: "false", JOIN_FORMAT: ONE_STORE}
     if not empty_batches:
         wanted[EMPTY_BATCHES] = "false"
     if partitions:
@@ -127,13 +137,13 @@ def finish(query: StreamingQuery, seconds: int | None = None) -> None:
 
 
 def drain_to_folder(spark: SparkSession, df: DataFrame, name: str, seconds: int | None = None,
-                    empty_batches: bool = True) -> str:
+                    empty_batches: bool = True, partitions: int | None = None) -> str:
     """Run a stream over all present input; the parquet folder of what it appended.
 
     Results and checkpoint are written below the cluster's shared checkpoint folder.
     """
     base = shared_dir(spark, name)
-    with stream_settings(spark, empty_batches=empty_batches):
+    with stream_settings(spark, partitions, empty_batches):
         query = (
             df.writeStream.format("parquet").outputMode("append")
             .option("checkpointLocation", f"{base}/checkpoint")
@@ -144,9 +154,9 @@ def drain_to_folder(spark: SparkSession, df: DataFrame, name: str, seconds: int
 
 
 def drain(spark: SparkSession, df: DataFrame, name: str, seconds: int | None = None,
-          empty_batches: bool = True) -> DataFrame:
+          empty_batches: bool = True, partitions: int | None = None) -> DataFrame:
     """As :func:`drain_to_folder`, read back."""
-    folder = drain_to_folder(spark, df, name, seconds, empty_batches)
+    folder = drain_to_folder(spark, df, name, seconds, empty_batches, partitions)
     return spark.read.schema(df.schema).parquet(folder)
 
 
