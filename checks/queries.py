@@ -571,7 +571,7 @@ def job_payment_wide(spark, sf):
     topics = _topics(spark, **{
         C.TOPIC_PAYMENT_INFO: to_values(m.paid_orders(m.table(spark, sf, "orders"))),
         C.TOPIC_ORDER_WIDE: to_values(m.shipped_orders(m.table(spark, sf, "lineitem")))})
-    with stream_settings(spark):
+    with stream_settings(spark, _parts(spark, sf, "orders", "lineitem")):
         started = jobs.payment_wide_job(spark, topics, shared_dir(spark, "checkpoint"), once=True,
                                         lookback_s=MONTH_MS // 1000)
     finish(started)
@@ -596,7 +596,7 @@ def job_order_wide(spark, sf):
               "category": m.categories(m.table(spark, sf, "nation"))}
     for name, rows in tables.items():
         dims.write(name, rows, ["ID"])
-    with stream_settings(spark):
+    with stream_settings(spark, _parts(spark, sf, "orders", "lineitem")):
         started = jobs.order_wide_job(
             spark, topics, shared_dir(spark, "checkpoint"), lambda: wide.order_dimensions(
                 *(dims.cached(n) for n in tables), as_of=F.lit("2024-01-01").cast("date")),

@@ -454,6 +454,22 @@ def test_state_parts_grow_with_the_rows(spark):
     assert state_parts(spark, 5 * session * PART_ROWS + 1) == 5 * session + 1
 
 
+def test_payment_query_sizes_its_state(spark, tmp_path, monkeypatch):
+    orders = spark.sql("""SELECT 1L o_orderkey, 2L o_custkey, 9.5D o_totalprice, 'O' o_orderstatus,
+                          TIMESTAMP '2021-06-01' o_orderdate""")
+    items = spark.sql("""SELECT 1L l_orderkey, 3L l_partkey, id l_linenumber, 2D l_quantity,
+                         9.5D l_extendedprice, TIMESTAMP '2021-06-10' l_shipdate FROM range(9)""")
+    orders.write.parquet(str(tmp_path / "orders.parquet"))
+    items.write.parquet(str(tmp_path / "lineitem.parquet"))
+    monkeypatch.setattr("tradewake.streaming.run.PART_ROWS", 1)
+    used = []
+    job = jobs.payment_wide_job
+    monkeypatch.setattr(jobs, "payment_wide_job", lambda *a, **k: used.append(
+        int(spark.conf.get(PARTITIONS))) or job(*a, **k))
+    assert queries.job_payment_wide(spark, str(tmp_path)).count() == 9
+    assert used == [max(10, int(spark.conf.get(PARTITIONS)))]
+
+
 def test_topics_of_the_queries_are_compressed(spark):
     rows = spark.createDataFrame([("x",)], "value string")
     topics = queries._topics(spark, t=rows)
