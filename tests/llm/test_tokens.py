@@ -10,9 +10,10 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from tradewake.llm import tokens
 from tradewake.llm.common import Stage
 from tradewake.llm.packing import Capacity, best_fit, pack, pack_documents
-from tradewake.llm.tokens import encoder
+from tradewake.llm.tokens import Encoder, encoder
 from tradewake.llm.wavelet import WaveletMatrix, look_up, read_documents, write_shards
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
@@ -52,6 +53,20 @@ def test_same_ids_for_plain_text(texts):
     assert got == [whole(t) for t in texts]
 
 
+def test_new_words_take_the_model_alone():
+    text = "It's naïve: 42 o'clock, ÉCOLE ßàÿ!?"
+    enc, ids = Encoder(PATH), whole(text)
+    enc.tokenizer = None
+    assert np.frombuffer(next(enc.encode([text])), dtype="<u4").tolist() == ids
+
+
+def test_remembered_words_are_bounded_within_a_text(monkeypatch):
+    monkeypatch.setattr(tokens, "MOST_KEYS", 50)
+    text, enc = " ".join(f"wort{chr(97 + i // 20)}é{chr(97 + i % 20)}" for i in range(400)), Encoder(PATH)
+    assert np.frombuffer(next(enc.encode([text])), dtype="<u4").tolist() == whole(text)
+    assert len(enc.known) <= 50
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.integers(0, 60), max_size=1500), st.integers(0, 63))
 def test_wavelet_matrix(ids, symbol):

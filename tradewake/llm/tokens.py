@@ -1,8 +1,8 @@
 """Token ids of whole texts with a public tokenizer file, word by word with a memory.
 
 The tokenizer's own pre-tokenizer cuts a text into words that are encoded one by one, so equal words
-have equal ids. Words repeat a lot: each worker lets the library encode a word once and keeps the
-ids. Text of plain letters, digits and punctuation is cut here as the pre-tokenizer does it; any
+have equal ids. Words repeat a lot: each worker lets the library's model encode a word once and keeps
+the ids. Text of plain letters, digits and punctuation is cut here as the pre-tokenizer does it; any
 other white-space separated chunk goes to the library whole. Tests compare with whole texts.
 """
 
@@ -10,8 +10,7 @@ from __future__ import annotations
 
 import os
 import re
-from collections.abc import Iterable, Iterator
-from itertools import islice
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 
@@ -24,41 +23,45 @@ _PLAIN = re.compile(r"[\t-\r -~À-ÖØ-öø-ÿ]*\Z")
 _CHUNKS = re.compile(r"[^\t-\r ]+")
 
 
+class _Known(dict):
+    """Ids by word or chunk; one that is missing is encoded, and kept unless it is long."""
+
+    def __init__(self, ids_of: Callable[[str], bytes]):
+        super().__init__()
+        self.ids_of = ids_of
+
+    def __missing__(self, key: str) -> bytes:
+        ids = self.ids_of(key)
+        if len(key) <= LONG_KEY:
+            if len(self) >= MOST_KEYS:
+                self.clear()
+            self[key] = ids
+        return ids
+
+
 class Encoder:
     """Ids as little-endian unsigned 32-bit integers."""
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel
         self.tokenizer = Tokenizer.from_file(path)
-        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
-        #: Ids that end a word.
-        self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
-        self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
-        self.known: dict[str, bytes] = {}
-
-    def _ids(self, texts: list[str]) -> list[np.ndarray]:
-        return [np.array(e.ids, dtype="<u4") for e in
-                self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def _look_up(self, keys: list[str]) -> Iterator[tuple[str, bytes]]:
-        plain = [k for k in keys if k[:2] != "<|" and _WORDS.fullmatch(k)]
-        for at in range(0, len(plain), 2048):
-            part = plain[at:at + 2048]
-            # Many words as one text; the ids that end a word tell them apart.
-            ids = self._ids([" ".join(part)])[0]
-            cuts = (np.flatnonzero(self.ends[ids]) + 1) * 4
-            if len(cuts) == len(part) and len(ids) * 4 == cuts[-1]:
-                raw, start = ids.tobytes(), 0
-                for key, end in zip(part, cuts.tolist()):
-                    yield key, raw[start:end]
-                    start = end
-            else:
-                yield from zip(part, (i.tobytes() for i in self._ids(part)))
-        other = list(set(keys).difference(plain))
-        for at in range(0, len(other), 2048):
-            part = other[at:at + 2048]
-            yield from zip(part, (i.tobytes() for i in self._ids(part)))
+        self.model = self.tokenizer.model
+        self.raw = np.arange(max(self.tokenizer.get_vocab(with_added_tokens=True).values()) + 1,
+                             dtype="<u4").tobytes()
+        letters = ByteLevel(add_prefix_space=False, use_regex=False)
+        #: Accented letters as the model sees their bytes; ASCII stays as it is.
+        self.seen_as = {c: letters.pre_tokenize_str(chr(c))[0][0] for c in range(0xDF, 0x100)}
+        self.known = _Known(self._ids)
+
+    def _ids(self, key: str) -> bytes:
+        if key[:2] != "<|" and _WORDS.fullmatch(key):
+            # A word of its own to the pre-tokenizer, so the model alone is left to do.
+            word = key if key.isascii() else key.translate(self.seen_as)
+            return b"".join([self.raw[4 * t.id:4 * t.id + 4] for t in self.model.tokenize(word)])
+        found = self.tokenizer.encode_batch_fast([key], add_special_tokens=False)[0]
+        return np.array(found.ids, dtype="<u4").tobytes()
 
     @staticmethod
     def _keys(text: str) -> list[str]:
@@ -72,20 +75,9 @@ class Encoder:
                 keys.append(chunk)
         return keys
 
-    def encode(self, texts: list[str | None]) -> Iterator[bytes]:
-        split = [self._keys(t or "") for t in texts]
-        unseen = set().union(*split).difference(self.known)
-        if len(self.known) + len(unseen) > MOST_KEYS:
-            self.known.clear()
-            unseen = set().union(*split)
-        found = dict(self._look_up(list(unseen)))
-        long = {k: found.pop(k) for k in list(found) if len(k) > LONG_KEY}
-        self.known |= found
-        for keys in split:
-            if long and not long.keys().isdisjoint(keys):
-                yield b"".join(long[k] if k in long else self.known[k] for k in keys)
-            else:
-                yield b"".join(map(self.known.__getitem__, keys))
+    def encode(self, texts: Iterable[str | None]) -> Iterator[bytes]:
+        for text in texts:
+            yield b"".join(map(self.known.__getitem__, self._keys(text or "")))
 
 
 _ENCODERS: dict[str, Encoder] = {}
@@ -98,12 +90,9 @@ def encoder(path: str) -> Encoder:
     return _ENCODERS[path]
 
 
-def encoded(rows: Iterable[tuple], path: str, end_id: int, at_once: int = 256
-            ) -> Iterator[tuple]:
+def encoded(rows: Iterable[tuple], path: str, end_id: int) -> Iterator[tuple]:
     """``(key, text)`` rows to ``(key, ids)``: ids of the whole text and the end id, as bytes."""
     last = np.array([end_id], dtype="<u4").tobytes()
     enc = encoder(path)
-    rows = iter(rows)
-    while part := list(islice(rows, at_once)):
-        for (key, _), ids in zip(part, enc.encode([t for _, t in part])):
-            yield key, ids + last
+    for key, text in rows:
+        yield key, next(enc.encode([text])) + last
