@@ -211,6 +211,25 @@ def test_product_stats_count_orders_once(spark, topics):
     assert got == [("03:00:00", 2, 8, Decimal("6.00")), ("03:00:10", 1, 2, Decimal("1.50"))]
 
 
+def test_product_stats_job_holds_one_state(spark, topics):
+    def line(at, **more):
+        return json.dumps({"sku_id": 1, "order_id": 5, "create_time": f"2021-06-18 {at}", **more})
+    put(spark, topics, C.TOPIC_ORDER_WIDE,
+        [line("11:00:01", sku_num=2, split_total_amount=1.5)],
+        [line("11:00:02", sku_num=3, split_total_amount=1.5), line("12:00:00")])
+    put(spark, topics, C.TOPIC_REFUND_INFO,
+        [line("11:00:03", refund_amount=1.0), line("11:00:03", refund_amount=2.0, order_id=6)],
+        [line("11:00:04", refund_amount=4.0, order_id=None), line("12:00:00")])
+    query = jobs.product_stats_job(spark, topics, shared_dir(spark, "ck"),
+                                   inputs=("order_wide", "refund"), once=True)
+    finish(query)
+    assert len(query.lastProgress["stateOperators"]) == 1
+    found = [json.loads(r.value) for r in spark.read.text(
+        topics.path(C.TOPIC_PRODUCT_STATS)).collect()]
+    assert [(r["order_ct"], r["order_sku_num"], r["order_amount"], r["refund_order_ct"],
+             r["refund_amount"], r["paid_order_ct"]) for r in found] == [(1, 5, 3.0, 2, 7.0, 0)]
+
+
 def test_topic_as_sql_table(spark, topics):
     put(spark, topics, C.TOPIC_PAGE_LOG,
         [page_text("a", 12_345, page_id="good_list", item="red shoe")],
