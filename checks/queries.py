@@ -29,8 +29,8 @@ from tradewake.sources.dims import DimStore, part_of
 from tradewake.sources.topics import FileTopics
 from tradewake.streaming import jobs
 from tradewake.streaming.late import start_with_late
-from tradewake.streaming.run import (drain, drain_to_folder, finish, start_batches,
-                                     state_parts, state_rows, stream_settings)
+from tradewake.streaming.run import (drain, drain_to_folder, finish, release_shuffles,
+                                     start_batches, state_parts, state_rows, stream_settings)
 from tradewake.streaming.visitors import logs_beside_first_days, repair_batch
 
 BOUNCE_S = 4 * 3600
@@ -471,7 +471,9 @@ def stream_product_stats(spark, sf):
     lineitem = m.stream(spark, sf, "lineitem")
     parts = stats.product_parts(order_wide=m.line_orders(lineitem),
                                 refund=m.line_refunds(lineitem), window="1 day")
-    closed = drain(spark, parts, "product_stats", partitions=_parts(spark, sf, "lineitem"))
+    closed = drain(spark, parts, "product_stats", partitions=_parts(spark, sf, "lineitem"),
+                   unload=True)
+    release_shuffles(spark)  # of the stream; the totals have a shuffle of their own
     counted = stats.product_totals(closed, as_of_ms=AS_OF_MS)
     return doubles(counted.select(
         "stt", "edt", "sku_id", "order_ct", "order_sku_num", "order_amount",

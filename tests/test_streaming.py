@@ -3,6 +3,7 @@ import time
 from decimal import Decimal
 from pathlib import Path
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -18,7 +19,7 @@ from tradewake.sources.dims import DimStore
 from tradewake.sources.topics import FileTopics, topic_table
 from tradewake.streaming import jobs
 from tradewake.streaming.late import start_with_late
-from tradewake.streaming.run import (PART_ROWS, PARTITIONS, TRACK_ROWS, LateRows, drain,
+from tradewake.streaming.run import (FILES, PART_ROWS, PARTITIONS, TRACK_ROWS, UNLOAD, LateRows, drain,
                                      drain_to_folder, finish, start_batches, state_parts,
                                      stream_settings)
 from tradewake.streaming.visitors import logs_beside_first_days, repair_batch
@@ -494,3 +495,40 @@ def test_topics_of_the_queries_are_compressed(spark):
     topics = queries._topics(spark, t=rows)
     files = [f for f in topics.read(spark, "t").inputFiles() if "part-" in f]
     assert files and all(f.endswith(".lz4") for f in files)
+
+
+def test_stream_settings_pack_the_files_of_the_state(spark):
+    before = {k: spark.conf.get(k, None) for k in (*FILES, *UNLOAD)}
+    with stream_settings(spark):
+        assert spark.conf.get("spark.sql.streaming.stateStore.rocksdb.compression") == "zstd"
+        assert {k: spark.conf.get(k, None) for k in UNLOAD} == {k: before[k] for k in UNLOAD}
+    with stream_settings(spark, unload=True):
+        assert spark.conf.get("spark.sql.streaming.stateStore.unloadOnCommit") == "true"
+    assert {k: spark.conf.get(k, None) for k in before} == before
+
+
+def product_tables(spark, folder):
+    """Tables of product statistics: line items of six days around the events of two."""
+    at = "TIMESTAMP '2000-01-01' + make_dt_interval"
+    for name, sql in {
+        "events": f"""SELECT id event_id, {at}(8766 + id % 2, id % 5) ts, id % 3 user_id, 1.5D value,
+                          element_at(array('view', 'click', 'signup', 'purchase', 'error'),
+                                     1 + int(id % 5)) event_type, '{{"k": 4}}' props
+                      FROM range(20)""",
+        "lineitem": f"""SELECT id % 9 l_orderkey, 4 + id % 2 l_partkey, 2D l_quantity, 3D l_extendedprice,
+                            if(id % 2 = 0, 'F', 'O') l_linestatus, if(id % 3 = 0, 'R', 'N') l_returnflag,
+                            if(id = 35, NULL, {at}(id % 6 - 3)) l_shipdate FROM range(36)""",
+        "part": "SELECT 4L p_partkey, 'red shoe' p_name, 9D p_retailprice, 3 p_size",
+        "supplier": "SELECT 4L s_suppkey, 's' s_name",
+        "region": "SELECT 1L r_regionkey, 'r' r_name",
+        "nation": "SELECT 1L n_nationkey, 'n' n_name",
+    }.items():
+        pq.write_table(spark.sql(sql).toArrow(), f"{folder}/{name}.parquet")
+    return str(folder)
+
+
+def test_product_stream_unloads_its_stores(spark, tmp_path, monkeypatch):
+    told = []
+    monkeypatch.setattr(queries, "drain", lambda *a, **k: told.append(k["unload"]) or drain(*a, **k))
+    assert queries.stream_product_stats(spark, product_tables(spark, tmp_path)).count() > 0
+    assert told == [True]

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import threading
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
@@ -20,6 +21,15 @@ EMPTY_BATCHES = "spark.sql.streaming.noDataMicroBatches.enabled"
 TRACK_ROWS = "spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows"
 # A join's part of state in one store; by default it is four, each committed by itself.
 JOIN_FORMAT, ONE_STORE = "spark.sql.streaming.join.stateFormatVersion", "3"
+# A store's files lie on the executor's disk and in the checkpoint, and a part writes most of them
+# once: packed tightly, in large blocks, without space set aside. The write buffer holds a part of
+# PART_ROWS rows, so that those of a micro-batch are not looked up in blocks on disk.
+ROCKSDB = "spark.sql.streaming.stateStore.rocksdb"
+FILES = {f"{ROCKSDB}.compression": "zstd", f"{ROCKSDB}.blockSizeKB": "64",
+         f"{ROCKSDB}.allowFAllocate": "false", f"{ROCKSDB}.writeBufferSizeMB": "128"}
+# A store's local files go once its part is committed, and versions before the last two as well.
+UNLOAD = {"spark.sql.streaming.stateStore.unloadOnCommit": "true",
+          "spark.sql.streaming.minBatchesToRetain": "2"}
 # Rows of state beyond which a store's reads and writes get slow: its write buffer holds these.
 PART_ROWS = 150_000
 
@@ -32,15 +42,21 @@ def state_parts(spark: SparkSession, rows: int) -> int:
 
 @contextmanager
 def stream_settings(spark: SparkSession, partitions: int | None = None,
-                    empty_batches: bool = True) -> Iterator[None]:
+                    empty_batches: bool = True, unload: bool = False) -> Iterator[None]:
     """Settings a stream takes over when it starts: RocksDB state, and ``partitions`` of it if
     given, else as many as the session shuffles with. The number is fixed by the first start.
     Afterwards the session is as it was.
 
     Without ``empty_batches`` no micro-batch runs on the watermark alone. For inner joins: it
     would put out nothing and only delete state, which the next one with input does as well.
+
+    ``unload`` is for few micro-batches of much input each: the executors' disks hold the state that
+    tasks work on, not all of it. Every micro-batch reads its state from the checkpoint then, which
+    keeps two versions. Spark does so for aggregations, not for joins.
     """
-    wanted = {PROVIDER: SETTINGS[PROVIDER], TRACK_ROWS: "false", JOIN_FORMAT: ONE_STORE}
+    wanted = {PROVIDER: SETTINGS[PROVIDER], TRACK_ROWS: "false", JOIN_FORMAT: ONE_STORE, **FILES}
+    if unload:
+        wanted |= UNLOAD
     if not empty_batches:
         wanted[EMPTY_BATCHES] = "false"
     if partitions:
@@ -136,14 +152,22 @@ def finish(query: StreamingQuery, seconds: int | None = None) -> None:
         raise TimeoutError(f"stream did not end within {seconds} s")
 
 
+def release_shuffles(spark: SparkSession) -> None:
+    """Have the files of shuffles deleted that nothing needs any more. Spark does so once the
+    driver has collected what refers to them, which a driver with little to do puts off for long."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def drain_to_folder(spark: SparkSession, df: DataFrame, name: str, seconds: int | None = None,
-                    empty_batches: bool = True, partitions: int | None = None) -> str:
+                    empty_batches: bool = True, partitions: int | None = None,
+                    unload: bool = False) -> str:
     """Run a stream over all present input; the parquet folder of what it appended.
 
     Results and checkpoint are written below the cluster's shared checkpoint folder.
     """
     base = shared_dir(spark, name)
-    with stream_settings(spark, partitions, empty_batches):
+    with stream_settings(spark, partitions, empty_batches, unload):
         query = (
             df.writeStream.format("parquet").outputMode("append")
             .option("checkpointLocation", f"{base}/checkpoint")
@@ -154,9 +178,10 @@ def drain_to_folder(spark: SparkSession, df: DataFrame, name: str, seconds: int
 
 
 def drain(spark: SparkSession, df: DataFrame, name: str, seconds: int | None = None,
-          empty_batches: bool = True, partitions: int | None = None) -> DataFrame:
+          empty_batches: bool = True, partitions: int | None = None,
+          unload: bool = False) -> DataFrame:
     """As :func:`drain_to_folder`, read back."""
-    folder = drain_to_folder(spark, df, name, seconds, empty_batches, partitions)
+    folder = drain_to_folder(spark, df, name, seconds, empty_batches, partitions, unload)
     return spark.read.schema(df.schema).parquet(folder)
 
 
