@@ -1,5 +1,6 @@
 import json
 import time
+import zipfile
 from decimal import Decimal
 from pathlib import Path
 
@@ -497,6 +498,25 @@ def test_topics_of_the_queries_are_compressed(spark):
     assert files and all(f.endswith(".lz4") for f in files)
 
 
+def packed(checkpoint):
+    """Whether the stores of a checkpoint compress their files with zstd."""
+    versions = list(checkpoint.glob("state/0/*/*.zip"))
+    for path in versions:
+        with zipfile.ZipFile(path) as z:
+            name = next(n for n in z.namelist() if "OPTIONS" in n)
+            if b" compression=kZSTD" not in z.read(name):
+                return False
+    return bool(versions)
+
+
+def test_order_job_packs_its_state(spark, topics, tmp_path):
+    at, checkpoint = "2021-06-18 11:00:00", tmp_path / "checkpoint"
+    put(spark, topics, C.TOPIC_ORDER_INFO, [order_text(1, at)])
+    put(spark, topics, C.TOPIC_ORDER_DETAIL, [detail_text(10, 1, at)])
+    finish(jobs.order_wide_job(spark, topics, str(checkpoint), once=True))
+    assert packed(checkpoint)
+
+
 def test_stream_settings_pack_the_files_of_the_state(spark):
     before = {k: spark.conf.get(k, None) for k in (*FILES, *UNLOAD)}
     with stream_settings(spark):
