@@ -517,6 +517,15 @@ def test_order_job_packs_its_state(spark, topics, tmp_path):
     assert packed(checkpoint)
 
 
+def test_payment_job_packs_its_state(spark, topics, tmp_path):
+    at, checkpoint = "2021-06-18 11:00:00", tmp_path / "checkpoint"
+    put(spark, topics, C.TOPIC_ORDER_WIDE, [detail_text(1, 1, at)])
+    put(spark, topics, C.TOPIC_PAYMENT_INFO, [json.dumps(
+        {"id": 5, "order_id": 1, "callback_time": "2021-06-18 11:20:00"})])
+    finish(jobs.payment_wide_job(spark, topics, str(checkpoint), once=True))
+    assert packed(checkpoint)
+
+
 def test_stream_settings_pack_the_files_of_the_state(spark):
     before = {k: spark.conf.get(k, None) for k in (*FILES, *UNLOAD)}
     with stream_settings(spark):
