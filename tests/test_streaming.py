@@ -8,7 +8,7 @@ import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
-from checks import queries
+from checks import mapping, queries
 from tests.helpers import DAY, log_text
 from tradewake import constants as C
 from tradewake import schemas as S
@@ -556,6 +556,29 @@ def product_tables(spark, folder):
     return str(folder)
 
 
+def test_product_job_in_slices_gives_the_same_rows(spark, tmp_path, monkeypatch):
+    """Every table comes in its own order of time, so no row is late; shuffles hold a slice."""
+    sf, runs = product_tables(spark, tmp_path), []
+    whole = sorted(map(str, queries.job_product_stats(spark, sf).collect()))
+    job = jobs.product_stats_job
+    monkeypatch.setattr(jobs, "product_stats_job", lambda *a, **k: runs.append(1) or job(*a, **k))
+    monkeypatch.setattr(queries, "SLICE_ROWS", 19)
+    assert sorted(map(str, queries.job_product_stats(spark, sf).collect())) == whole
+    assert len(runs) == len(whole) == 3
+
+
+def test_tables_by_time_are_whole(spark):
+    rows = spark.sql("""SELECT id, if(id % 7 = 0, NULL, timestamp_seconds(id div 3 % 11)) at
+                        FROM range(100)""")
+    cut = [r.collect() for r in mapping.by_time(rows, "at", 4)]
+    assert sorted(r.id for part in cut for r in part) == list(range(100))
+    assert all(r.at for part in cut[1:] for r in part)
+    ends = [(min(at), max(at)) for at in ([r.at for r in part if r.at] for part in cut)]
+    assert all(high < low for (_, high), (low, _) in zip(ends, ends[1:]))
+    none = mapping.by_time(rows.withColumn("at", F.lit(None).cast("timestamp")), "at", 3)
+    assert [r.count() for r in none] == [100, 0, 0]
+
+
 def test_product_stream_unloads_its_stores(spark, tmp_path, monkeypatch):
     told = []
     monkeypatch.setattr(queries, "drain", lambda *a, **k: told.append(k["unload"]) or drain(*a, **k))
